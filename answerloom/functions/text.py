@@ -7,8 +7,12 @@ from string import Formatter
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the white space characters a Unicode-aware strip removes.
-# Written so that Java and RE2 regular expressions read it alike.
+# The characters a Unicode-aware strip or split takes as white space.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# The same set as a regular expression that Java and RE2 read alike.
 SPACE = (
     r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -16,8 +20,8 @@ SPACE = (
 
 
 def strip(text: Column) -> Column:
-    """Remove white space at both ends."""
-    return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
+    """Remove white space at both ends; reads no further than that."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def squeeze_newlines(text: Column) -> Column:
@@ -26,8 +30,14 @@ def squeeze_newlines(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The non-empty words of a text."""
-    return F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
+    """The non-empty words of a text.
+
+    All white space becomes a plain blank first: splitting at one literal
+    character is several times faster than splitting at a character class.
+    """
+    others = SPACES.replace(" ", "")
+    blanks = F.translate(text, others, " " * len(others))
+    return F.filter(F.split(blanks, " "), lambda w: w != "")
 
 
 def utf8_text(content: Column) -> Column:

@@ -29,7 +29,7 @@ PROMPT_ROLES = ("user", "assistant")
 def split_messages(requests: DataFrame) -> DataFrame:
     """Add ``question`` (last message, whatever its role) and ``history`` (all before it)."""
     n = F.size("messages")
-    return requests.withColumn("question", F.try_element_at("messages", F.lit(-1)).getField("content")).withColumn(
+    return requests.withColumn("question", F.get("messages", n - 1).getField("content")).withColumn(
         "history", F.when(n > 1, F.slice("messages", F.lit(1), n - 1)).otherwise(F.array().cast(f"array<{MESSAGE}>"))
     )
 
@@ -103,7 +103,7 @@ def with_search_query(
     """
     has_history = F.size("history") > 0
     if rewriter is None:
-        previous = F.try_element_at("history", F.lit(-1)).getField("content")
+        previous = F.get("history", F.size("history") - 1).getField("content")
         return requests.withColumn(
             "search_query",
             F.when(has_history, F.concat_ws(" ", previous, F.col("question"))).otherwise(F.col("question")),

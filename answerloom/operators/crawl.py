@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from answerloom.functions.urls import page_links, resolve_url, url_host
@@ -31,11 +31,13 @@ def reachable_pages(edges: DataFrame, seeds: DataFrame, max_rounds: int | None =
     schema = frontier.schema
     number = 0
     while True:
-        frontier.write.parquet(f"{folder}/part={number}")
-        current = spark.read.schema(schema).parquet(f"{folder}/part={number}")
-        seen = spark.read.schema(schema).parquet(*(f"{folder}/part={n}" for n in range(number + 1)))
-        if current.isEmpty() or (max_rounds is not None and number >= max_rounds):
+        met = Observation()
+        frontier.observe(met, F.count(F.lit(1)).alias("rows")).write.parquet(f"{folder}/part={number}")
+        parts = [f"{folder}/part={n}" for n in range(number + 1)]
+        seen = spark.read.schema(schema).parquet(*parts)
+        if met.get["rows"] == 0 or (max_rounds is not None and number >= max_rounds):
             return seen
+        current = spark.read.schema(schema).parquet(parts[-1])
         number += 1
         frontier = (
             current.select(F.col("url").alias("src"))

@@ -21,8 +21,8 @@ from answerloom.operators.parse import SUCCESS
 from answerloom.operators.ranking import top_k
 
 QUERY_BROADCAST_BYTES = 64 * 1024 * 1024
-QUERY_BLOCK = 1_024
-VECTOR_BLOCK = 32_768
+QUERY_BLOCK = 8_192
+VECTOR_BLOCK = 16_384
 
 
 def with_cell(df: DataFrame, planes: int, vector: str = "embedding") -> DataFrame:
@@ -201,18 +201,19 @@ def _block_join(
     def all_blocks(n: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
+    # New column names keep the two sides apart when both come from the same table.
     sides = ["cell", "_query_block", "_vector_block"]
     left = (
         q.join(n_query, "cell").join(n_vector, "cell")
         .withColumn("_query_block", F.pmod(F.xxhash64(query_key), F.col("_n_query")).cast("int"))
         .withColumn("_vector_block", all_blocks("_n_vector"))
-        .select(*sides, query_key, vector)
+        .select(*sides, F.col(query_key).alias("_query"), F.col(vector).alias("_query_vector"))
     )
     right = (
         x.join(n_vector, "cell").join(n_query, "cell")
         .withColumn("_vector_block", F.pmod(F.xxhash64(key), F.col("_n_vector")).cast("int"))
         .withColumn("_query_block", all_blocks("_n_query"))
-        .select(*sides, key, vector)
+        .select(*sides, F.col(key).alias("_key"), F.col(vector).alias("_vector"))
     )
     schema = _hit_schema(q, x, query_key, key)
     types, names = _arrow_types(schema), schema.fieldNames()
@@ -220,8 +221,10 @@ def _block_join(
     def score(queries: pa.Table, block: pa.Table) -> pa.Table:
         if queries.num_rows == 0 or block.num_rows == 0:
             return pa.table([pa.array([], t) for t in types], names=names)
-        scores, ids = V.best_of_block(V.matrix(queries[vector]), V.matrix(block[vector]), V.keys(block[key]), k)
-        return _hit_table(V.keys(queries[query_key]), ids, scores, names, types)
+        scores, ids = V.best_of_block(
+            V.matrix(queries["_query_vector"]), V.matrix(block["_vector"]), V.keys(block["_key"]), k
+        )
+        return _hit_table(V.keys(queries["_query"]), ids, scores, names, types)
 
     return left.groupBy(*sides).cogroup(right.groupBy(*sides)).applyInArrow(score, schema)
 

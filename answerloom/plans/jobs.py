@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from answerloom.conf import ChunkSettings
 from answerloom.operators.chunk import (
     LengthMeasure, accepted_chunks, rejected_chunks, stage_recursive, with_chunk_id,
 )
+from answerloom.operators.evaluate import score_answers, summarise
+from answerloom.operators.feedback import EVALUATION_COLUMNS, latest_feedback, potential_evaluation_set
 from answerloom.operators.parse import BytesParser, accepted, rejected, run_report, stage_parse
 from answerloom.session import write_and_reload
 from answerloom.sources.files import overwrite_table, read_raw_files
@@ -50,16 +54,25 @@ def chunk_job(
     return _finish("chunk", chunks, rejected_chunks(staged), table)
 
 
-def evaluate_agents(evals: DataFrame, agents: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Scores per question and their summary for answers of several agents to the same questions."""
-    from functools import reduce
+def evaluation_set_job(
+    requests: DataFrame, clicks: DataFrame, table: str, ties: Sequence[str] = ("step_id",),
+    request_id: str = "request_id", fmt: str = "parquet",
+) -> DataFrame:
+    """Both logs to the evaluation table. The merged feedback is written once, as two joins read it."""
+    merged = write_and_reload(latest_feedback(clicks, ties), "feedback")
+    done = potential_evaluation_set(requests, merged, request_id)
+    return overwrite_table(done.select(*EVALUATION_COLUMNS), table, fmt)
+
 
-    from answerloom.operators.evaluate import score_answers, summarise
+def evaluate_agents(evals: DataFrame, agents: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Scores per question and their summary for answers of several agents to the same questions.
 
+    The answers are written once, so that no agent runs twice.
+    """
     answers = reduce(
         DataFrame.unionByName,
         (a.withColumn("agent", F.lit(name)).select("eval_id", "agent", "answer", "retrieved_uris")
          for name, a in agents.items()),
     )
-    scores = score_answers(evals, answers)
+    scores = score_answers(evals, write_and_reload(answers, "answers"))
     return scores, summarise(scores)

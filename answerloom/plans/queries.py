@@ -14,6 +14,7 @@ from answerloom.operators.embed import HashedWords, embed
 from answerloom.plans import tables as T
 from answerloom.session import new_folder, write_and_reload
 from answerloom.sources import pages as page_files
+from answerloom.sources.files import spread
 from answerloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,7 +129,7 @@ def chunk_sources(spark, sf_dir):
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    source = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    source = spread(T.table(spark, sf_dir, "documents").select("doc_id", "text"))
     old = source.filter("doc_id % 10 <> 0")
     new = source.filter("doc_id % 10 <> 1").withColumn(
         "text", F.when(F.col("doc_id") % 10 == 2, F.concat("text", F.lit(" v2"))).otherwise(F.col("text")))
@@ -333,8 +334,8 @@ def feedback_merged(spark, sf_dir):
 
 
 def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feedback.attach_feedback(
-        T.request_log(spark, sf_dir), feedback.latest_feedback(T.clicks(spark, sf_dir), T.TIES))
+    merged = write_and_reload(feedback.latest_feedback(T.clicks(spark, sf_dir), T.TIES), "feedback")
+    return feedback.attach_feedback(T.request_log(spark, sf_dir), merged)
 
 
 @query
@@ -399,9 +400,9 @@ def synthetic_evals(spark, sf_dir):
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two agents, with and without retrieval, on the questions of the rated requests."""
-    log = T.request_log(spark, sf_dir)
-    rated = feedback.expected_context(feedback.label_requests(feedback.attach_feedback(
-        log, feedback.latest_feedback(T.clicks(spark, sf_dir), T.TIES))))
+    log = write_and_reload(T.request_log(spark, sf_dir), "requests")
+    merged = write_and_reload(feedback.latest_feedback(T.clicks(spark, sf_dir), T.TIES), "feedback")
+    rated = feedback.potential_evaluation_set(log, merged)
     evals = write_and_reload(rated.select(
         F.concat_ws("|", "request_id", F.coalesce("source_user", F.lit("-")),
                     F.coalesce("retrieval_step_id", F.lit("-"))).alias("eval_id"),
@@ -413,7 +414,8 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         done = chat.answer_requests(requests, documents, EXACT, embedder=EMBEDDER)
         return done.select("request_id", F.lit(agent).alias("agent"), "answer", "retrieved_uris")
 
-    answers = run("retrieval", T.index(spark, sf_dir)).unionByName(run("plain", None))
+    # Written once: scoring reads the answers more than once, agents should not run again.
+    answers = write_and_reload(run("retrieval", T.index(spark, sf_dir)).unionByName(run("plain", None)), "answers")
     asked = evals.select("eval_id", "request_id").join(answers, "request_id")
     return evaluate.score_answers(evals, asked)
 

@@ -14,7 +14,7 @@ from answerloom.operators.chunk import chunk_words, with_chunk_id
 from answerloom.operators.embed import HashedWords
 from answerloom.operators.index import build_index
 from answerloom.session import write_and_reload
-from answerloom.sources.files import raw_from_pages
+from answerloom.sources.files import raw_from_pages, spread
 
 CHUNK_WORDS, OVERLAP_WORDS, DIM = 64, 16, 256
 TIES = ("event_id",)
@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored pages as raw files; every 17th gets a byte that is not UTF-8."""
-    return spoiled(table(spark, sf_dir, "pages"))
+    return spoiled(spread(table(spark, sf_dir, "pages")))
 
 
 def spoiled(pages: DataFrame) -> DataFrame:
@@ -40,11 +40,11 @@ def spoiled(pages: DataFrame) -> DataFrame:
 
 
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_pages(table(spark, sf_dir, "pages"))
+    return raw_from_pages(spread(table(spark, sf_dir, "pages")))
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         F.concat(F.lit("doc/"), F.col("doc_id")).alias("path"), F.col("text").alias("parsed_content")
     )
 

@@ -28,6 +28,18 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a scan that has fewer splits than there are cores.
+
+    Spark cuts files into splits of 4 MB or more until every core has one, so this
+    only moves inputs of a few megabytes per core; larger ones are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def raw_from_pages(pages: DataFrame) -> DataFrame:
     """A table of stored pages (url, html) in the shape of raw files."""
     content = F.encode("html", "UTF-8")
