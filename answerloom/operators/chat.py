@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,10 @@ from answerloom.operators.embed import Embedder
 from answerloom.operators.parse import SUCCESS
 from answerloom.operators.ranking import top_k
 from answerloom.operators.retrieve import search
+from answerloom.session import write_and_reload
 
-# A model call on a batch: list of inputs to list of texts.
+# A model call on a batch: list of inputs to list of texts. In the chat chain it also
+# receives the keywords max_tokens and temperature.
 TextModel = Callable[[Sequence], Sequence[str]]
 MESSAGE = "struct<role:string,content:string>"
 # Roles that the prompt keeps from the history.
@@ -231,8 +234,9 @@ def answer_requests(
     part before the model call is written once, so that no model call repeats.
     Without an index the agent answers from the question alone.
     """
-    from answerloom.session import write_and_reload
-
+    limits = {"max_tokens": settings.max_tokens, "temperature": settings.temperature}
+    rewriter = partial(rewriter, **limits) if rewriter is not None else None
+    generator = partial(generator, **limits) if generator is not None else None
     asked = with_search_query(split_messages(requests), rewriter, settings.rewrite_template)
     if rewriter is not None:
         asked = write_and_reload(asked, "search-queries")

@@ -15,20 +15,50 @@ def _newest_first(ties: Sequence[str]) -> list[Column]:
     return [F.desc("timestamp"), *(F.desc(t) for t in ties)]
 
 
+# The reviewer as two columns that are never null, so that one hash partitioning serves
+# grouping and joining, and a null reviewer meets a null reviewer.
+_REVIEWER = ["_reviewer", "_anonymous"]
+
+
+def _keyed(log: DataFrame) -> DataFrame:
+    reviewer = F.col("source.id")
+    return log.withColumns({"_reviewer": F.coalesce(reviewer, F.lit("")), "_anonymous": reviewer.isNull()})
+
+
+def _latest_text(keyed: DataFrame, ties: Sequence[str]) -> DataFrame:
+    rows = keyed.filter(F.col("text_assessment").isNotNull())
+    return keep_first(rows, ["request_id", *_REVIEWER], _newest_first(ties))
+
+
+def _latest_retrieval(keyed: DataFrame, ties: Sequence[str]) -> DataFrame:
+    rows = keyed.filter(F.col("retrieval_assessment").isNotNull())
+    place = [F.col("retrieval_assessment.position"), F.col("retrieval_assessment.step_id")]
+    return keep_first(rows, ["request_id", *_REVIEWER, *place], _newest_first(ties))
+
+
+def _nest(keyed: DataFrame) -> DataFrame:
+    def by_position(a: Column, b: Column) -> Column:
+        return (
+            F.when(a.position < b.position, -1).when(a.position > b.position, 1)
+            .when(a.step_id < b.step_id, -1).when(a.step_id > b.step_id, 1).otherwise(0)
+        )
+
+    # Partitioned as the join with the text assessments needs it; grouping by one more column keeps that.
+    return keyed.repartition("request_id", *_REVIEWER).groupBy("request_id", *_REVIEWER, "step_id").agg(
+        F.max("timestamp").alias("timestamp"),
+        F.max_by("source", "timestamp").alias("source"),
+        F.array_sort(F.collect_list("retrieval_assessment"), by_position).alias("retrieval_assessments"),
+    )
+
+
 def latest_text(log: DataFrame, ties: Sequence[str] = ("step_id",)) -> DataFrame:
     """The newest text assessment per request and reviewer."""
-    rows = log.filter(F.col("text_assessment").isNotNull())
-    return keep_first(rows, ["request_id", F.col("source.id")], _newest_first(ties))
+    return _latest_text(_keyed(log), ties).drop(*_REVIEWER)
 
 
 def latest_retrieval(log: DataFrame, ties: Sequence[str] = ("step_id",)) -> DataFrame:
     """The newest chunk assessment per request, reviewer, chunk position and retrieval step."""
-    rows = log.filter(F.col("retrieval_assessment").isNotNull())
-    keys = [
-        "request_id", F.col("source.id"),
-        F.col("retrieval_assessment.position"), F.col("retrieval_assessment.step_id"),
-    ]
-    return keep_first(rows, keys, _newest_first(ties))
+    return _latest_retrieval(_keyed(log), ties).drop(*_REVIEWER)
 
 
 def nest_retrieval(latest: DataFrame) -> DataFrame:
@@ -37,22 +67,7 @@ def nest_retrieval(latest: DataFrame) -> DataFrame:
     The input holds one row per position, so a list is at most as long as the
     retrieved context of its step, however many clicks there were.
     """
-
-    def by_position(a: Column, b: Column) -> Column:
-        return (
-            F.when(a.position < b.position, -1).when(a.position > b.position, 1)
-            .when(a.step_id < b.step_id, -1).when(a.step_id > b.step_id, 1).otherwise(0)
-        )
-
-    return (
-        latest.groupBy("request_id", F.col("source.id").alias("reviewer"), "step_id")
-        .agg(
-            F.max("timestamp").alias("timestamp"),
-            F.max_by("source", "timestamp").alias("source"),
-            F.array_sort(F.collect_list("retrieval_assessment"), by_position).alias("retrieval_assessments"),
-        )
-        .drop("reviewer")
-    )
+    return _nest(_keyed(latest)).drop(*_REVIEWER)
 
 
 def latest_feedback(log: DataFrame, ties: Sequence[str] = ("step_id",)) -> DataFrame:
@@ -62,9 +77,12 @@ def latest_feedback(log: DataFrame, ties: Sequence[str] = ("step_id",)) -> DataF
     prefers the step of the text assessment; ``retrieval_step_id`` completes the key.
     Both inputs are already reduced to their keys, so no join key repeats often.
     """
-    text = latest_text(log, ties).alias("a")
-    nested = nest_retrieval(latest_retrieval(log, ties)).alias("b")
-    same = (F.col("a.request_id") == F.col("b.request_id")) & F.col("a.source.id").eqNullSafe(F.col("b.source.id"))
+    keyed = _keyed(log)
+    text = _latest_text(keyed, ties).alias("a")
+    nested = _nest(_latest_retrieval(keyed, ties)).alias("b")
+    same = F.col("a.request_id") == F.col("b.request_id")
+    for name in _REVIEWER:
+        same = same & (F.col(f"a.{name}") == F.col(f"b.{name}"))
 
     def either(name: str) -> Column:
         return F.coalesce(F.col(f"a.{name}"), F.col(f"b.{name}")).alias(name)

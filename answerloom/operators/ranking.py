@@ -24,25 +24,32 @@ def keep_first(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colu
     return top_k(df, keys, order, 1, "_first").drop("_first")
 
 
-def hash_rank(df: DataFrame, key: str, rank: str = "rank", hex_digits: int = 3) -> DataFrame:
-    """Number all rows 1..n by the md5 hash of a unique key, without a global sort.
+def hash_buckets(df: DataFrame, key: str, hex_digits: int = 3) -> DataFrame:
+    """Add the hash of a unique key, its bucket by hash prefix, the bucket's size and the rows before it.
 
-    Rows are spread over 16 ** hex_digits buckets by hash prefix. The counts of
-    the buckets, at most that many rows, give each bucket its offset; the rest of
-    the rank is local to a bucket.
+    The table of buckets has at most 16 ** hex_digits rows, whatever the size of
+    the input, so its running sum and its broadcast are safe.
     """
     if not 1 <= hex_digits <= 4:
         raise ValueError("hex_digits must lie between 1 and 4")
     hashed = df.withColumn("_hash", F.md5(F.col(key).cast("string"))).withColumn(
         "_bucket", F.substring("_hash", 1, hex_digits)
     )
-    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_in_bucket"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    buckets = counts.withColumn("_before", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)))
+    return hashed.join(F.broadcast(buckets), "_bucket")
+
+
+def rank_in_bucket(key: str) -> Column:
+    """Rank over all rows of the input, from the rank in the bucket and the rows before it."""
     local = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", key))
-    # The broadcast side has at most 16 ** hex_digits rows, whatever the size of the input.
-    return (
-        hashed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(rank, (F.col("_offset") + local).cast("bigint"))
-        .drop("_hash", "_bucket", "_offset")
-    )
+    return (F.col("_before") + local).cast("bigint")
+
+
+BUCKET_COLUMNS = ("_hash", "_bucket", "_in_bucket", "_before")
+
+
+def hash_rank(df: DataFrame, key: str, rank: str = "rank", hex_digits: int = 3) -> DataFrame:
+    """Number all rows 1..n by the md5 hash of a unique key, without a global sort."""
+    return hash_buckets(df, key, hex_digits).withColumn(rank, rank_in_bucket(key)).drop(*BUCKET_COLUMNS)

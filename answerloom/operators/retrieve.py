@@ -19,8 +19,12 @@ from answerloom.functions import vectors as V
 from answerloom.operators.embed import Embedder, embed
 from answerloom.operators.parse import SUCCESS
 from answerloom.operators.ranking import top_k
+from answerloom.session import write_and_reload
 
 QUERY_BROADCAST_BYTES = 64 * 1024 * 1024
+# A batch of this many queries, with at most this many hits each, has few enough hits to broadcast.
+FEW_QUERIES = 10_000
+MANY_HITS = 50
 QUERY_BLOCK = 8_192
 VECTOR_BLOCK = 16_384
 
@@ -81,6 +85,55 @@ def _ranked(hits: DataFrame, query_key: str, key: str, k: int) -> DataFrame:
     return top_k(hits, [query_key], [F.desc("score"), F.asc(key)], k).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def _small_batch(queries: DataFrame, index: DataFrame, vector: str, limit_bytes: int) -> pa.Table | None:
+    """The queries as one table if they stay below the bounds on bytes and rows, else None.
+
+    Reading stops one row past the bound, so the driver never holds more.
+    """
+    first = index.select(F.size(vector)).head()
+    rows = min(FEW_QUERIES, max(1, limit_bytes // (8 * max(1, first[0])))) if first else 1
+    table = queries.limit(rows + 1).toArrow()
+    return table if table.num_rows <= rows else None
+
+
+def _scan(
+    small: pa.Table, index: DataFrame, schema: T.StructType, k: int, query_key: str, key: str, vector: str,
+    probed: bool = False,
+) -> DataFrame:
+    """Best hits per task of an index scan. The index is read once and never shuffled.
+
+    With ``probed``, a query only meets the vectors of the cells it lists.
+    """
+    types, names = _arrow_types(schema), schema.fieldNames()
+    by_cell: dict[int, list[int]] = {}
+    if probed:
+        for row, cells in enumerate(small["cells"].to_pylist()):
+            for cell in cells:
+                by_cell.setdefault(cell, []).append(row)
+    shared = index.sparkSession.sparkContext.broadcast((V.keys(small[query_key]), V.matrix(small[vector]), by_cell))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids, query_vectors, rows_of = shared.value
+        best: dict[int, tuple] = {}
+        for batch in batches:
+            if batch.num_rows == 0 or len(query_ids) == 0:
+                continue
+            vectors, ids = V.matrix(batch.column(vector)), V.keys(batch.column(key))
+            groups = batch.column("cell").to_numpy() if probed else np.zeros(len(ids), dtype=np.int64)
+            for cell in np.unique(groups):
+                rows = rows_of.get(int(cell), []) if probed else slice(None)
+                inside = groups == cell
+                block = query_vectors[rows]
+                if len(block):
+                    found = V.best_of_block(block, vectors[inside], ids[inside], k)
+                    best[cell] = V.merge_best(*best[cell], *found, k) if cell in best else found
+        for cell, (scores, found_ids) in best.items():
+            rows = rows_of[int(cell)] if probed else slice(None)
+            yield from _hit_table(query_ids[rows], found_ids, scores, names, types).to_batches()
+
+    return index.select(key, vector, *(["cell"] if probed else [])).mapInArrow(scan, schema)
+
+
 def knn(
     queries: DataFrame,
     index: DataFrame,
@@ -92,31 +145,14 @@ def knn(
 ) -> DataFrame:
     """Exact k best vectors per query as (query, key, score, rank).
 
-    A query batch below the byte bound goes to every task of the index scan, so the
-    index is read once and never shuffled. Reading stops one row past the
-    bound; a larger batch takes the block join instead.
+    A query batch below the byte bound goes to every task of the index scan. A
+    larger one takes the block join.
     """
-    first = index.select(F.size(vector)).head()
-    rows = max(1, broadcast_bytes // (8 * max(1, first[0]))) if first else 1
-    small = queries.select(query_key, vector).limit(rows + 1).toArrow()
-    if small.num_rows > rows:
+    small = _small_batch(queries.select(query_key, vector), index, vector, broadcast_bytes)
+    if small is None:
         return knn_blocks(queries, index, k, query_key, key, vector)
-    schema = _hit_schema(queries, index, query_key, key)
-    types, names = _arrow_types(schema), schema.fieldNames()
-    shared = queries.sparkSession.sparkContext.broadcast((V.keys(small[query_key]), V.matrix(small[vector])))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query_vectors = shared.value
-        best = None
-        for batch in batches:
-            if batch.num_rows == 0 or len(query_ids) == 0:
-                continue
-            found = V.best_of_block(query_vectors, V.matrix(batch.column(vector)), V.keys(batch.column(key)), k)
-            best = found if best is None else V.merge_best(*best, *found, k)
-        if best is not None:
-            yield from _hit_table(query_ids, best[1], best[0], names, types).to_batches()
-
-    return _ranked(index.select(key, vector).mapInArrow(scan, schema), query_key, key, k)
+    hits = _scan(small, index, _hit_schema(queries, index, query_key, key), k, query_key, key, vector)
+    return _ranked(hits, query_key, key, k)
 
 
 def knn_blocks(
@@ -147,24 +183,36 @@ def knn_cells(
     vector: str = "embedding",
     query_block: int = QUERY_BLOCK,
     vector_block: int = VECTOR_BLOCK,
+    broadcast_bytes: int = QUERY_BROADCAST_BYTES,
 ) -> DataFrame:
     """Approximate search: each query looks only into its nearest cells.
 
     ``proven`` tells that no vector outside of the probed cells can change the
-    result of this query (for vectors of length 1).
+    result of this query (for vectors of length 1). A small query batch is scored
+    during the scan, and of an index table partitioned by cell only the probed
+    partitions are read. A larger batch meets the vectors in a join on the cell.
     """
     probed = with_probes(queries.select(query_key, vector), planes, probes, vector)
-    q = probed.select(query_key, vector, F.explode("cells").alias("cell"))
-    x = index if "cell" in index.columns else with_cell(index, planes, vector)
-    hits = _block_join(q, x.select(key, vector, "cell"), k, query_key, key, vector, query_block, vector_block)
+    schema = _hit_schema(queries, index, query_key, key)
+    # Of equal width per query: the vector, the list of cells, the bound.
+    small = _small_batch(probed, index, vector, broadcast_bytes)
+    if small is not None:
+        x = index if "cell" in index.columns else with_cell(index, planes, vector)
+        cells = sorted({c for row in small["cells"].to_pylist() for c in row})  # at most 2 ** planes
+        if "cell" in index.columns:
+            x = x.filter(F.col("cell").isin(cells))
+        hits = _scan(small, x, schema, k, query_key, key, vector, probed=True)
+        bounds = queries.sparkSession.createDataFrame(small.select([query_key, "open_bound"]))
+    else:
+        bounds = probed.select(query_key, "open_bound")
+        q = probed.select(query_key, vector, F.explode("cells").alias("cell"))
+        x = index if "cell" in index.columns else with_cell(index, planes, vector)
+        hits = _block_join(q, x.select(key, vector, "cell"), k, query_key, key, vector, query_block, vector_block)
     ranked = _ranked(hits, query_key, key, k)
     worst = ranked.groupBy(query_key).agg(F.min("score").alias("_worst"), F.count(F.lit(1)).alias("_found"))
-    certain = probed.select(query_key, "open_bound").join(worst, query_key).select(
-        query_key,
-        ((F.col("open_bound") < 0) | ((F.col("_found") == k) & (F.col("_worst") > F.col("open_bound") + 1e-6))).alias(
-            "proven"
-        ),
-    )
+    settled = (F.col("_found") == k) & (F.col("_worst") > F.col("open_bound") + 1e-6)
+    certain = bounds.join(worst, query_key).select(
+        query_key, ((F.col("open_bound") < 0) | settled).alias("proven"))
     return ranked.join(certain, query_key)
 
 
@@ -173,8 +221,6 @@ def knn_certified(
     query_key: str = "query_id", key: str = "chunk_id", vector: str = "embedding",
 ) -> DataFrame:
     """Exact result by way of the cells: only queries the cells cannot settle scan the whole index."""
-    from answerloom.session import write_and_reload
-
     quick = write_and_reload(knn_cells(queries, index, k, planes, probes, query_key, key, vector), "knn-cells")
     settled = quick.filter("proven").drop("proven")
     open_queries = queries.join(settled.select(query_key).distinct(), query_key, "left_anti")
@@ -251,19 +297,28 @@ def search(
     """Search an index by text: (query, rank, score, primary_key, chunk_text, document_uri).
 
     Only key and vector take part in scoring. Text and address join in for the
-    final hits.
+    final hits: few hits, by the bound on their queries, go to the index scan;
+    otherwise both sides shuffle on the key.
     """
     cols: IndexColumns = settings.columns
     embedded = embed(queries.select(query_key, text), text, embedder).filter(F.col("embed_status") == SUCCESS)
     vectors = embedded.select(query_key, "embedding")
     if settings.query_type == "exact":
-        hits = knn(vectors, index, settings.k, query_key, cols.primary_key)
+        small = _small_batch(vectors, index, "embedding", QUERY_BROADCAST_BYTES)
+        few = small is not None
+        if few:
+            schema = _hit_schema(vectors, index, query_key, cols.primary_key)
+            hits = _scan(small, index, schema, settings.k, query_key, cols.primary_key, "embedding")
+            hits = _ranked(hits, query_key, cols.primary_key, settings.k)
+        else:
+            hits = knn_blocks(vectors, index, settings.k, query_key, cols.primary_key)
     else:
         hits = knn_cells(
             vectors, index, settings.k, settings.planes, settings.probes, query_key, cols.primary_key
         ).drop("proven")
+        few = queries.select(query_key).limit(FEW_QUERIES + 1).count() <= FEW_QUERIES
     texts = index.select(cols.primary_key, cols.chunk_text, cols.document_uri)
-    return hits.join(texts, cols.primary_key).select(
+    return texts.join(F.broadcast(hits) if few and settings.k <= MANY_HITS else hits, cols.primary_key).select(
         query_key, "rank", "score",
         F.col(cols.primary_key).alias("primary_key"),
         F.col(cols.chunk_text).alias("chunk_text"),

@@ -37,6 +37,11 @@ def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
+def open_log(spark: SparkSession, folder: str, schema: T.StructType) -> None:
+    """Start a log with an empty batch; does nothing if there is one."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{folder}/batch_id=-1")
+
+
 def read_log(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All batches of a log with their number; empty before the first batch."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
@@ -60,6 +65,7 @@ def upsert_documents(
     ``docs`` (path) names every document of the batch, also those whose text no longer
     gives any chunk: their old chunks must go. ``chunks`` has path, chunked_text, chunk_id.
     """
+    open_log(spark, f"{folder}/vectors", VECTORS)
     links = chunks.select("path", "chunk_id").distinct()
     emptied = docs.select("path").distinct().join(links.select("path").distinct(), "path", "left_anti")
     write_batch(

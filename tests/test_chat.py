@@ -48,7 +48,8 @@ def test_rewrite_only_with_history(spark):
 
 
 def test_whole_chain_with_a_generator(spark):
-    def generator(prompts):
+    def generator(prompts, max_tokens, temperature):
+        assert (max_tokens, temperature) == (1500, 0.01)
         assert all(p[0]["role"] == "system" and p[-1]["role"] == "user" for p in prompts)
         if any("and {context}" in p[-1]["content"] for p in prompts):
             raise ValueError("refused")

@@ -56,9 +56,22 @@ def test_fewer_vectors_than_k(data):
 
 def test_cells_with_all_probes_are_exact(data):
     q, x, queries, vectors = data
-    hits = retrieve.knn_cells(queries, vectors, 5, planes=4, probes=16, query_block=3, vector_block=9)
-    assert found(hits) == brute(q, x, 5)
-    assert hits.filter("not proven").count() == 0
+    for limit in (1, 1 << 26):  # block join, then scan
+        hits = retrieve.knn_cells(queries, vectors, 5, planes=4, probes=16, query_block=3, vector_block=9,
+                                  broadcast_bytes=limit)
+        assert found(hits) == brute(q, x, 5)
+        assert hits.filter("not proven").count() == 0
+
+
+def test_cell_search_is_the_same_by_scan_and_by_join(data, spark, tmp_path):
+    q, x, queries, vectors = data
+    retrieve.with_cell(vectors, 5).write.partitionBy("cell").parquet(str(tmp_path / "index"))
+    table = spark.read.parquet(str(tmp_path / "index"))
+    by_scan = retrieve.knn_cells(queries, table, 5, planes=5, probes=6)
+    by_join = retrieve.knn_cells(queries, table, 5, planes=5, probes=6, query_block=4, vector_block=9, broadcast_bytes=1)
+    assert found(by_scan) == found(by_join) == found(retrieve.knn_cells(queries, vectors, 5, planes=5, probes=6))
+    plan = by_scan._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan
 
 
 def test_proven_results_are_exact_and_the_rest_is_completed(spark):
@@ -81,7 +94,7 @@ def test_one_hot_cell(spark):
     x[:100] = x[0]
     q = x[:40].copy()
     hits = retrieve.knn_cells(frame(spark, q, "q", "query_id"), frame(spark, x, "x", "chunk_id"), 120,
-                              planes=4, probes=16, query_block=7, vector_block=11)
+                              planes=4, probes=16, query_block=7, vector_block=11, broadcast_bytes=1)
     assert found(hits) == brute(q, x, 120)
 
 
