@@ -42,13 +42,15 @@ STAGES: tuple[tuple[str, str], ...] = (
     (r'(?i)<img\b[^>]*?\bsrc\s*=\s*"([^"]*)"[^>]*>', "![]($1)"),
     (r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a[^>]*>', "[$2]($1)"),
     (r"(?i)<a\s[^>]*?href\s*=\s*'([^']*)'[^>]*>(.*?)</a[^>]*>", "[$2]($1)"),
-    (r"(?is)<(?:b|strong)(?: [^>]*)?>(.*?)</(?:b|strong)>", "**$1**"),
-    (r"(?is)<(?:i|em)(?: [^>]*)?>(.*?)</(?:i|em)>", "*$1*"),
-    (r"(?is)<code(?: [^>]*)?>(.*?)</code>", "`$1`"),
     (r"(?i)<li\b[^>]*>", "\n* "),
     (r"(?i)</li[^>]*>", "\n"),
     (r"(?i)</t[dh][^>]*>", " "),
     (rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n\n"),
+    # Inline marks stay within a line: Markdown knows no others, and an element that is
+    # never closed costs a look at its own line only.
+    (r"(?i)<(?:b|strong)(?: [^>]*)?>(.*?)</(?:b|strong)>", "**$1**"),
+    (r"(?i)<(?:i|em)(?: [^>]*)?>(.*?)</(?:i|em)>", "*$1*"),
+    (r"(?i)<code(?: [^>]*)?>(.*?)</code>", "`$1`"),
     (r"<[!/?a-zA-Z][^>]*>", ""),
     (r" *\n *", "\n"),
     (r" {2,}", " "),

@@ -1,0 +1,86 @@
+"""A small HTML parser for pages the regular expressions cannot follow: nested and numbered lists, preformatted text.
+
+Plugs into ``parse_documents(raw, parser=tree_parser)``.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Mapping
+from html.parser import HTMLParser
+
+from answerloom.functions.markup import BLOCKS
+
+# Elements without text of their own, and marks around inline text.
+SKIPPED = ("script", "style", "head", "template")
+INLINE = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`"}
+
+
+class _Markdown(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.out: list[str] = []
+        self.skip = self.pre = 0
+        self.lists: list[int | None] = []
+        self.links: list[str | None] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in SKIPPED:
+            self.skip += 1
+        elif re.fullmatch("h[1-6]", tag):
+            self.out.append("\n\n" + "#" * int(tag[1]) + " ")
+        elif tag in ("ul", "ol"):
+            self.out.append("" if self.lists else "\n\n")
+            self.lists.append(None if tag == "ul" else 0)
+        elif tag == "li":
+            mark = "*"
+            if self.lists and self.lists[-1] is not None:
+                self.lists[-1] += 1
+                mark = f"{self.lists[-1]}."
+            self.out.append("\n" + "\t" * (len(self.lists) - 1) + mark + " ")
+        elif tag == "a":
+            self.links.append(dict(attrs).get("href"))
+            self.out.append("[" if self.links[-1] is not None else "")
+        elif tag == "img":
+            self.out.append("![{}]({})".format(dict(attrs).get("alt") or "", dict(attrs).get("src") or ""))
+        elif tag in INLINE:
+            self.out.append(INLINE[tag])
+        elif tag in ("br", "hr"):
+            self.out.append("\n" if tag == "br" else "\n\n---\n\n")
+        elif tag == "pre":
+            self.pre += 1
+            self.out.append("\n\n```\n")
+        elif tag in BLOCKS.split("|"):
+            self.out.append("\n\n")
+
+    def handle_endtag(self, tag):
+        if tag in SKIPPED:
+            self.skip = max(0, self.skip - 1)
+        elif tag in ("ul", "ol"):
+            if self.lists:
+                self.lists.pop()
+            self.out.append("" if self.lists else "\n\n")
+        elif tag == "a" and self.links:
+            target = self.links.pop()
+            self.out.append(f"]({target})" if target is not None else "")
+        elif tag in INLINE:
+            self.out.append(INLINE[tag])
+        elif tag == "pre":
+            self.pre = max(0, self.pre - 1)
+            self.out.append("\n```\n\n")
+        elif tag in BLOCKS.split("|") or re.fullmatch("h[1-6]", tag):
+            self.out.append("\n\n")
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.out.append(data if self.pre else re.sub(r"[ \t\r\n]+", " ", data))
+
+
+def tree_parser(content: bytes) -> Mapping[str, str]:
+    """Markdown of one page; raises on bytes that are not UTF-8."""
+    parser = _Markdown()
+    parser.feed(content.decode("utf-8"))
+    parser.close()
+    text = re.sub(r"\n[ ]+(?=\n)", "\n", "".join(parser.out))
+    text = re.sub(r"\n{3,}", "\n\n", text.strip())
+    return {"num_pages": str(len(text)), "parsed_content": text}

@@ -16,10 +16,19 @@ def link_edges(pages: DataFrame) -> DataFrame:
     return resolved.withColumn("same_site", url_host(F.col("src")) == url_host(F.col("dst")))
 
 
+def store_edges(edges: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Write the edges bucketed by source, so that no round of a long crawl shuffles them again."""
+    (
+        edges.select("src", "dst").distinct().repartition(buckets, "src")
+        .write.mode("overwrite").bucketBy(buckets, "src").sortBy("src").saveAsTable(table)
+    )
+    return edges.sparkSession.table(table)
+
+
 def reachable_pages(edges: DataFrame, seeds: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """All nodes reachable from the seeds, with the round in which each is first met.
 
-    ``edges`` has src and dst, ``seeds`` has url. Each round joins the frontier
+    ``edges`` has src and dst (best from ``store_edges``), ``seeds`` has url. Each round joins the frontier
     with the edges and drops what was met before. The frontiers are written
     to the shared folder, one part per round, so plans stay short and a lost
     executor costs one round at most. The loop ends when a round meets nothing new.

@@ -105,13 +105,13 @@ def stream_index_sync(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = batch.groupBy("path").agg(F.max_by("content", "modificationTime").alias("_last"),
-                                           F.any_value("content").alias("_any"))
-        files = newest.select("path", F.coalesce("_last", "_any").alias("content"))
-        # The parsed batch feeds several writes, so it is written once.
+        age = F.coalesce("modificationTime", F.timestamp_seconds(F.lit(0)))
+        files = batch.groupBy("path").agg(F.max_by("content", age).alias("content"))
+        # Parsed and chunked rows feed several writes, so both are written once.
         parsed = write_and_reload(accepted(stage_parse(files, parser)), "sync-batch")
         docs = parsed.select("path", F.col("doc_parsed_contents.parsed_content").alias("parsed_content"))
-        upsert_documents(spark, folder, docs, with_chunk_id(chunker(docs)), batch_id, embedder)
+        chunks = write_and_reload(with_chunk_id(chunker(docs)), "sync-chunks")
+        upsert_documents(spark, folder, docs, chunks, batch_id, embedder)
 
     return (
         raw_stream.writeStream.foreachBatch(handle)
