@@ -58,10 +58,18 @@ class IndexColumns:
 
 @dataclass(frozen=True)
 class RetrieverSettings:
+    """Search parameters.
+
+    ``ann`` looks into the nearest ``probes`` of 2 ** planes cells. With ``complete``
+    (the default) a query whose result these cells cannot prove is searched in the
+    whole index as well, so that the result is exact; without, it stays approximate.
+    """
+
     k: int = 5
     query_type: str = "ann"
     planes: int = 8
     probes: int = 64
+    complete: bool = True
     chunk_template: str = CHUNK_TEMPLATE
     columns: IndexColumns = field(default_factory=IndexColumns)
 

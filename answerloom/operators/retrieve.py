@@ -313,7 +313,8 @@ def search(
         else:
             hits = knn_blocks(vectors, index, settings.k, query_key, cols.primary_key)
     else:
-        hits = knn_cells(
+        by_cells = knn_certified if settings.complete else knn_cells
+        hits = by_cells(
             vectors, index, settings.k, settings.planes, settings.probes, query_key, cols.primary_key
         ).drop("proven")
         few = queries.select(query_key).limit(FEW_QUERIES + 1).count() <= FEW_QUERIES

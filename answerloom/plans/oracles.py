@@ -330,6 +330,9 @@ ORACLES: dict[str, str] = {
     "similarity_search": with_(*INDEX, vectors("qvec", "benchmark", "item_id", "text"), hits("qvec", "xvec"), select="""
         SELECT qk AS item_id, rank, score, chunk_id AS primary_key, path AS document_uri
         FROM hits JOIN uniq USING (chunk_id)"""),
+    "similarity_search_ann": with_(*INDEX, vectors("qvec", "benchmark", "item_id", "text"), hits("qvec", "xvec"), select="""
+        SELECT qk AS item_id, rank, score, chunk_id AS primary_key, path AS document_uri
+        FROM hits JOIN uniq USING (chunk_id)"""),
     "context_format": with_(*INDEX, vectors("qvec", "benchmark", "item_id", "text"), hits("qvec", "xvec"), CONTEXTS,
                             select="SELECT qk AS item_id, context FROM contexts"),
     "chat_question": with_(SPLIT, select="SELECT conv_id, question, n_history FROM split"),

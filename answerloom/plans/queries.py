@@ -225,6 +225,15 @@ def similarity_search(spark, sf_dir):
         "item_id", "rank", "score", "primary_key", "document_uri")
 
 
+@query
+def similarity_search_ann(spark, sf_dir):
+    """The same hits by way of the cells."""
+    questions = T.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("query"))
+    settings = RetrieverSettings(k=5, query_type="ann")
+    return retrieve.search(questions, T.index(spark, sf_dir), settings, EMBEDDER, "item_id").select(
+        "item_id", "rank", "score", "primary_key", "document_uri")
+
+
 @query
 def context_format(spark, sf_dir):
     contexts = chat.build_context(_benchmark_hits(spark, sf_dir), CHUNK_TEMPLATE, "item_id")

@@ -187,6 +187,20 @@ def test_search_with_other_column_names(spark):
         assert (hit.chunk_text, hit.document_uri, hit["rank"]) == ("green pear", "b", 1)
 
 
+def test_ann_search_is_completed(spark):
+    texts = [f"word{i} word{i * 7 % 50} word{i * 3 % 20}" for i in range(200)]
+    built = index.build_index(chunk_rows(spark, [(f"p{i}", t) for i, t in enumerate(texts)])).cache()
+    queries = spark.createDataFrame([(i, t + " word1") for i, t in enumerate(texts[:20])], "query_id int, query string")
+
+    def hits(**kind):
+        rows = retrieve.search(queries, built, RetrieverSettings(k=3, planes=5, probes=2, **kind)).collect()
+        return {(r.query_id, r["rank"], r.primary_key) for r in rows}
+
+    exact = hits(query_type="exact")
+    assert hits(query_type="ann") == exact
+    assert hits(query_type="ann", complete=False) != exact
+
+
 def test_hash_rank_is_a_global_rank(spark):
     keys = [f"k{i}" for i in range(500)]
     got = ranking.hash_rank(spark.createDataFrame([(k,) for k in keys], "k string"), "k", hex_digits=2).collect()
