@@ -166,8 +166,13 @@ def knn_blocks(
     vector_block: int = VECTOR_BLOCK,
 ) -> DataFrame:
     """Exact search for query batches of any size: every query block meets every vector block once."""
-    q = queries.select(query_key, vector).withColumn("cell", F.lit(0))
-    x = index.select(key, vector).withColumn("cell", F.lit(0))
+
+    # One cell for all. Computed from the key, as a literal would turn the equi-joins
+    # with the size tables into nested loops.
+    def one_cell(df: DataFrame, column: str) -> DataFrame:
+        return df.select(column, vector).withColumn("cell", F.pmod(F.xxhash64(column), F.lit(1)).cast("int"))
+
+    q, x = one_cell(queries, query_key), one_cell(index, key)
     hits = _block_join(q, x, k, query_key, key, vector, query_block, vector_block)
     return _ranked(hits, query_key, key, k)
 

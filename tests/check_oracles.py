@@ -32,8 +32,8 @@ def rows_of(columns, rows):
     return sorted((tuple(canonical(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, sf_dir, name):
-    df = entry.queries()[name](spark, sf_dir)
+def compare(spark, con, sf_dir, name, df=None):
+    df = entry.queries()[name](spark, sf_dir) if df is None else df
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     sql = entry.oracle_sql().get(name)
     if sql is None:
