@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.text import null_if_empty
 from answerloom.operators.ranking import keep_first
+from answerloom.session import write_and_reload
 
 
 def _newest_first(ties: Sequence[str]) -> list[Column]:
@@ -175,5 +176,9 @@ EVALUATION_COLUMNS = (
 
 def evaluation_set(requests: DataFrame, log: DataFrame, ties: Sequence[str] = ("step_id",),
                    request_id: str = "request_id") -> DataFrame:
-    """The evaluation set of six columns, straight from the two logs."""
-    return potential_evaluation_set(requests, latest_feedback(log, ties), request_id).select(*EVALUATION_COLUMNS)
+    """The evaluation set of six columns, straight from the two logs.
+
+    The merged feedback is written once, as two joins read it.
+    """
+    merged = write_and_reload(latest_feedback(log, ties), "feedback")
+    return potential_evaluation_set(requests, merged, request_id).select(*EVALUATION_COLUMNS)

@@ -96,6 +96,11 @@ def _small_batch(queries: DataFrame, index: DataFrame, vector: str, limit_bytes:
     return table if table.num_rows <= rows else None
 
 
+def _written(queries: DataFrame, query_key: str, vector: str) -> DataFrame:
+    """Queries that are read more than once, as a table: their vectors may come from a model."""
+    return write_and_reload(queries.select(query_key, vector), "queries")
+
+
 def _scan(
     small: pa.Table, index: DataFrame, schema: T.StructType, k: int, query_key: str, key: str, vector: str,
     probed: bool = False,
@@ -150,7 +155,7 @@ def knn(
     """
     small = _small_batch(queries.select(query_key, vector), index, vector, broadcast_bytes)
     if small is None:
-        return knn_blocks(queries, index, k, query_key, key, vector)
+        return knn_blocks(_written(queries, query_key, vector), index, k, query_key, key, vector)
     hits = _scan(small, index, _hit_schema(queries, index, query_key, key), k, query_key, key, vector)
     return _ranked(hits, query_key, key, k)
 
@@ -209,6 +214,7 @@ def knn_cells(
         hits = _scan(small, x, schema, k, query_key, key, vector, probed=True)
         bounds = queries.sparkSession.createDataFrame(small.select([query_key, "open_bound"]))
     else:
+        probed = write_and_reload(probed, "probes")
         bounds = probed.select(query_key, "open_bound")
         q = probed.select(query_key, vector, F.explode("cells").alias("cell"))
         x = index if "cell" in index.columns else with_cell(index, planes, vector)
@@ -226,6 +232,7 @@ def knn_certified(
     query_key: str = "query_id", key: str = "chunk_id", vector: str = "embedding",
 ) -> DataFrame:
     """Exact result by way of the cells: only queries the cells cannot settle scan the whole index."""
+    queries = _written(queries, query_key, vector)
     quick = write_and_reload(knn_cells(queries, index, k, planes, probes, query_key, key, vector), "knn-cells")
     settled = quick.filter("proven").drop("proven")
     open_queries = queries.join(settled.select(query_key).distinct(), query_key, "left_anti")
@@ -316,6 +323,7 @@ def search(
             hits = _scan(small, index, schema, settings.k, query_key, cols.primary_key, "embedding")
             hits = _ranked(hits, query_key, cols.primary_key, settings.k)
         else:
+            vectors = _written(vectors, query_key, "embedding")
             hits = knn_blocks(vectors, index, settings.k, query_key, cols.primary_key)
     else:
         by_cells = knn_certified if settings.complete else knn_cells

@@ -14,7 +14,7 @@ from answerloom.operators.chunk import (
     LengthMeasure, accepted_chunks, rejected_chunks, stage_recursive, with_chunk_id,
 )
 from answerloom.operators.evaluate import score_answers, summarise
-from answerloom.operators.feedback import EVALUATION_COLUMNS, latest_feedback, potential_evaluation_set
+from answerloom.operators.feedback import evaluation_set
 from answerloom.operators.parse import BytesParser, accepted, rejected, run_report, stage_parse
 from answerloom.session import write_and_reload
 from answerloom.sources.files import overwrite_table, read_raw_files
@@ -58,10 +58,8 @@ def evaluation_set_job(
     requests: DataFrame, clicks: DataFrame, table: str, ties: Sequence[str] = ("step_id",),
     request_id: str = "request_id", fmt: str = "parquet",
 ) -> DataFrame:
-    """Both logs to the evaluation table. The merged feedback is written once, as two joins read it."""
-    merged = write_and_reload(latest_feedback(clicks, ties), "feedback")
-    done = potential_evaluation_set(requests, merged, request_id)
-    return overwrite_table(done.select(*EVALUATION_COLUMNS), table, fmt)
+    """Both logs to the evaluation table."""
+    return overwrite_table(evaluation_set(requests, clicks, ties, request_id), table, fmt)
 
 
 def evaluate_agents(evals: DataFrame, agents: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
