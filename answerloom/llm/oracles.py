@@ -38,3 +38,13 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost_chars <= 40 * word_chars AS kept
 FROM figures
 """
+
+ORACLES["op7_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM h WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM h LEFT JOIN f USING (payload_digest)
+"""

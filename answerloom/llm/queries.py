@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import quality
+from answerloom.llm import quality, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,3 +24,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op2_quality_rules(spark, sf_dir):
     return quality.judge_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_warc(spark, sf_dir):
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
