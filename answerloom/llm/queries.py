@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import quality, warc
+from answerloom.llm import bpe, quality, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -17,6 +17,13 @@ def query(function: Query) -> Query:
     return function
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,3 +36,8 @@ def op2_quality_rules(spark, sf_dir):
 @query
 def op7_warc(spark, sf_dir):
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_bpe(spark, sf_dir):
+    return bpe.digest_documents(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
