@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: White space as Unicode has it; Python's own set also holds four separators (1C to 1F) that are not white space.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACES = re.compile(f"[{SPACE}]+")
 NOT_SPACE_THOUGH_PYTHON_SAYS = re.compile("[\x1c-\x1f]")
 #: Entries of the memory for chunks of text and for words, per task.

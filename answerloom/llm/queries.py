@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import bpe, quality, warc
+from answerloom.llm import bpe, quality, token_files, warc
+
+#: Id that op3 puts after each document.
+END_ID = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -41,3 +44,8 @@ def op7_warc(spark, sf_dir):
 @query
 def op5_bpe(spark, sf_dir):
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    return token_files.write_and_read(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), END_ID)
