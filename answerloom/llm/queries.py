@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import bpe, quality, token_files, warc
+from answerloom.llm import bpe, decontaminate, quality, token_files, warc
 
 #: Id that op3 puts after each document.
 END_ID = 2
@@ -49,3 +49,9 @@ def op5_bpe(spark, sf_dir):
 @query
 def op3_token_files(spark, sf_dir):
     return token_files.write_and_read(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), END_ID)
+
+
+@query
+def op10_decontamination(spark, sf_dir):
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("mark")
