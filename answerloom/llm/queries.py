@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import bpe, decontaminate, quality, token_files, warc
+from answerloom.llm import bpe, decontaminate, quality, token_files, toxicity, warc
 
 #: Id that op3 puts after each document.
 END_ID = 2
@@ -55,3 +55,8 @@ def op3_token_files(spark, sf_dir):
 def op10_decontamination(spark, sf_dir):
     found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("mark")
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
