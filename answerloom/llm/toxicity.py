@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the presence of runs of three to five characters (A-Z in lower case), hashed to `2**bits` buckets.
+Features are the presence of runs of four to six characters (A-Z in lower case), hashed to `2**bits` buckets.
 
 1. Counts: in how many toxic and in how many other documents each bucket occurs, over all labelled training rows.
 2. Ratios: the smoothed logarithm of the two shares; the `features` buckets whose ratio stands out most from its
@@ -30,18 +30,18 @@ from pyspark.sql import functions as F
 
 from answerloom.llm import texts as T
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6)
 
 
 @dataclass(frozen=True)
 class ToxicitySettings:
-    bits: int = 18
-    features: int = 8192
+    bits: int = 19
+    features: int = 2048
     sample: int = 4096
     folds: int = 4
     held_out: int = 2
     threshold: float = 0.3
-    penalty: float = 1e-3
+    penalty: float = 1.0
     steps: int = 250
 
 
