@@ -48,3 +48,21 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM h LEFT JOIN f USING (payload_digest)
 """
+
+ORACLES["op4_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE s >= 0.8 * (x.n + y.n - s)),
+reach(a, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.a)
+SELECT d.doc_id, min(c) AS class_id, coalesce(any_value(k.n), 0)::BIGINT AS n_links
+FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) k ON k.a = d.doc_id
+GROUP BY d.doc_id
+"""

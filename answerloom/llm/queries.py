@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import bpe, decontaminate, quality, token_files, toxicity, warc
+from answerloom.llm import bpe, decontaminate, jaccard, quality, token_files, toxicity, warc
 
 #: Id that op3 puts after each document.
 END_ID = 2
@@ -60,3 +60,8 @@ def op10_decontamination(spark, sf_dir):
 @query
 def op1_toxicity(spark, sf_dir):
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard.join_documents(_table(spark, sf_dir, "documents"))
