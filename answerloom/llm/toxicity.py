@@ -159,7 +159,9 @@ def train(documents: DataFrame, labels: DataFrame, settings: ToxicitySettings =
         .groupBy("key").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
     texts = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(
         T.training_rest("key", settings.folds) != settings.held_out)
-    toxic, other = count_presence(texts.join(marks, "key"), bits)
+    # one plan at every size, and few partial tables of counts
+    labelled = texts.join(marks.hint("merge"), "key").coalesce(2 * documents.sparkSession.sparkContext.defaultParallelism)
+    toxic, other = count_presence(labelled, bits)
     if not (toxic[-1] and other[-1]):
         return Model(bits, 0.0, np.zeros(1 << bits), trained=False)
     ratio = ratios(toxic, other, settings.features)
