@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import bpe, decontaminate, jaccard, quality, token_files, toxicity, warc
+from answerloom.llm import bpe, decontaminate, edit_counts, jaccard, license_scan, quality, token_files, toxicity, warc
 
 #: Id that op3 puts after each document.
 END_ID = 2
@@ -65,3 +65,16 @@ def op1_toxicity(spark, sf_dir):
 @query
 def op4_jaccard_join(spark, sf_dir):
     return jaccard.join_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_edit_counts(spark, sf_dir):
+    path = tokenizer_file("byte_bpe_50k.json")
+    edits = edit_counts.masking_edits(_table(spark, sf_dir, "documents"))
+    trees = edit_counts.build_trees(edits, path, ("doc_id", "text", "edits"))
+    return edit_counts.apply_edits(trees, path, keep_trees=False).drop("text")
+
+
+@query
+def op8_license_scan(spark, sf_dir):
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
