@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import bpe, decontaminate, edit_counts, jaccard, license_scan, quality, token_files, toxicity, warc
+from answerloom.llm import bpe, decontaminate, edit_counts, jaccard, license_scan, mixing_lm, quality, token_files, toxicity, warc
 
 #: Id that op3 puts after each document.
 END_ID = 2
@@ -78,3 +78,8 @@ def op6_edit_counts(spark, sf_dir):
 @query
 def op8_license_scan(spark, sf_dir):
     return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_mixing_lm(spark, sf_dir):
+    return mixing_lm.score_documents(_table(spark, sf_dir, "documents"))
