@@ -17,9 +17,7 @@ columns are not looked at, an empty table gives no rows.
 
 from __future__ import annotations
 
-import os
 import re
-import struct
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,9 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from answerloom.llm import piecewise
+
 #: Leaves in a block when a tree is made; a block of twice as many is dealt out again.
 BLOCK = 64
-MEMORY = 400_000
 #: Unicode white space; Python's own set also holds four separators that are not.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = WHITE + "\x1c-\x1f"
@@ -39,48 +38,67 @@ BOUNDARY = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 # Fixed value: how the vocabulary's texts are split into pre-tokens.
 PRETOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-#: White space beside a space, at an end, or beyond ASCII: boundaries are then looked for one by one.
-UNEVEN = re.compile("[\t-\r] | [\t-\r]|^ | $|  |[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-class PretokenCounter(dict):
-    """Leaves (characters and tokens of each pre-token, as 32-bit integers) of pieces of text between boundaries."""
+class PretokenCounter:
+    """Leaves (characters and tokens of each pre-token, as 32-bit integers) of texts, by pieces between boundaries.
+
+    A piece that has white space beside a place where a cut would have to be has no leaves of its own: its text is cut
+    at boundaries looked for one by one.
+    """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.library.encode_special_tokens = True  # their strings are ordinary text here
-        self.tokens: dict[str, int] = {}
-
-    def fill(self, pieces: list[str]) -> None:
-        """Encode the pieces that are not known, in one call."""
-        for memory in (self, self.tokens):
-            if len(memory) > MEMORY:
-                memory.clear()
-        new = list(dict.fromkeys([p for p in pieces if p not in self]))
-        spelled = [PRETOKEN.findall(p) for p in new]
-        tokens = self.tokens
-        flat = list(dict.fromkeys([t for s in spelled for t in s if t not in tokens]))
-        tokens.update(zip(flat, [len(x.ids) for x in self.library.encode_batch_fast(flat, add_special_tokens=False)],
-                          strict=True))
-        for piece, words in zip(new, spelled, strict=True):
-            self[piece] = struct.pack(f"<{2 * len(words)}i", *[x for t in words for x in (len(t), tokens[t])])
+        self.library = piecewise.load(path, ordinary_specials=True)
+        self.known, self.odd = piecewise.Memory(), piecewise.Memory()
+
+    def _pack(self, lengths: list[int], counts: list[int]) -> bytes:
+        return np.array([lengths, counts], "<i4").T.tobytes()
+
+    def _alone(self, pieces: list[str]) -> list[bytes]:
+        """Leaves of pieces of any kind, one call for each pre-token."""
+        spelled = [PRETOKEN.findall(p) for p in pieces]
+        counts = iter([len(x.ids) for x in self.library.encode_batch_fast(
+            [t for s in spelled for t in s], add_special_tokens=False)])
+        return [self._pack([len(t) for t in s], [next(counts) for _ in s]) for s in spelled]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """`known` has the pieces of a text after its first, without the space before them."""
+        even = []
+        for piece in self.known.unknown(pieces):
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                self.known[piece] = None
+            else:
+                even.append(piece)
+        plain = [p for p in even if not any(c.isspace() for c in p)]
+        for piece, (_, places) in zip(plain, piecewise.strung(self.library, plain), strict=True):
+            lengths = [len(t) for t in PRETOKEN.findall(" " + piece)]
+            owner = np.searchsorted(np.cumsum(lengths), places, side="right")
+            self.known[piece] = self._pack(lengths, np.bincount(owner, minlength=len(lengths)))
+        rest = [p for p in even if any(c.isspace() for c in p)]
+        self.known.update(zip(rest, self._alone([" " + p for p in rest]), strict=True))
+
+    def _odd(self, pieces: list[str]) -> bytes:
+        new = self.odd.unknown(set(pieces))
+        self.odd.update(zip(new, self._alone(new), strict=True))
+        return b"".join([self.odd[p] for p in pieces])
+
+    def leaves_of(self, texts: list[str]) -> list[np.ndarray]:
+        """Characters and tokens of each pre-token of texts that start and end at certain boundaries."""
+        cut = [text.split(" ") for text in texts]
+        self._learn(set().union(*[x[1:] for x in cut]))
+        out = []
+        for text, (first, *rest) in zip(texts, cut, strict=True):
+            leaves = [self.known[p] for p in rest]
+            if None in leaves or first[-1:].isspace():
+                starts = [m.start() for m in BOUNDARY.finditer(text)]
+                packed = self._odd([text[a:b] for a, b in zip([0, *starts], [*starts, len(text)], strict=True)])
+            else:
+                packed = self._odd([first]) + b"".join(leaves)
+            out.append(np.frombuffer(packed, "<i4").reshape(-1, 2))
+        return out
 
     def leaves(self, text: str) -> np.ndarray:
-        """Characters and tokens of each pre-token of a text that starts and ends at certain boundaries."""
-        starts = [m.start() for m in BOUNDARY.finditer(text)] if UNEVEN.search(text) else None
-        if starts is None:
-            first, *rest = text.split(" ")
-            pieces = [first, *[" " + x for x in rest]]
-        else:
-            pieces = [text[a:b] for a, b in zip([0, *starts], [*starts, len(text)], strict=True)]
-        self.fill(pieces)
-        return np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<i4").reshape(-1, 2)
+        return self.leaves_of([text])[0]
 
 
 class PretokenTree:
@@ -231,8 +249,7 @@ def build_trees(documents: DataFrame, path: str, carry: tuple[str, ...] = ("doc_
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                trees = [PretokenTree(work.leaves(t)).packed() if t else PretokenTree(np.zeros((0, 2), "<i4")).packed()
-                         for t in part.column(part.num_columns - 1).to_pylist()]
+                trees = [PretokenTree(x).packed() for x in work.leaves_of(part.column(part.num_columns - 1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *[pa.array(c, pa.binary()) for c in zip(*trees, strict=True)]],
                     names=[*part.schema.names[:-1], "leaves", "blocks", "sums"])

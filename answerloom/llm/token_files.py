@@ -8,7 +8,7 @@ gives it without a copy. An index file beside it says where each document starts
 
 Texts are encoded with the tokenizers library. A space between two characters that are not white space always starts
 a new piece there, so texts are cut at such spaces, and a task encodes each distinct piece once while its bounded
-memory holds. Texts in which a space stands beside other white space go through the library as a whole.
+memory holds. Texts in which such a space stands beside other white space go through the library as a whole.
 
 Cases: a null text is an empty one and has the end id alone. Null keys come first; rows with equal keys stand side by
 side in one file in no promised order; repeated rows are written each. An empty table gives no files and no rows.
@@ -17,8 +17,6 @@ Other columns are not looked at.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -29,55 +27,61 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from answerloom.llm import shared_files
+from answerloom.llm import piecewise, shared_files
 from answerloom.session import new_folder, write_and_reload
 
 SEQUENCE = 2048
 #: Sequences in a record batch.
 BATCH = 64
-MEMORY = 500_000
 PIECE_TEXTS = 500
 
-#: Space beside white space, or any white space beyond ASCII: such texts are not cut.
-UNCUT = re.compile("  |[\t-\r] | [\t-\r]|[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
 
 class SplitEncoder:
-    """Ids of texts as the tokenizers library gives them, as little-endian integers of `width` bytes."""
+    """Ids of texts as the tokenizers library gives them, as little-endian integers of 16 or 32 bits.
 
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
-        from tokenizers import Tokenizer
+    First, inner and last pieces of a text are remembered apart. The ids of a piece are None if it has white space at
+    a side where a cut would have to be: its text is not cut then.
+    """
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+    def __init__(self, path: str) -> None:
+        self.library = piecewise.load(path)
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memory: dict[str, bytes] = {}
+        self.first, self.inner, self.last = piecewise.Memory(), piecewise.Memory(), piecewise.Memory()
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(x.ids, self.kind).tobytes() for x in found]
 
+    def _learn(self, memory: piecewise.Memory, pieces: set[str], lead: str, left: bool, right: bool) -> None:
+        """Encode the pieces that are not known; left and right say at which sides texts are cut."""
+        even, uneven = [], []
+        for piece in memory.unknown(pieces):
+            if (left and piece[:1].isspace()) or (right and (piece[-1:].isspace() or (left and not piece))):
+                memory[piece] = None
+            elif lead and piece and not piece[-1].isspace():
+                even.append(piece)
+            else:
+                uneven.append(piece)
+        memory.update(zip(uneven, self._encode([lead + x for x in uneven]), strict=True))
+        memory.update({p: ids.astype(self.kind).tobytes() for p, (ids, _) in
+                       zip(even, piecewise.strung(self.library, even), strict=True)})
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        memory, cut, whole = self.memory, [], []
-        if len(memory) > MEMORY:
-            memory.clear()
-        missing: dict[str, None] = {}
-        for number, text in enumerate(texts):
-            if UNCUT.search(text) or text.startswith(" ") or text.endswith(" "):
+        cut = [text.split(" ") for text in texts]
+        self._learn(self.first, {x[0] for x in cut}, "", False, True)
+        self._learn(self.last, {x[-1] for x in cut}, " ", True, False)
+        self._learn(self.inner, set().union(*[x[1:-1] for x in cut]), " ", True, True)
+        out, whole = [], []
+        for number, pieces in enumerate(cut):
+            ids = [self.first[pieces[0]], *map(self.inner.__getitem__, pieces[1:-1]), self.last[pieces[-1]]]
+            if len(pieces) == 1 or None in ids:
                 whole.append(number)
-                cut.append(None)
-                continue
-            # the space belongs to the piece that it starts
-            first, *rest = text.split(" ")
-            pieces = [first, *[" " + x for x in rest]]
-            missing.update(dict.fromkeys([x for x in pieces if x not in memory]))
-            cut.append(pieces)
-        new = list(missing)
-        memory.update(zip(new, self._encode(new), strict=True))
-        uncut = iter(self._encode([texts[i] for i in whole]))
-        return [next(uncut) if x is None else b"".join(map(memory.__getitem__, x)) for x in cut]
+                out.append(b"")
+            else:
+                out.append(b"".join(ids))
+        for number, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
+            out[number] = ids
+        return out
 
 
 @cache
