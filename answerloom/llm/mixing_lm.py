@@ -38,7 +38,7 @@ from answerloom.llm import texts as T
 from answerloom.session import write_and_reload
 
 #: Bytes of context of each predictor, and the binary logarithm of its slots.
-ORDERS = {1: 8, 2: 14, 3: 15, 4: 15, 6: 15}
+ORDERS = {2: 14, 3: 15, 4: 15, 6: 15}
 FIRST_SLOT = dict(zip(ORDERS, np.cumsum([0, *[1 << b for b in ORDERS.values()]])[:-1].tolist(), strict=True))
 SLOTS = sum(1 << b for b in ORDERS.values())
 BLOCK_SLOTS = 1 << 10
@@ -49,15 +49,17 @@ FREQUENT = 1 << 20
 
 LANE = 1024
 PIECE = 1 << 19
+#: Decisions looked up at a time.
+CHUNK = 1 << 16
 SCALE = 16  # steps of a unit of log-odds in the tables
 RATE, MAP_RATE = 0.006, 0.02
 GATES, CELLS = 9, 33
 START_WEIGHT = 0.3
-#: How sure a predictor is: 0 knows nothing, 1 leans, 2 is sure.
-SURE = np.digitize(np.abs(np.arange(-128, 128)), [1, 2 * SCALE]).astype(np.int64)
+#: How sure a predictor is, by its log-odds read as an unsigned byte: 0 knows nothing, 1 leans, 2 is sure.
+SURE = np.digitize(np.abs(np.arange(256, dtype=np.uint8).view(np.int8).astype(int)), [1, 2 * SCALE]).astype(np.int8)
 
 _ODD = {k: np.uint64(v) for k, v in zip(ORDERS, (
-    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB), strict=True)}
+    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F), strict=True)}
 
 
 def symbols(piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +75,7 @@ def slots(stream: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndar
         context[back:] |= np.where(place[back:] >= back, wide[:-back], 0) << np.uint64(8 * (back - 1))
         if back in ORDERS:
             bits = ORDERS[back]
-            own = context if back == 1 else ((context + np.uint64(1)) * _ODD[back]) >> np.uint64(64 - bits)
+            own = ((context + np.uint64(1)) * _ODD[back]) >> np.uint64(64 - bits)
             yield back, own.astype(np.int64) + FIRST_SLOT[back]
 
 
@@ -106,7 +108,7 @@ def count_corpus(training: DataFrame, tasks: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(SLOTS << 8, np.int32)
+        table, seen = np.zeros(SLOTS << 8, np.int32), np.zeros(256, np.int64)
         held, size = [], 0
         for batch in batches:
             rest = batch.column(0).to_numpy(zero_copy_only=False)
@@ -124,6 +126,7 @@ def count_corpus(training: DataFrame, tasks: int) -> DataFrame:
                 counted = rest[piece.first : piece.first + piece.rows] != MIX_FOLD
                 stream, bounds = symbols(piece)
                 chosen = np.repeat(counted, np.diff(bounds))
+                seen += np.bincount(stream[chosen], minlength=256)
                 for _, slot in slots(stream, bounds):
                     np.add.at(table, ((slot << 8) | stream)[chosen], np.int32(1))
         if held:
@@ -131,8 +134,8 @@ def count_corpus(training: DataFrame, tasks: int) -> DataFrame:
             for start in range(0, len(keys), 100_000):
                 part = slice(start, start + 100_000)
                 yield _partial(WORDS, keys[part].view(np.int64), counts[part])
-        if table.any():
-            yield _partial(BYTES, np.arange(256), table[: 1 << 16].reshape(256, 256).sum(axis=0, dtype=np.int64))
+        if seen.any():
+            yield _partial(BYTES, np.arange(256), seen)
             for block in range(-(-SLOTS // BLOCK_SLOTS)):
                 part = table[block * BLOCK_SLOTS << 8 : (block + 1) * BLOCK_SLOTS << 8]
                 some = np.flatnonzero(part).astype("<u4")
@@ -233,62 +236,83 @@ def start_state() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _decisions(piece: T.Piece, model: MixModel):
-    """Inputs, gates, bits and validity by step and lane, and the row of each lane."""
+    """Inputs (step, predictor, lane), gates, bits and validity (step, lane), and the row of each lane."""
     stream, bounds = symbols(piece)
-    code, table = model.code, model.table
+    code, table, orders = model.code, model.table, len(ORDERS)
     lengths = code.length[stream]
     last = np.cumsum(lengths)
-    byte = np.repeat(np.arange(len(stream), dtype=np.int32), lengths)
-    path = (code.first[stream] - (last - lengths))[byte] + np.arange(len(byte))
-    node = code.node[path]
-    found = np.empty((len(byte), len(ORDERS)), np.int8)
-    for k, (_, slot) in enumerate(slots(stream, bounds)):
-        found[:, k] = table[(slot << 8)[byte] + node]
+    total = int(last[-1])
+    byte = np.repeat(np.arange(len(stream)), lengths)
+    rows = [slot << 8 for _, slot in slots(stream, bounds)]
+    path_first = code.first[stream] - (last - lengths)
+    found, own_bits = np.empty((orders, total), np.int8), np.empty(total, np.uint8)
+    for low in range(0, total, CHUNK):  # temporaries stay in the cache
+        part = byte[low : low + CHUNK]
+        path = path_first.take(part)
+        path += np.arange(low, low + len(part))
+        node = code.node.take(path)
+        own_bits[low : low + CHUNK] = code.bit.take(path)
+        for k in range(orders):
+            at = rows[k].take(part)
+            at += node
+            found[k, low : low + CHUNK] = table.take(at)
     row_start = np.concatenate([[0], last])[bounds]
     counts = np.diff(row_start)
     lanes = -(-counts // LANE)
     lane_start = np.concatenate([[0], np.cumsum(lanes)])
-    total = int(lane_start[-1])
-    inputs, bits = np.zeros((total * LANE, len(ORDERS)), np.int8), np.zeros(total * LANE, np.uint8)
-    own_bits = code.bit[path]
+    width = int(lane_start[-1])
+    inputs, bits = np.zeros((orders, width * LANE), np.int8), np.zeros(width * LANE, np.uint8)
     for i in range(piece.rows):
         to = slice(lane_start[i] * LANE, lane_start[i] * LANE + counts[i])
-        inputs[to] = found[row_start[i] : row_start[i + 1]]
+        inputs[:, to] = found[:, row_start[i] : row_start[i + 1]]
         bits[to] = own_bits[row_start[i] : row_start[i + 1]]
     row = np.repeat(np.arange(piece.rows), lanes)
-    size = np.minimum(LANE, counts[row] - (np.arange(total) - lane_start[row]) * LANE)
-    gates = SURE[inputs[:, -1].astype(np.int64) + 128] * 3 + SURE[inputs[:, -2].astype(np.int64) + 128]
-    turned = lambda x: np.ascontiguousarray(np.swapaxes(x.reshape(total, LANE, *x.shape[1:]), 0, 1))
-    return turned(inputs), turned(gates), turned(bits), np.arange(LANE)[:, None] < size, row
+    size = np.minimum(LANE, counts[row] - (np.arange(width) - lane_start[row]) * LANE)
+    gates = SURE.take(inputs[-1].view(np.uint8)) * np.int8(3) + SURE.take(inputs[-2].view(np.uint8))
+    return (np.ascontiguousarray(inputs.reshape(orders, width, LANE).transpose(2, 0, 1)),
+            np.ascontiguousarray(gates.reshape(width, LANE).T), np.ascontiguousarray(bits.reshape(width, LANE).T),
+            np.arange(LANE)[:, None] < size, row)
 
 
-def mix(piece: T.Piece, model: MixModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """log10 probability of each row; the weights and maps at the ends of the lanes, with how often each was used."""
+def mix(piece: T.Piece, model: MixModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """log10 probability of each row; the weights (lane, gate, predictor) and maps at the ends of the lanes, and how
+    often each gate was used."""
     inputs, gates, bits, valid, row = _decisions(piece, model)
-    lanes = len(row)
-    weights = np.tile(model.weights, (lanes, 1))
-    refine = np.tile(model.refine, lanes)
-    gates += np.arange(lanes) * GATES
-    cell_base = np.arange(lanes) * CELLS + CELLS // 2
-    chance = np.empty((LANE, lanes), np.float32)
-    scale, rate = np.float32(1 / SCALE), np.float32(RATE)
-    for step in range(int(valid.sum(axis=0).max(initial=0))):
-        x = inputs[step] * scale
-        at = gates[step]
-        w = weights.take(at, axis=0)
-        mixed = np.einsum("lk,lk->l", w, x)
+    width, orders = len(row), len(ORDERS)
+    weights = np.repeat(model.weights.T.reshape(-1), width).astype(np.float32)  # predictor, gate, lane
+    refine = np.tile(model.refine, width)
+    lane, cell_base = np.arange(width), np.arange(width) * CELLS + CELLS // 2
+    chance = np.empty((LANE, width), np.float32)
+    scale, rate, map_rate = np.float32(1 / SCALE), np.float32(RATE), np.float32(MAP_RATE)
+    predictor = np.arange(orders)[:, None] * (GATES * width)
+    x, w, change = (np.empty((orders, width), np.float32) for _ in range(3))
+    at, gate = np.empty((orders, width), np.int64), np.empty(width, np.int64)
+    for step in range(int(valid.any(axis=1).sum())):
+        np.multiply(inputs[step], scale, out=x)
+        np.multiply(gates[step], width, out=gate, dtype=np.int64)
+        gate += lane
+        np.add(predictor, gate, out=at)
+        weights.take(at, out=w, mode="clip")
+        np.multiply(w, x, out=change)
+        mixed = change.sum(axis=0)
         p = 1 / (1 + np.exp(-mixed))
         bit = bits[step].astype(np.float32)
-        weights[at] = w + ((bit - p) * rate)[:, None] * x
-        cell = cell_base + np.rint(np.clip(mixed, -8, 8) * 2).astype(np.int64)
+        np.multiply(x, (bit - p) * rate, out=change)
+        w += change
+        weights[at] = w
+        cell = np.rint(np.clip(mixed, -8, 8) * 2).astype(np.int64)
+        cell += cell_base
         seen = refine.take(cell)
-        refine[cell] = seen + (bit - seen) * np.float32(MAP_RATE)
+        refine[cell] = seen + (bit - seen) * map_rate
         np.add(p, seen, out=chance[step])
-    chance *= 0.5
-    chance = np.clip(np.where(bits, chance, 1 - chance), 1e-5, 1)
-    logs = np.where(valid, np.log10(chance, dtype=np.float64), 0).sum(axis=0)
-    used = np.bincount(gates[valid], minlength=lanes * GATES).reshape(lanes, GATES)
-    return np.bincount(row, logs, piece.rows), weights.reshape(lanes, GATES, -1), refine.reshape(lanes, CELLS), used, row
+    chance *= np.float32(0.5)
+    np.subtract(1, chance, out=chance, where=bits == 0)
+    np.clip(chance, 1e-5, 1, out=chance)
+    chance[~valid] = 1
+    logs = np.log10(chance).sum(axis=0, dtype=np.float64)
+    used = np.stack([((gates == g) & valid).sum(axis=0) for g in range(GATES)], axis=1)
+    return (np.bincount(row, logs, piece.rows), weights.reshape(orders, GATES, width).transpose(2, 1, 0),
+            refine.reshape(width, CELLS), used)
 
 
 def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
@@ -299,7 +323,7 @@ def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
         own, sums, uses, maps, lanes = held.value, None, None, 0.0, 0
         for batch in batches:
             for piece in T.pieces(batch.column(0), PIECE):
-                _, weights, refine, used, _ = mix(piece, own)
+                _, weights, refine, used = mix(piece, own)
                 total = used.sum(axis=0)
                 mean = np.where(total[:, None] > 0, (weights * used[:, :, None]).sum(axis=0) / np.maximum(total, 1)[:, None],
                                 own.weights)
