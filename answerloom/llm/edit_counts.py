@@ -18,6 +18,7 @@ columns are not looked at, an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import cache
 
@@ -70,10 +71,20 @@ class PretokenCounter:
             else:
                 even.append(piece)
         plain = [p for p in even if not any(c.isspace() for c in p)]
-        for piece, (_, places) in zip(plain, piecewise.strung(self.library, plain), strict=True):
-            lengths = [len(t) for t in PRETOKEN.findall(" " + piece)]
-            owner = np.searchsorted(np.cumsum(lengths), places, side="right")
-            self.known[piece] = self._pack(lengths, np.bincount(owner, minlength=len(lengths)))
+        for group, _, places, cuts in piecewise.strung(self.library, plain):
+            places = places.tolist()
+            for piece, low, high in zip(group, cuts, cuts[1:], strict=False):
+                lengths = [len(t) for t in PRETOKEN.findall(" " + piece)]
+                if len(lengths) == 1:
+                    self.known[piece] = struct.pack("<2i", lengths[0], high - low)
+                    continue
+                counts, end, own = [0] * len(lengths), lengths[0], 0
+                for place in places[low:high]:
+                    while place >= end:
+                        own += 1
+                        end += lengths[own]
+                    counts[own] += 1
+                self.known[piece] = struct.pack(f"<{2 * len(lengths)}i", *[x for pair in zip(lengths, counts) for x in pair])
         rest = [p for p in even if any(c.isspace() for c in p)]
         self.known.update(zip(rest, self._alone([" " + p for p in rest]), strict=True))
 

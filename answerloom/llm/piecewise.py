@@ -8,6 +8,7 @@ the pieces one after the other, and the offsets of the tokens tell them apart.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -27,19 +28,17 @@ def load(path: str, ordinary_specials: bool = False):
     return library
 
 
-def strung(library, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each piece, with a space before it, its ids and the places in it at which they start."""
+def strung(library, pieces: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray, list[int]]]:
+    """Groups of pieces, each with a space before it: the pieces, all their ids, the places in its piece at which each
+    id starts, and where the ids of each piece begin (one more at the end)."""
     groups = [pieces[i : i + GROUP] for i in range(0, len(pieces), GROUP)]
-    out = []
-    for group, found in zip(groups, library.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False),
-                            strict=True):
-        ends = np.cumsum([len(p) + 1 for p in group])
+    encoded = library.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False)
+    for group, found in zip(groups, encoded, strict=True):
+        lengths = np.array([len(p) + 1 for p in group])
+        ends = np.cumsum(lengths)
         ids, starts = np.array(found.ids, np.int64), np.array([o[0] for o in found.offsets], np.int64)
         owner = np.searchsorted(ends, starts, side="right")
-        cuts = np.searchsorted(owner, np.arange(1, len(group)))
-        places = starts - (ends - [len(p) + 1 for p in group])[owner]
-        out += zip(np.split(ids, cuts), np.split(places, cuts), strict=True)
-    return out
+        yield group, ids, starts - (ends - lengths)[owner], np.searchsorted(owner, np.arange(len(group) + 1)).tolist()
 
 
 class Memory(dict):
@@ -54,7 +53,11 @@ class Memory(dict):
         if len(self) > GENERATION:
             self.older = dict(self)
             self.clear()
-        new = pieces.difference(self)
-        again = new.intersection(self.older)
-        self.update({p: self.older[p] for p in again})
-        return list(new.difference(again))
+        older, new = self.older, []
+        for piece in pieces:
+            if piece not in self:
+                if piece in older:
+                    self[piece] = older[piece]
+                else:
+                    new.append(piece)
+        return new

@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +64,10 @@ class SplitEncoder:
             else:
                 uneven.append(piece)
         memory.update(zip(uneven, self._encode([lead + x for x in uneven]), strict=True))
-        memory.update({p: ids.astype(self.kind).tobytes() for p, (ids, _) in
-                       zip(even, piecewise.strung(self.library, even), strict=True)})
+        size = self.kind.itemsize
+        for group, ids, _, cuts in piecewise.strung(self.library, even):
+            data = ids.astype(self.kind).tobytes()
+            memory.update(zip(group, [data[size * a : size * b] for a, b in pairwise(cuts)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [text.split(" ") for text in texts]
