@@ -48,9 +48,9 @@ FOLDS, HELD_OUT, MIX_FOLD = 7, 2, 6
 FREQUENT = 1 << 20
 
 LANE = 1024
-PIECE = 1 << 19
+PIECE = 1 << 20
 #: Decisions looked up at a time.
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 SCALE = 16  # steps of a unit of log-odds in the tables
 RATE, MAP_RATE = 0.006, 0.02
 GATES, CELLS = 9, 33
