@@ -4,12 +4,12 @@
    with equal sets are one *set*, known by a 128-bit key; only sets are compared from here on.
 2. Rows and bands of the MinHash signature follow from the target recall at the threshold (`plan_bands`); the sets
    are shuffled on their band hashes.
-3. In each bucket all sets are compared with the smallest one, its leader, on the full n-gram sets. That is as many
-   comparisons as there are sets in buckets, however large a bucket is.
-4. Jaccard distance obeys the triangle inequality. Two sets with a common leader whose distances to it sum to no more
-   than the allowed distance are linked for certain, and are counted by their distances without being paired. All
-   other pairs that share a bucket are compared one by one; groups of sets at equal distance to one leader are
-   ruled out together before any pair is made.
+3. Buckets with equal members are kept once. Of a bucket of up to `SMALL` sets the pairs are made, told apart, and
+   compared on the full n-gram sets.
+4. A larger bucket is cut into blocks of about `BLOCK` sets, and each task compares two blocks as matrices of sets by
+   n-grams. No pairs leave it: only, for each set, how many it is linked to, and a star of links for each connected
+   group. A pair counts in the first of the large buckets that it shares, so each pair counts once. The work of a
+   huge group is spread over as many tasks as it has pairs of blocks.
 5. Classes are the connected components of the links, found by rounds of joins on written tables.
 
 The result has one row per document: its class (the smallest id in it) and its number of links (other documents at
@@ -35,8 +35,11 @@ from answerloom.llm import texts as T
 from answerloom.session import write_and_reload
 
 WORDS = 5
-#: Distances to a leader are rounded up to this fraction before they are summed.
-GRID = 1000
+#: Largest bucket of which pairs are made, and sets in a block of a larger one.
+SMALL = 16
+BLOCK = 512
+#: N-grams multiplied at a time.
+COLUMNS = 2048
 
 
 def plan_bands(threshold: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -58,11 +61,6 @@ class JoinSettings:
     recall: float = 0.999
     hashes: int = 100
 
-    @property
-    def slack(self) -> int:
-        """Allowed distance in steps of the grid."""
-        return math.floor((1 - self.threshold) * GRID + 1e-9)
-
 
 def gram_sets(piece: T.Piece) -> list[np.ndarray]:
     """The sorted distinct n-gram hashes of each row; empty for rows without words."""
@@ -165,6 +163,88 @@ def _linked(settings: JoinSettings):
     return F.col("shared") >= F.lit(settings.threshold) * F.col("total")
 
 
+def _incidence(owner: np.ndarray, column: np.ndarray, rows: int, low: int) -> np.ndarray:
+    out = np.zeros((rows, COLUMNS), np.float32)
+    inside = (column >= low) & (column < low + COLUMNS)
+    out[owner[inside], column[inside] - low] = 1
+    return out
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left sets with all right ones; n-grams of a single set take no part."""
+    both = [*left, *right]
+    owner = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    grams, column, count = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    common = np.flatnonzero(count > 1)
+    place = np.full(len(grams), -1)
+    place[common] = np.arange(len(common))
+    column = place[column]
+    owner, column = owner[column >= 0], column[column >= 0]
+    first = owner < len(left)
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(common), COLUMNS):
+        out += _incidence(owner[first], column[first], len(left), low) @ _incidence(
+            owner[~first] - len(left), column[~first], len(right), low).T
+    return out
+
+
+def block_links(grams: list[np.ndarray], buckets: list[list[int]], block: np.ndarray, band: int, left: int, right: int,
+                threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the sets of two blocks, and the matrix of their links. Pairs of an earlier common bucket are left out."""
+    a, b = np.flatnonzero(block == left), np.flatnonzero(block == right)
+    sizes = np.array([len(g) for g in grams], np.float64)
+    shared = shared_counts([grams[i] for i in a], [grams[i] for i in b]).astype(np.float64)
+    linked = shared >= threshold * (sizes[a][:, None] + sizes[b][None, :] - shared)
+    earlier = {x: k for k, x in enumerate(sorted({x for own in buckets for x in own if x < band}))}
+    if earlier:
+        flags = np.zeros((len(grams), len(earlier)), np.float32)
+        for i, own in enumerate(buckets):
+            flags[i, [earlier[x] for x in own if x < band]] = 1
+        linked &= flags[a] @ flags[b].T == 0
+    if left == right:
+        np.fill_diagonal(linked, False)
+    return a, b, linked
+
+
+def local_roots(a: np.ndarray, b: np.ndarray, linked: np.ndarray, count: int) -> np.ndarray:
+    """The smallest number in the connected group of each."""
+    root = np.arange(count)
+    while True:
+        before = root.copy()
+        root[a] = np.minimum(root[a], np.where(linked, root[b][None, :], count).min(axis=1, initial=count))
+        root[b] = np.minimum(root[b], np.where(linked, root[a][:, None], count).min(axis=0, initial=count))
+        if (root == before).all():
+            return root
+
+
+def large_bucket_links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """set, root and links by pair of blocks. `members` has band, n, set, copies and buckets (large ones of the set)."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = members.withColumn("block", F.pmod(F.xxhash64("set"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.join(sets, "set").select(
+        "band", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "set",
+        "copies", "buckets", "grams")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("set")
+        names, copies = table["set"].to_pylist(), table["copies"].to_numpy()
+        grams = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["grams"]]
+        a, b, linked = block_links(grams, table["buckets"].to_pylist(), table["block"].to_numpy(), table["band"][0].as_py(),
+                                   table["left"][0].as_py(), table["right"][0].as_py(), threshold)
+        links = np.zeros(len(names), np.int64)
+        links[a] += linked @ copies[b]
+        if table["left"][0].as_py() != table["right"][0].as_py():
+            links[b] += linked.T @ copies[a]
+        root = local_roots(a, b, linked, len(names))
+        some = np.flatnonzero(links)
+        return pa.table({"set": pa.array([names[i] for i in some], pa.binary()),
+                         "root": pa.array([names[root[i]] for i in some], pa.binary()),
+                         "links": pa.array(links[some], pa.int64())})
+
+    return placed.groupBy("band", "left", "right").applyInArrow(run, "set binary, root binary, links long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node reached) of the undirected edges a, b.
 
@@ -199,55 +279,34 @@ def classes(documents: DataFrame, settings: JoinSettings = JoinSettings(), key:
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("mark", "id")).alias("at"),
              F.first("bands").alias("bands")), "distinct-sets")
 
-    buckets = sets.select("set", F.explode("bands").alias("band"))
-    leaders = buckets.groupBy("band").agg(F.min("set").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = write_and_reload(buckets.join(leaders.drop("n"), "band"), "bucket-members")
+    buckets = sets.select("set", "copies", F.explode("bands").alias("band"))
+    sizes = buckets.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("set")).alias("f1"), F.bit_xor(F.xxhash64("set", F.lit(1))).alias("f2"))
+    once = sizes.where("n > 1").groupBy("n", "f1", "f2").agg(F.min("band").alias("band")).select("band", "n")
+    members = write_and_reload(buckets.join(once, "band"), "bucket-members")
     wanted = members.select("set").distinct().join(sets.select("set", "at"), "set").select(
         F.col("at.mark").alias("m"), F.col("at.id").alias("i"))
     texts = plain.join(wanted, (F.col("mark") == F.col("m")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
     grams = write_and_reload(sets_of(texts).groupBy("set").agg(F.first("grams").alias("grams")), "gram-sets")
 
-    # every member against the leaders of its buckets; its home is the smallest leader within reach, or itself
-    led = compared(members.where("set <> leader").select("leader", "set").distinct(), grams, "leader", "set")
-    led = write_and_reload(led.where(_linked(settings)), "led-sets")
-    gap = F.ceil(GRID * (F.col("total") - F.col("shared")) / F.col("total")).cast("int")
-    homes = led.groupBy("set").agg(F.min(F.struct(F.col("leader").alias("home"), gap.alias("gap"))).alias("h"))
-    homes = members.select("set").distinct().join(homes, "set", "left").select(
-        "set", F.coalesce("h.home", "set").alias("home"), F.coalesce("h.gap", F.lit(0)).alias("gap"))
-    homes = write_and_reload(homes, "set-homes")
-
-    # certain links of a set: to the sets of its home near enough for both distances together
-    slack = settings.slack
-    weighed = homes.join(sets.select("set", "copies"), "set")
-    histogram = weighed.groupBy("home", "gap").agg(F.sum("copies").alias("n")).groupBy("home").agg(
-        F.map_from_entries(F.collect_list(F.struct("gap", "n"))).alias("at_gap"))
-    near = F.aggregate(F.map_entries("at_gap"), F.lit(0).cast("long"), lambda total, e: F.when(
-        e["key"] + F.col("gap") <= slack, total + e["value"]).otherwise(total))
-    certain = weighed.join(histogram, "home").select(
-        "set", (near - F.when(2 * F.col("gap") <= slack, F.col("copies")).otherwise(0)).alias("links"))
-
-    # what is left: pairs of one bucket not settled by a common home; first groups of equal home and gap, then sets
-    placed = write_and_reload(members.select("band", "set").join(homes, "set"), "placed-members")
-    cells = placed.select("band", "home", "gap").distinct()
-    other = cells.select("band", F.col("home").alias("home2"), F.col("gap").alias("gap2"))
-    open_cells = cells.join(other, "band").where(
-        F.when(F.col("home") == F.col("home2"), (F.col("gap") <= F.col("gap2")) & (F.col("gap") + F.col("gap2") > slack)
-               & (F.col("gap2") - F.col("gap") <= slack)).otherwise(F.col("home") < F.col("home2")))
-    open_cells = write_and_reload(open_cells, "open-cells")
+    small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
+    own = large.groupBy("set").agg(F.collect_list("band").alias("buckets"))  # no more than bands
     pairs = (
-        open_cells.join(placed, ["band", "home", "gap"]).withColumnRenamed("set", "a")
-        .join(placed.select("band", F.col("home").alias("home2"), F.col("gap").alias("gap2"), F.col("set").alias("b")),
-              ["band", "home2", "gap2"])
-        .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        small.select("band", F.col("set").alias("a")).join(small.select("band", F.col("set").alias("b")), "band")
+        .where("a < b").select("a", "b").distinct())
+    for end in ("a", "b"):
+        pairs = pairs.join(own.withColumnsRenamed({"set": end, "buckets": f"in_{end}"}), end, "left")
+    pairs = pairs.where(~F.coalesce(F.arrays_overlap("in_a", "in_b"), F.lit(False))).select("a", "b")
     single = write_and_reload(compared(pairs, grams, "a", "b").where(_linked(settings)).select("a", "b"), "single-links")
+    blocked = write_and_reload(large_bucket_links(large.join(own, "set"), grams, settings.threshold), "block-links")
 
     counts = sets.select("set", "copies")
     one_by_one = single.union(single.select("b", "a")).join(counts.withColumnRenamed("set", "b"), "b").select(
         F.col("a").alias("set"), F.col("copies").alias("links"))
-    links = certain.unionByName(one_by_one).groupBy("set").agg(F.sum("links").alias("links"))
+    links = one_by_one.unionByName(blocked.select("set", "links")).groupBy("set").agg(F.sum("links").alias("links"))
 
-    edges = homes.select(F.col("set").alias("a"), F.col("home").alias("b")).union(single)
-    roots = components(edges.where("a <> b"))
+    edges = single.union(blocked.select(F.col("set").alias("a"), F.col("root").alias("b")).distinct())
+    roots = components(edges)
     grouped = sets.select("set", "first", "copies").join(roots, F.col("set") == F.col("node"), "left").select(
         "set", "first", "copies", F.coalesce("root", "set").alias("root"))
     named = grouped.groupBy("root").agg(F.min("first").alias("class_id"))

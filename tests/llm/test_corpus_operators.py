@@ -72,6 +72,19 @@ def test_join_matches_brute_force_with_edits_of_all_sizes(documents_of, odd_rows
     assert kept.count() == wordless + classes
 
 
+def test_large_buckets_in_blocks_give_the_same(documents_of, monkeypatch):
+    rng = np.random.default_rng(4)
+    words, rows = [f"w{x}" for x in rng.integers(0, 10_000, 150)], []
+    for number in range(40):
+        new = list(words)
+        for at in rng.integers(0, len(new), number % 5):
+            new[at] = f"e{rng.integers(0, 10_000)}"
+        rows.append((number, " ".join(new)))
+    monkeypatch.setattr(jaccard, "SMALL", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    assert Counter(tuple(r) for r in jaccard.join_documents(documents_of(rows)).collect()) == brute_classes(rows)
+
+
 def test_join_of_no_rows(documents_of):
     assert jaccard.join_documents(documents_of([])).count() == 0 and jaccard.keep_one(documents_of([])).count() == 0
 
