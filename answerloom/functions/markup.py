@@ -6,6 +6,9 @@ and RE2 both support, so the result can be checked in another engine.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,14 +20,10 @@ BLOCKS = (
     "header|html|main|nav|ol|p|pre|section|summary|table|tbody|tfoot|thead|tr|ul"
 )
 
-# Named entities, the ampersand last so that it cannot build new ones.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"),
-    ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"),
-    ("&amp;", "&"),
-)
+# Names and characters of the standard table; the most frequent names come first, as a lookup reads from the front.
+FREQUENT_NAMES = ("amp", "lt", "gt", "quot", "nbsp", "copy", "middot")
+NAMED = {n.removesuffix(";"): c for n, c in html5.items() if n.endswith(";")}
+NAMED = {n: NAMED[n] for n in FREQUENT_NAMES} | NAMED | {"nbsp": " "}
 
 # Pattern and replacement of each stage, in order; $n names a group.
 STAGES: tuple[tuple[str, str], ...] = (
@@ -57,25 +56,32 @@ STAGES: tuple[tuple[str, str], ...] = (
 )
 
 
-def numeric_entities(text: Column) -> Column:
-    """Replace decimal and hexadecimal character references by their characters."""
+def decode_entities(text: Column) -> Column:
+    """Replace named, decimal and hexadecimal character references by their characters, in one pass.
+
+    What is no known reference stays as it is; what a replaced one makes together with the text after it is not
+    read again.
+    """
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
 
     def character(code: Column) -> Column:
         usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
     def piece(part: Column, position: Column) -> Column:
-        decimal = F.regexp_extract(part, r"\A([0-9]{1,7});", 1)
-        hexadecimal = F.regexp_extract(part, r"\A[xX]([0-9a-fA-F]{1,6});", 1)
-        code = F.when(decimal != "", decimal.cast("bigint")).when(
-            hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("bigint")
-        )
-        decoded = F.concat(character(code), F.regexp_replace(part, r"\A[0-9a-fA-FxX]+;", ""))
-        return F.when(position == 0, part).otherwise(F.coalesce(decoded, F.concat(F.lit("&#"), part)))
+        name = F.regexp_extract(part, r"\A(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", 1)
+        decimal = F.regexp_extract(name, r"\A#0*([0-9]{1,7})\z", 1)
+        hexadecimal = F.regexp_extract(name, r"\A#[xX]0*([0-9a-fA-F]{1,6})\z", 1)
+        found = (
+            F.when(name == "", F.lit(None).cast("string"))
+            .when(decimal != "", character(decimal.cast("bigint")))
+            .when(hexadecimal != "", character(F.conv(hexadecimal, 16, 10).cast("bigint")))
+            .otherwise(F.try_element_at(names, name)))
+        rest = F.substr(part, F.length(name) + 2)
+        return F.when(position == 0, part).otherwise(
+            F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), part)))
 
-    return F.when(
-        text.contains("&#"), F.array_join(F.transform(F.split(text, "&#"), piece), "")
-    ).otherwise(text)
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)
 
 
 def html_to_markdown(html: Column) -> Column:
@@ -84,7 +90,5 @@ def html_to_markdown(html: Column) -> Column:
     for pattern, replacement in STAGES:
         text = F.regexp_replace(text, pattern, replacement)
     # The one-element transform evaluates the stages once, however often the text is used.
-    text = F.get(F.transform(F.array(text), numeric_entities), 0)
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
+    text = F.get(F.transform(F.array(text), decode_entities), 0)
     return squeeze_newlines(strip(text))

@@ -9,11 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from answerloom.functions.markup import decode_entities
+
 # URL component patterns.
 SCHEME = r"\A([A-Za-z][A-Za-z0-9+.\-]*):"
 AUTHORITY = r"\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 PATH = r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
-HREF = r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]*)[\"']"
+# An anchor with its href in one of three quotings; the name is a whole attribute, not the end of another.
+ANCHOR = r"(?i)<a\s(?:[^>]*?[\s\"'])??href\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+TARGET = r"(?is)href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))\z"
+UNSEEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 
 
 def url_scheme(url: Column) -> Column:
@@ -31,8 +36,10 @@ def url_path(url: Column) -> Column:
 
 
 def page_links(html: Column) -> Column:
-    """All link targets of the anchors in a page."""
-    return F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
+    """All link targets of the anchors in a page, entities decoded; comments, scripts and styles hold none."""
+    anchors = F.regexp_extract_all(F.regexp_replace(html, UNSEEN, " "), F.lit(ANCHOR), F.lit(0))
+    return F.transform(anchors, lambda a: decode_entities(F.concat(
+        *[F.regexp_extract(a, TARGET, group) for group in (1, 2, 3)])))
 
 
 def page_file_name(url: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +15,7 @@ from answerloom.functions.text import fill_template, first_sentence
 from answerloom.operators.embed import Embedder
 from answerloom.operators.parse import SUCCESS
 from answerloom.operators.ranking import top_k
-from answerloom.operators.retrieve import search
+from answerloom.operators.retrieve import search, search_with_failures
 from answerloom.session import write_and_reload
 
 # A model call on a batch: list of inputs to list of texts. In the chat chain it also
@@ -64,43 +64,51 @@ def build_prompt(system_template: str, context: Column, history: Column, questio
     )
 
 
-def call_model(df: DataFrame, source: str, target: str, model: TextModel) -> DataFrame:
-    """Run a model over Arrow batches of one column; adds ``target`` and ``<target>_status``.
+ANSWERED = T.StructType([T.StructField("text", T.StringType()), T.StructField("status", T.StringType())])
+MODEL_ROWS = 256
 
-    A failed batch is retried row by row, so that one bad input only fails itself.
+
+def call_model(df: DataFrame, source: str, target: str, model: TextModel, rows: int = MODEL_ROWS) -> DataFrame:
+    """Run a model over one column in batches of at most ``rows``; adds ``target`` and ``<target>_status``.
+
+    Only the one column travels to Python. A failed batch is halved until its bad inputs stand alone, so good ones
+    are asked again a few times at most. A model with a method ``connect`` is connected once per task.
     """
-    schema = T.StructType([
-        *df.schema.fields,
-        T.StructField(target, T.StringType()),
-        T.StructField(f"{target}_status", T.StringType()),
-    ])
-
-    def call(inputs: list) -> list[tuple[str | None, str]]:
-        try:
-            outputs = list(model(inputs))
-            if len(outputs) != len(inputs):
-                raise ValueError("the model returned another number of texts")
-            return [(text, SUCCESS) for text in outputs]
-        except Exception as error:
-            if len(inputs) == 1:
-                return [(None, f"ERROR: {error}")]
-            return [call([value])[0] for value in inputs]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                results = call(list(batch[source]))
-                batch[target] = [text for text, _ in results]
-                batch[f"{target}_status"] = [status for _, status in results]
-                yield batch
 
-    return df.mapInPandas(run, schema)
+    @F.arrow_udf(ANSWERED)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        connected = model.connect() if hasattr(model, "connect") else model
+
+        def call(inputs: list) -> list[tuple[str | None, str]]:
+            try:
+                outputs = list(connected(inputs))
+                if len(outputs) != len(inputs):
+                    raise ValueError("the model returned another number of texts")
+                return [(text, SUCCESS) for text in outputs]
+            except Exception as error:
+                if len(inputs) == 1:
+                    return [(None, f"ERROR: {error}")]
+                half = len(inputs) // 2
+                return call(inputs[:half]) + call(inputs[half:])
+
+        for batch in batches:
+            done = [r for i in range(0, len(batch), rows) for r in call(batch.slice(i, rows).to_pylist())]
+            texts, states = zip(*done, strict=True) if done else ((), ())
+            yield pa.StructArray.from_arrays(
+                [pa.array(texts, pa.string()), pa.array(states, pa.string())], ["text", "status"])
+
+    return (
+        df.withColumn("_called", run.asNondeterministic()(F.col(source)))
+        .withColumn(target, F.col("_called.text"))
+        .withColumn(f"{target}_status", F.col("_called.status"))
+        .drop("_called")
+    )
 
 
 def with_search_query(
     requests: DataFrame, rewriter: TextModel | None = None, template: str = ChatSettings().rewrite_template
 ) -> DataFrame:
-    """Add ``search_query``: rewritten if there is any history, else the question itself.
+    """Add ``search_query`` and its status: rewritten if there is any history, else the question itself.
 
     Without a rewriter the previous message stands before the question.
     """
@@ -110,14 +118,15 @@ def with_search_query(
         return requests.withColumn(
             "search_query",
             F.when(has_history, F.concat_ws(" ", previous, F.col("question"))).otherwise(F.col("question")),
-        )
+        ).withColumn("search_query_status", F.lit(SUCCESS))
     prompt = F.when(has_history, rewrite_prompt(template, F.col("history"), F.col("question")))
     prompted = requests.withColumn("_rewrite_prompt", prompt)
     # Only requests with a history are sent to the model.
-    plain = prompted.filter(F.col("_rewrite_prompt").isNull()).withColumn("search_query", F.col("question"))
+    plain = prompted.filter(F.col("_rewrite_prompt").isNull()).withColumn("search_query", F.col("question")).withColumn(
+        "search_query_status", F.lit(SUCCESS))
     rewritten = call_model(
         prompted.filter(F.col("_rewrite_prompt").isNotNull()), "_rewrite_prompt", "search_query", rewriter
-    ).drop("search_query_status")
+    )
     return plain.unionByName(rewritten).drop("_rewrite_prompt")
 
 
@@ -151,8 +160,8 @@ def history_rows(turns: DataFrame) -> DataFrame:
 def prompt_rows(turns: DataFrame, contexts: DataFrame, system_template: str) -> DataFrame:
     """The prompt of each conversation as rows (conv_id, position, role, content).
 
-    Position -1 is the system text; history and question keep their turn number,
-    and the question gets the role ``user``.
+    Position -1 is the system text, with an empty context where there is none; history and question keep their
+    turn number, and the question gets the role ``user``.
     """
     marked = turns.join(last_turns(turns), "conv_id").withColumn("_last", F.col("turn") == F.col("last_turn"))
     kept = marked.filter(F.col("_last") | F.col("role").isin(*PROMPT_ROLES)).select(
@@ -161,7 +170,8 @@ def prompt_rows(turns: DataFrame, contexts: DataFrame, system_template: str) ->
         F.when(F.col("_last"), "user").otherwise(F.col("role")).alias("role"),
         F.col("text").alias("content"),
     )
-    system = contexts.select(
+    every = last_turns(turns).select("conv_id").join(contexts.select("conv_id", "context"), "conv_id", "left")
+    system = every.withColumn("context", F.coalesce("context", F.lit(""))).select(
         "conv_id",
         F.lit(-1).cast("bigint").alias("position"),
         F.lit("system").alias("role"),
@@ -247,16 +257,25 @@ def answer_requests(
             .withColumn("retrieved_uris", F.array().cast("array<string>"))
         )
     else:
-        hits = search(asked, index, settings.retriever, embedder, request_key, "search_query")
+        # a query that was not made is not searched; one that could not be embedded comes back with its status
+        made = asked.filter(F.col("search_query_status") == SUCCESS)
+        hits, failed = search_with_failures(made, index, settings.retriever, embedder, request_key, "search_query")
         contexts = build_context(hits, settings.retriever.chunk_template, request_key)
-        with_context = asked.join(contexts, request_key, "left")
+        with_context = asked.join(contexts, request_key, "left").join(
+            failed.withColumnRenamed("status", "_search_failure"), request_key, "left").withColumn(
+            "search_query_status", F.coalesce("_search_failure", "search_query_status")).drop("_search_failure")
     prompted = with_context.withColumn(
         "prompt",
         build_prompt(
             settings.system_template, F.coalesce("context", F.lit("")), F.col("history"), F.col("question")
         ),
     )
+    sound = F.col("search_query_status") == SUCCESS
     if generator is not None:
-        return call_model(prompted, "prompt", "answer", generator)
+        # written once: the generator is asked about sound requests only, the others keep their status
+        prompted = write_and_reload(prompted, "prompts")
+        answered = call_model(prompted.filter(sound), "prompt", "answer", generator)
+        return answered.unionByName(prompted.filter(~sound).withColumn("answer", F.lit(None).cast("string")).withColumn(
+            "answer_status", F.col("search_query_status")))
     answer = extractive_answer(F.col("top_chunk")) if index is not None else first_sentence(F.col("question"))
-    return prompted.withColumn("answer", answer).withColumn("answer_status", F.lit(SUCCESS))
+    return prompted.withColumn("answer", F.when(sound, answer)).withColumn("answer_status", F.col("search_query_status"))

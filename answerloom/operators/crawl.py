@@ -25,7 +25,7 @@ def store_edges(edges: DataFrame, table: str, buckets: int) -> DataFrame:
     return edges.sparkSession.table(table)
 
 
-def reachable_pages(edges: DataFrame, seeds: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def reachable_pages(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """All nodes reachable from the seeds, with the round in which each is first met.
 
     ``edges`` has src and dst (best from ``store_edges``), ``seeds`` has url. Each round joins the frontier
@@ -44,7 +44,7 @@ def reachable_pages(edges: DataFrame, seeds: DataFrame, max_rounds: int | None =
         frontier.observe(met, F.count(F.lit(1)).alias("rows")).write.parquet(f"{folder}/part={number}")
         parts = [f"{folder}/part={n}" for n in range(number + 1)]
         seen = spark.read.schema(schema).parquet(*parts)
-        if met.get["rows"] == 0 or (max_rounds is not None and number >= max_rounds):
+        if met.get["rows"] == 0:
             return seen
         current = spark.read.schema(schema).parquet(parts[-1])
         number += 1
@@ -58,10 +58,15 @@ def reachable_pages(edges: DataFrame, seeds: DataFrame, max_rounds: int | None =
         )
 
 
-def crawl(pages: DataFrame, seeds: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """Follow same-site links over stored pages; a link to a page that is not stored is a failed row."""
-    edges = reliable_checkpoint(link_edges(pages).filter("same_site").select("src", "dst").distinct())
-    visited = reachable_pages(edges, seeds, max_rounds)
+def crawl(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Follow same-site links over stored pages; a link to a page that is not stored is a failed row.
+
+    A fragment names a place in a page, so links are followed and pages looked up without it.
+    """
+    plain = F.regexp_extract("dst", r"\A([^#]*)", 1)
+    edges = reliable_checkpoint(
+        link_edges(pages).filter("same_site").select("src", plain.alias("dst")).distinct())
+    visited = reachable_pages(edges, seeds)
     stored = pages.select("url").distinct().withColumn("_stored", F.lit(True))
     return visited.join(stored, "url", "left").select(
         "url", "round", F.when(F.col("_stored"), "SUCCESS").otherwise("ERROR: page not found").alias("status")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,27 +45,26 @@ def parse_html(content: Column) -> Column:
 
 
 def with_parser(raw: DataFrame, parser: BytesParser, content: str = "content") -> DataFrame:
-    """Run a caller-supplied parser over Arrow batches; an exception becomes the row's status."""
-    kept = [c for c in raw.columns if c != content]
-    schema = T.StructType([raw.schema[c] for c in kept] + [T.StructField("parsing", PARSING)])
+    """Run a caller-supplied parser over Arrow batches of the content; an exception becomes the row's status."""
 
     def one(value: bytes | None) -> dict:
         try:
             if value is None:
                 raise ValueError("no content")
-            fields = {str(k): str(v) for k, v in parser(bytes(value)).items()}
+            fields = [(str(k), str(v)) for k, v in parser(bytes(value)).items()]
             return {"doc_parsed_contents": fields, "parser_status": SUCCESS}
         except Exception as error:
-            empty = {"num_pages": "", "parsed_content": ""}
+            empty = [("num_pages", ""), ("parsed_content", "")]
             return {"doc_parsed_contents": empty, "parser_status": f"ERROR: {error}"}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = pa.struct([("doc_parsed_contents", pa.map_(pa.string(), pa.string())), ("parser_status", pa.string())])
+
+    @F.arrow_udf(PARSING)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = batch[kept].copy()
-            out["parsing"] = [one(v) for v in batch[content]]
-            yield out
+            yield pa.array([one(v) for v in batch.to_pylist()], kind)
 
-    return raw.mapInPandas(run, schema)
+    return raw.withColumn("parsing", run.asNondeterministic()(F.col(content))).drop(content)
 
 
 def pages_parser(read_pages: Callable[[bytes], list[str]]) -> BytesParser:

@@ -298,6 +298,16 @@ def recall_at_k(approximate: DataFrame, exact: DataFrame, query_key: str = "quer
     )
 
 
+def search_with_failures(
+    queries: DataFrame, index: DataFrame, settings: RetrieverSettings, embedder: Embedder | None = None,
+    query_key: str = "query_id", text: str = "query",
+) -> tuple[DataFrame, DataFrame]:
+    """The hits of ``search``, and (query, status) of the queries that could not be embedded."""
+    embedded = write_and_reload(embed(queries.select(query_key, text), text, embedder), "embedded-queries")
+    failed = embedded.filter(F.col("embed_status") != SUCCESS).select(query_key, F.col("embed_status").alias("status"))
+    return search(embedded, index, settings, None, query_key, text), failed
+
+
 def search(
     queries: DataFrame,
     index: DataFrame,
@@ -310,10 +320,12 @@ def search(
 
     Only key and vector take part in scoring. Text and address join in for the
     final hits: few hits, by the bound on their queries, go to the index scan;
-    otherwise both sides shuffle on the key.
+    otherwise both sides shuffle on the key. Queries that ``embed`` has been run on are not embedded again; those
+    that could not be embedded have no hits (``search_with_failures`` names them).
     """
     cols: IndexColumns = settings.columns
-    embedded = embed(queries.select(query_key, text), text, embedder).filter(F.col("embed_status") == SUCCESS)
+    embedded = queries if "embed_status" in queries.columns else embed(queries.select(query_key, text), text, embedder)
+    embedded = embedded.filter(F.col("embed_status") == SUCCESS)
     vectors = embedded.select(query_key, "embedding")
     if settings.query_type == "exact":
         small = _small_batch(vectors, index, "embedding", QUERY_BROADCAST_BYTES)

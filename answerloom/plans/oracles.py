@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from answerloom.conf import CHUNK_TEMPLATE, REWRITE_TEMPLATE, SYSTEM_TEMPLATE
-from answerloom.functions.markup import ENTITIES, STAGES
+from answerloom.functions.markup import STAGES
 from answerloom.functions.text import SPACE
-from answerloom.functions.urls import HREF
 from answerloom.plans.tables import CHUNK_WORDS, DIM, OVERLAP_WORDS
 
+# The entities of the given pages, the ampersand last so that it cannot build new ones.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
 STRIDE = CHUNK_WORDS - OVERLAP_WORDS
 
 
@@ -268,6 +270,23 @@ TARGET = r"""CASE WHEN regexp_matches(href, '\A[A-Za-z][A-Za-z0-9+.\-]*:') THEN
       WHEN starts_with(href, '/') THEN regexp_extract(url, '\A([a-z]+://[^/?#]*)', 1) || href
       WHEN starts_with(href, '#') THEN regexp_extract(url, '\A([^#]*)', 1) || href END"""
 
+ANCHORS = """SELECT url, replace(unnest(regexp_extract_all(
+    regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>', '', 'g'), '<a href="([^"]*)"', 1)), '&amp;', '&') AS href FROM pages"""
+SYNTHETIC_FAILURES = """
+    SELECT 'ERROR: refused' AS status, count(*) AS n FROM documents WHERE doc_id % 3 = 0
+    UNION ALL SELECT 'SUCCESS', count(*) FROM documents WHERE doc_id % 3 <> 0"""
+CHAT_FAILURES = """
+    SELECT conv_id, turn, CASE WHEN turn % 2 = 1 AND conv_id % 3 = 0 THEN 'ERROR: no rewrite'
+      WHEN conv_id % 5 = 0 THEN 'ERROR: no answer' ELSE 'SUCCESS' END AS status,
+      CASE WHEN NOT (turn % 2 = 1 AND conv_id % 3 = 0) AND conv_id % 5 <> 0 THEN 'answer ' || conv_id END AS answer,
+      9007199254740992 + conv_id AS big
+    FROM conversations"""
+EMBED_REJECTS = """
+    SELECT 'doc/' || min(doc_id) AS path, md5(text) AS chunk_id, 'ERROR: too long' AS status
+    FROM documents WHERE length(text) > 2000 GROUP BY text"""
+STREAM_REJECTS = """
+    SELECT 'parse' AS stage, url AS path, 'ERROR: content is not valid utf-8' AS status FROM pages WHERE page_id % 17 = 0"""
+
 ORACLES: dict[str, str] = {
     "raw_page_inventory": with_(RAW, select="""
         SELECT path, (octet_length(good) + bad::INT)::BIGINT AS length,
@@ -407,7 +426,19 @@ ORACLES: dict[str, str] = {
         FROM scores a JOIN scores b ON a.eval_id = b.eval_id AND a.agent = 'retrieval' AND b.agent = 'plain'"""),
     "link_edges": f"""
         SELECT url AS src, href, {TARGET} AS dst, {HOST.format('url')} = {HOST.format(f'({TARGET})')} AS same_site
-        FROM (SELECT url, unnest(regexp_extract_all(html, {lit(HREF)}, 1)) AS href FROM pages) WHERE href <> ''""",
+        FROM ({ANCHORS}) WHERE href <> ''""",
+    "crawl_pages": f"""
+        WITH links AS (SELECT url AS src, {TARGET} AS dst, {HOST.format('url')} = {HOST.format(f'({TARGET})')} AS same_site
+          FROM ({ANCHORS}) WHERE href <> ''),
+        stored AS (SELECT DISTINCT url FROM pages)
+        SELECT url, 0::BIGINT AS round, 'SUCCESS' AS status FROM stored
+        UNION
+        SELECT split_part(dst, '#', 1), 1::BIGINT, 'ERROR: page not found' FROM links
+        WHERE same_site AND split_part(dst, '#', 1) NOT IN (SELECT url FROM stored)""",
+    "synthetic_failures": SYNTHETIC_FAILURES,
+    "chat_plug_failures": CHAT_FAILURES,
+    "embed_rejects": EMBED_REJECTS,
+    "stream_rejects": STREAM_REJECTS,
     "page_filename_collisions": f"""
         SELECT file_name, count(DISTINCT url) AS n_urls, min(url) AS first_url
         FROM (SELECT url, replace(trim({URL_PATH}, '/'), '/', '_') || '.html' AS file_name FROM pages)

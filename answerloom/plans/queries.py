@@ -457,9 +457,87 @@ def agent_compare(spark, sf_dir):
         "eval_id", *_rounded(*(f"delta_{m}" for m in evaluate.METRICS)))
 
 
+# --- failing plugs: every failure keeps its row and status -------------------------------------
+
+
+def _fails_on(condition, message, answer):
+    """A plug over texts that raises for a whole batch if one of them meets the condition."""
+
+    def plug(inputs, **_):
+        if any(condition(x) for x in inputs):
+            raise ValueError(message)
+        return [answer(x) for x in inputs]
+
+    return plug
+
+
+@query
+def synthetic_failures(spark, sf_dir):
+    """One question a document, from a generator that refuses every third document."""
+    docs = T.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("doc_uri"), F.concat(F.lit("no "), F.col("doc_id") % 3).alias("content"))
+    refusing = _fails_on(lambda prompt: "Document: no 0\n" in prompt, "refused", lambda prompt: "question\nanswer")
+    made = evaluate.synthetic_evals(docs, docs.count(), refusing)
+    return made.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def chat_plug_failures(spark, sf_dir):
+    """Every turn as a request without an index: the rewriter fails on some with a history, the generator on others."""
+    turns = T.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", (F.lit(9007199254740992) + F.col("conv_id")).alias("big"))
+    said = F.struct(F.lit("user").alias("role"), F.concat(F.lit("number "), F.col("conv_id")).alias("content"))
+    requests = turns.withColumn("request_id", F.concat_ws("_", "conv_id", "turn")).withColumn(
+        "messages", F.when(F.col("turn") % 2 == 1, F.array(said, said)).otherwise(F.array(said)))
+
+    def number(text: str) -> int:
+        return int(text.rsplit("number ", 1)[1].split()[0])
+
+    rewriter = _fails_on(lambda p: number(p) % 3 == 0, "no rewrite", lambda p: f"number {number(p)}")
+    generator = _fails_on(lambda p: number(p[-1]["content"]) % 5 == 0, "no answer",
+                          lambda p: f"answer {number(p[-1]['content'])}")
+    done = chat.answer_requests(requests, None, EXACT, rewriter=rewriter, generator=generator)
+    return done.select("conv_id", "turn", F.col("answer_status").alias("status"), "answer", "big")
+
+
+def _short_texts_only(texts):
+    if any(len(t) > 2000 for t in texts):
+        raise ValueError("too long")
+    return EMBEDDER(texts)
+
+
+@query
+def embed_rejects(spark, sf_dir):
+    """Whole documents as chunks, with an embedder that refuses long texts."""
+    docs = T.table(spark, sf_dir, "documents").filter("text is not null")
+    chunks = docs.select(F.col("doc_id"), F.col("text").alias("chunked_text"), F.md5("text").alias("chunk_id"))
+    first = chunks.groupBy("chunk_id").agg(F.min("doc_id").alias("doc_id"), F.first("chunked_text").alias("chunked_text"))
+    named = first.select(F.concat(F.lit("doc/"), "doc_id").alias("path"), "chunk_id", "chunked_text")
+    return index.embed_rejects(named, _short_texts_only).select("path", "chunk_id", "status")
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """Files that the index stream could not parse."""
+    folder = new_folder(spark, "stream-rejects")
+    incremental.stream_index_sync(
+        T.spoiled(_stream(spark, sf_dir, "pages")), folder,
+        lambda docs: chunk.chunk_words(docs, T.CHUNK_WORDS, T.OVERLAP_WORDS), embedder=EMBEDDER,
+    ).awaitTermination()
+    return incremental.read_rejects(spark, folder).select("stage", "path", "status")
+
+
 # --- crawl ------------------------------------------------------------------------------------
 
 
+@query
+def crawl_pages(spark, sf_dir):
+    """All stored pages as seeds, over their real links."""
+    pages = T.table(spark, sf_dir, "pages")
+    done = crawl.crawl(pages, pages.select("url"))
+    return done.select("url", F.col("round").cast("bigint").alias("round"), "status")
+
+
 @query
 def link_edges(spark, sf_dir):
     return crawl.link_edges(T.table(spark, sf_dir, "pages"))

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from answerloom.operators.chunk import unique_chunks, with_chunk_id
 from answerloom.operators.embed import Embedder, embed
 from answerloom.operators.feedback import latest_feedback, latest_retrieval, latest_text
-from answerloom.operators.parse import SUCCESS, accepted, stage_parse
+from answerloom.operators.parse import SUCCESS, accepted, rejected, stage_parse
 from answerloom.session import write_and_reload
 
 LINKS = T.StructType([
@@ -32,6 +32,15 @@ VECTORS = T.StructType([
     T.StructField("embedding", T.ArrayType(T.FloatType())),
 ])
 
+#: What a batch could not take in: files (stage parse) and texts (stage embed). The texts are tried again in later batches.
+REJECTS = T.StructType([
+    T.StructField("stage", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("chunk_id", T.StringType()),
+    T.StructField("chunked_text", T.StringType()),
+    T.StructField("status", T.StringType()),
+])
+
 
 def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
@@ -58,7 +67,7 @@ def read_log(spark: SparkSession, folder: str, schema: T.StructType) -> DataFram
 
 def upsert_documents(
     spark: SparkSession, folder: str, docs: DataFrame, chunks: DataFrame, batch_id: int,
-    embedder: Embedder | None = None,
+    embedder: Embedder | None = None, unparsed: DataFrame | None = None,
 ) -> None:
     """Record the current chunks of the documents in a batch and embed the texts not seen before.
 
@@ -72,9 +81,30 @@ def upsert_documents(
         links.unionByName(emptied.withColumn("chunk_id", F.lit(None).cast("string"))), f"{folder}/links", batch_id
     )
     known = read_log(spark, f"{folder}/vectors", VECTORS).filter(F.col("batch_id") < batch_id).select("chunk_id")
-    fresh = unique_chunks(chunks).select("chunk_id", "chunked_text").join(known, "chunk_id", "left_anti")
-    embedded = embed(fresh, "chunked_text", embedder).filter(F.col("embed_status") == SUCCESS)
-    write_batch(embedded.select("chunk_id", "chunked_text", "embedding"), f"{folder}/vectors", batch_id)
+    open_log(spark, f"{folder}/rejects", REJECTS)
+    earlier = read_log(spark, f"{folder}/rejects", REJECTS).filter(
+        (F.col("batch_id") < batch_id) & (F.col("stage") == "embed")).select("chunk_id", "chunked_text", "path")
+    wanted = unique_chunks(chunks).select("chunk_id", "chunked_text", "path").unionByName(earlier)
+    fresh = wanted.join(known, "chunk_id", "left_anti").groupBy("chunk_id").agg(
+        F.first("chunked_text").alias("chunked_text"), F.min("path").alias("path"))
+    embedded = write_and_reload(embed(fresh, "chunked_text", embedder), "sync-vectors")
+    good = F.col("embed_status") == SUCCESS
+    write_batch(embedded.filter(good).select("chunk_id", "chunked_text", "embedding"), f"{folder}/vectors", batch_id)
+    failed = embedded.filter(~good).select(
+        F.lit("embed").alias("stage"), "path", "chunk_id", "chunked_text", F.col("embed_status").alias("status"))
+    empty = F.lit(None).cast("string")
+    unread = spark.createDataFrame([], REJECTS) if unparsed is None else unparsed.select(
+        F.lit("parse").alias("stage"), "path", empty.alias("chunk_id"), empty.alias("chunked_text"), "status")
+    write_batch(failed.unionByName(unread), f"{folder}/rejects", batch_id)
+
+
+def read_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that failed to parse, each time they came, and texts that no batch has embedded so far."""
+    log = read_log(spark, f"{folder}/rejects", REJECTS)
+    done = read_log(spark, f"{folder}/vectors", VECTORS).select("chunk_id")
+    texts = log.filter("stage = 'embed'").groupBy("chunk_id").agg(
+        *[F.max_by(c, "batch_id").alias(c) for c in ("stage", "path", "chunked_text", "status", "batch_id")])
+    return log.filter("stage = 'parse'").unionByName(texts.join(done, "chunk_id", "left_anti"))
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,10 +138,11 @@ def stream_index_sync(
         age = F.coalesce("modificationTime", F.timestamp_seconds(F.lit(0)))
         files = batch.groupBy("path").agg(F.max_by("content", age).alias("content"))
         # Parsed and chunked rows feed several writes, so both are written once.
-        parsed = write_and_reload(accepted(stage_parse(files, parser)), "sync-batch")
+        staged = write_and_reload(stage_parse(files, parser), "sync-batch")
+        parsed = accepted(staged)
         docs = parsed.select("path", F.col("doc_parsed_contents.parsed_content").alias("parsed_content"))
         chunks = write_and_reload(with_chunk_id(chunker(docs)), "sync-chunks")
-        upsert_documents(spark, folder, docs, chunks, batch_id, embedder)
+        upsert_documents(spark, folder, docs, chunks, batch_id, embedder, rejected(staged))
 
     return (
         raw_stream.writeStream.foreachBatch(handle)

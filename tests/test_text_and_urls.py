@@ -94,6 +94,25 @@ def test_markdown(spark):
     )
 
 
-def test_entities_agree_with_the_standard_table():
-    for entity, character in markup.ENTITIES:
-        assert html_module.unescape(entity).replace("\xa0", " ") == character
+def test_entities_agree_with_the_standard_table(spark):
+    for name, character in markup.NAMED.items():
+        assert html_module.unescape(f"&{name};").replace("\xa0", " ") == character
+    texts = ["&eacute;&times;", "&#00000039;&#x0041;&amp;lt;", "a & b &unknown; &;", "&#0;&#xD800;&#1114112;", "", "&amp", "&amp;amp;"]
+    got = values(spark, [(t,) for t in texts], "t string", markup.decode_entities(F.col("t")))
+    assert [r[0] for r in got] == ["é×", "'A&lt;", "a & b &unknown; &;", "&#0;&#xD800;&#1114112;", "", "&amp", "&amp;"]
+
+
+def test_links_in_all_quotings(spark):
+    html = """<a data-href="/w" href="/v">1</a><a href=/x>2</a><A class='k' HREF = '/y?a=1&amp;b=2'>3</A>
+      <!-- <a href="/no">4</a> --><script>'<a href="/nor">'</script><a name="n">5</a><abbr href="/z">6</abbr><a href="">7</a>"""
+    assert values(spark, [(html,)], "h string", urls.page_links(F.col("h")))[0][0] == ["/v", "/x", "/y?a=1&b=2", ""]
+
+
+def test_crawl_looks_pages_up_without_their_fragment(spark):
+    from answerloom.operators.crawl import crawl
+
+    rows = [("https://a.example/p", '<a href="#top">x</a><a href="/q#part">y</a><a href="/gone">z</a>'), ("https://a.example/q", "")]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    got = {r.url: r.status for r in crawl(pages, pages.select("url").limit(1)).collect()}
+    assert got == {"https://a.example/p": "SUCCESS", "https://a.example/q": "SUCCESS",
+                   "https://a.example/gone": "ERROR: page not found"}
