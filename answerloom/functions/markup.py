@@ -22,8 +22,9 @@ BLOCKS = (
 
 # Names and characters of the standard table; the most frequent names come first, as a lookup reads from the front.
 FREQUENT_NAMES = ("amp", "lt", "gt", "quot", "nbsp", "copy", "middot")
-NAMED = {n.removesuffix(";"): c for n, c in html5.items() if n.endswith(";")}
-NAMED = {n: NAMED[n] for n in FREQUENT_NAMES} | NAMED | {"nbsp": " "}
+# A space that does not break is a plain one here.
+NAMED = {n.removesuffix(";"): c.replace("\xa0", " ") for n, c in html5.items() if n.endswith(";")}
+NAMED = {n: NAMED[n] for n in FREQUENT_NAMES} | NAMED
 
 # Pattern and replacement of each stage, in order; $n names a group.
 STAGES: tuple[tuple[str, str], ...] = (
