@@ -1,4 +1,4 @@
-"""Operators on single texts: quality rules, token files, BPE, edit counts, WARC, license scan."""
+"""Operators on single texts: quality rules, token files, BPE, edit counts, WARC, license scan; all SQL checks."""
 
 import hashlib
 import random
@@ -12,6 +12,8 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from answerloom.llm.oracles import ORACLES
+from check_oracles import compare, connect
 from answerloom.llm import bpe, edit_counts, license_scan, quality, shared_files, texts, token_files, warc
 
 BYTE_BPE, WORD_BPE = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -31,6 +33,12 @@ def library(path):
     return out
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert compare(spark, connect(folder), folder, name).startswith("ok")
+
+
 # --- helpers -----------------------------------------------------------------------------------
 
 
