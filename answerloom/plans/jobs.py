@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from answerloom.conf import ChunkSettings
 from answerloom.operators.chunk import (
-    LengthMeasure, accepted_chunks, rejected_chunks, stage_recursive, with_chunk_id,
+    LengthMeasure, length_measure, accepted_chunks, rejected_chunks, stage_recursive, with_chunk_id,
 )
 from answerloom.operators.evaluate import score_answers, summarise
 from answerloom.operators.feedback import evaluation_set
@@ -47,11 +47,21 @@ def parse_job(raw: DataFrame, table: str, parser: str | BytesParser = "html") ->
 def chunk_job(
     parsed: DataFrame, table: str, settings: ChunkSettings, measure: LengthMeasure | None = None
 ) -> StageResult:
-    """Chunk once into a staging table, then write the chunks with their ids."""
+    """Chunk once into a staging table, then write the chunks with their ids.
+
+    Lengths are measured as the settings say, or by the measure given; a tokenizer that the settings only name must
+    come as a measure. The report also counts the documents that gave no chunk.
+    """
+    measure = measure or length_measure(settings.measure)
     docs = parsed.select("path", F.col("doc_parsed_contents.parsed_content").alias("parsed_content"))
     staged = write_and_reload(stage_recursive(docs, settings.size, settings.overlap, measure), "chunk-staging")
     chunks = with_chunk_id(accepted_chunks(staged)).select("path", "chunked_text", "chunk_id", "chunk_pos")
-    return _finish("chunk", chunks, rejected_chunks(staged), table)
+    result = _finish("chunk", chunks, rejected_chunks(staged), table)
+    refused = result.rejected.select("path").distinct()
+    silent = docs.select("path").join(result.accepted.select("path").distinct(), "path", "left_anti").join(
+        refused, "path", "left_anti")
+    empty = run_report(chunk_empty=silent)
+    return StageResult(result.accepted, result.rejected, result.report.unionByName(empty))
 
 
 def evaluation_set_job(

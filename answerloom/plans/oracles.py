@@ -270,6 +270,55 @@ TARGET = r"""CASE WHEN regexp_matches(href, '\A[A-Za-z][A-Za-z0-9+.\-]*:') THEN
       WHEN starts_with(href, '/') THEN regexp_extract(url, '\A([a-z]+://[^/?#]*)', 1) || href
       WHEN starts_with(href, '#') THEN regexp_extract(url, '\A([^#]*)', 1) || href END"""
 
+# The splitter: texts and their long pieces are cut level by level; runs of short pieces are merged by prefix sums, and
+# the front of the next chunk moves to the smallest start that fits.
+SEPARATED = "[chr(10) || chr(10), chr(10), ' ', '']"
+SIZE, OVERLAP = 400, 100
+CHUNK_RECURSIVE = f"""
+WITH RECURSIVE {DOCS},
+nodes(path, ord, txt, lvl) AS (
+  SELECT path, [0::BIGINT], coalesce(parsed_content, ''), 1 FROM docs
+  UNION ALL
+  SELECT path, list_append(ord, i), pieces[i], used + 1
+  FROM (SELECT *, unnest(range(1, len(pieces) + 1)) AS i FROM (
+    SELECT *, list_filter(CASE WHEN used = 4 THEN string_split(txt, '') ELSE
+        list_transform(string_split(txt, {SEPARATED}[used]), lambda t, k: CASE WHEN k = 1 THEN t ELSE {SEPARATED}[used] || t END)
+      END, lambda t: t <> '') AS pieces FROM (
+      SELECT *, CASE WHEN lvl <= 1 AND contains(txt, chr(10) || chr(10)) THEN 1 WHEN lvl <= 2 AND contains(txt, chr(10)) THEN 2
+        WHEN lvl <= 3 AND contains(txt, ' ') THEN 3 ELSE 4 END AS used FROM nodes)))
+  WHERE length(pieces[i]) >= {SIZE} AND used < 4),
+cut AS (
+  SELECT path, ord, unnest(range(1, len(pieces) + 1)) AS i, unnest(pieces) AS piece FROM (
+    SELECT *, list_filter(CASE WHEN used = 4 THEN string_split(txt, '') ELSE
+        list_transform(string_split(txt, {SEPARATED}[used]), lambda t, k: CASE WHEN k = 1 THEN t ELSE {SEPARATED}[used] || t END)
+      END, lambda t: t <> '') AS pieces FROM (
+      SELECT *, CASE WHEN lvl <= 1 AND contains(txt, chr(10) || chr(10)) THEN 1 WHEN lvl <= 2 AND contains(txt, chr(10)) THEN 2
+        WHEN lvl <= 3 AND contains(txt, ' ') THEN 3 ELSE 4 END AS used FROM nodes))),
+runs AS (
+  SELECT *, count(*) FILTER (length(piece) >= {SIZE}) OVER (PARTITION BY path, ord ORDER BY i) AS run FROM cut),
+segments AS MATERIALIZED (
+  SELECT path, list_append(ord, min(i)) AS seg, count(*) AS n, list(piece ORDER BY i) AS pieces,
+    list_prepend(0::HUGEINT, list(total ORDER BY i)) AS p
+  FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY path, ord, run ORDER BY i) AS total FROM runs WHERE length(piece) < {SIZE})
+  GROUP BY path, ord, run),
+walk(path, seg, front, stop, done) AS (
+  SELECT path, seg, 0::BIGINT, coalesce(e, n), e IS NULL
+  FROM (SELECT *, list_filter(range(1, n), lambda i: p[i + 2] - p[1] > {SIZE})[1] AS e FROM segments)
+  UNION ALL
+  SELECT path, seg, f, coalesce(e, n), e IS NULL
+  FROM (SELECT *, list_filter(range(stop + 1, n), lambda i: p[i + 2] - p[f + 1] > {SIZE})[1] AS e FROM (
+    SELECT s.*, w.stop, list_filter(range(w.front, w.stop + 1), lambda f: p[w.stop + 1] - p[f + 1] <= {OVERLAP}
+        AND (p[w.stop + 2] - p[f + 1] <= {SIZE} OR p[w.stop + 1] - p[f + 1] = 0))[1] AS f
+    FROM walk w JOIN segments s USING (path, seg) WHERE NOT w.done))),
+texts AS (
+  SELECT path, seg, front, {strip("array_to_string(pieces[front + 1 : stop], '')")} AS chunked_text
+  FROM walk JOIN segments USING (path, seg))
+SELECT path, row_number() OVER (PARTITION BY path ORDER BY seg, front) - 1 AS chunk_pos, chunked_text,
+  md5(chunked_text) AS chunk_id
+FROM texts WHERE chunked_text <> ''
+"""
+
+
 ANCHORS = """SELECT url, replace(unnest(regexp_extract_all(
     regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>', '', 'g'), '<a href="([^"]*)"', 1)), '&amp;', '&') AS href FROM pages"""
 SYNTHETIC_FAILURES = """
@@ -358,11 +407,12 @@ ORACLES: dict[str, str] = {
     "chat_history": with_(SPLIT, select="SELECT conv_id, turn, role, text FROM numbered WHERE back > 1"),
     "chat_rewrite_branch": with_(SPLIT, select="SELECT conv_id, n_history > 0 AS rewritten, search_query FROM split"),
     "chat_rewrite_prompt": f"""
-        SELECT c.conv_id, c.turn,
-          CASE WHEN p.turn IS NOT NULL
-            THEN {template(REWRITE_TEMPLATE, chat_history="p.role || ': ' || p.text", question='c.text')} END AS rewrite_prompt,
-          2::BIGINT + coalesce(p.role IN ('user', 'assistant'), false)::BIGINT AS n_prompt_messages
-        FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1""",
+        WITH told AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations),
+        asked AS (SELECT conv_id, max(CASE WHEN turn = last THEN text END) AS question,
+          string_agg(role || ': ' || text, chr(10) ORDER BY turn) FILTER (turn < last) AS history,
+          2 + count(*) FILTER (turn < last AND role IN ('user', 'assistant')) AS n_prompt_messages FROM told GROUP BY conv_id)
+        SELECT conv_id, n_prompt_messages, CASE WHEN history IS NOT NULL
+          THEN {template(REWRITE_TEMPLATE, chat_history='history', question='question')} END AS rewrite_prompt FROM asked""",
     "chat_prompt": with_(SPLIT, select=f"""
         SELECT conv_id, -1::BIGINT AS position, 'system' AS role,
           {template(SYSTEM_TEMPLATE, context='max(CASE WHEN turn = 1 THEN text END)')} AS content
@@ -427,6 +477,7 @@ ORACLES: dict[str, str] = {
     "link_edges": f"""
         SELECT url AS src, href, {TARGET} AS dst, {HOST.format('url')} = {HOST.format(f'({TARGET})')} AS same_site
         FROM ({ANCHORS}) WHERE href <> ''""",
+    "chunk_recursive": CHUNK_RECURSIVE,
     "crawl_pages": f"""
         WITH links AS (SELECT url AS src, {TARGET} AS dst, {HOST.format('url')} = {HOST.format(f'({TARGET})')} AS same_site
           FROM ({ANCHORS}) WHERE href <> ''),

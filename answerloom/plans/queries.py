@@ -265,17 +265,13 @@ def chat_rewrite_branch(spark, sf_dir):
 
 @query
 def chat_rewrite_prompt(spark, sf_dir):
-    """Requests of two messages (the turn before, the question) through the array form of the chain."""
-    turns = _turns(spark, sf_dir)
-    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.struct(
-        "role", F.col("text").alias("content")).alias("before"))
-    requests = turns.join(before, ["conv_id", "turn"], "left").select(
-        "conv_id", "turn",
-        F.filter(F.array("before", F.struct("role", F.col("text").alias("content"))), lambda m: m.isNotNull()).alias(
-            "messages"))
+    """Each conversation as one request, its whole history through the array form of the chain."""
+    said = F.struct("turn", "role", F.col("text").alias("content"))
+    requests = _turns(spark, sf_dir).groupBy("conv_id").agg(F.sort_array(F.collect_list(said)).alias("turns")).select(
+        "conv_id", F.transform("turns", lambda t: F.struct(t.role.alias("role"), t.content.alias("content"))).alias("messages"))
     split = chat.split_messages(requests)
     return split.select(
-        "conv_id", "turn",
+        "conv_id",
         F.when(F.size("history") > 0, chat.rewrite_prompt(REWRITE_TEMPLATE, F.col("history"), F.col("question"))).alias(
             "rewrite_prompt"),
         F.size(chat.build_prompt(SYSTEM_TEMPLATE, F.lit("-"), F.col("history"), F.col("question"))).cast(

@@ -67,7 +67,7 @@ def test_parse_and_chunk_jobs_report(spark, tmp_path):
     chunked = jobs.chunk_job(parsed.accepted, "t_chunks", ChunkSettings(8, 2))
     counts = {(r.stage, r.status): r.n_rows for r in parsed.report.unionByName(chunked.report).collect()}
     assert counts == {("parse", "SUCCESS"): 2, ("parse_rejected", "ERROR: content is not valid utf-8"): 1,
-                      ("chunk", "SUCCESS"): 2}
+                      ("chunk", "SUCCESS"): 2, ("chunk_empty", "SUCCESS"): 1}
     assert {r.path for r in spark.table("t_chunks").collect()} == {"ok"}
     evaluation = files.documents_for_evaluation(spark, "t_parsed")
     assert {(r.doc_uri, r.content) for r in evaluation.collect()} == {("ok", "one two three"), ("empty", "")}
