@@ -32,7 +32,7 @@ from answerloom.session import new_folder, write_and_reload
 MIN_SHARED = 100
 #: An archive is closed once it holds so many bytes before compression.
 ARCHIVE_BYTES = 64 << 20
-LEVEL = 1
+LEVEL = 6
 #: A digest of which many pages have copies is dealt to so many tasks.
 SALTS = 16
 
