@@ -222,9 +222,10 @@ def knn_cells(
     ranked = _ranked(hits, query_key, key, k)
     worst = ranked.groupBy(query_key).agg(F.min("score").alias("_worst"), F.count(F.lit(1)).alias("_found"))
     settled = (F.col("_found") == k) & (F.col("_worst") > F.col("open_bound") + 1e-6)
-    certain = bounds.join(worst, query_key).select(
-        query_key, ((F.col("open_bound") < 0) | settled).alias("proven"))
-    return ranked.join(certain, query_key)
+    certain = bounds.join(worst, query_key, "left").select(
+        query_key, F.coalesce((F.col("open_bound") < 0) | settled, F.lit(False)).alias("proven"))
+    # a query whose probed cells are empty keeps one row without a hit, not proven
+    return certain.join(ranked, query_key, "left").select(*ranked.columns, "proven")
 
 
 def knn_certified(
