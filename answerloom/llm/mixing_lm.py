@@ -274,9 +274,9 @@ def _decisions(piece: T.Piece, model: MixModel):
             np.arange(LANE)[:, None] < size, row)
 
 
-def mix(piece: T.Piece, model: MixModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def mix(piece: T.Piece, model: MixModel, usage: bool = False) -> tuple[np.ndarray, ...]:
     """log10 probability of each row; the weights (lane, gate, predictor) and maps at the ends of the lanes, and how
-    often each gate was used."""
+    often each gate was used, if that is asked for."""
     inputs, gates, bits, valid, row = _decisions(piece, model)
     width, orders = len(row), len(ORDERS)
     weights = np.repeat(model.weights.T.reshape(-1), width).astype(np.float32)  # predictor, gate, lane
@@ -310,7 +310,7 @@ def mix(piece: T.Piece, model: MixModel) -> tuple[np.ndarray, np.ndarray, np.nda
     np.clip(chance, 1e-5, 1, out=chance)
     chance[~valid] = 1
     logs = np.log10(chance).sum(axis=0, dtype=np.float64)
-    used = np.stack([((gates == g) & valid).sum(axis=0) for g in range(GATES)], axis=1)
+    used = np.stack([((gates == g) & valid).sum(axis=0) for g in range(GATES)], axis=1) if usage else np.zeros(0)
     return (np.bincount(row, logs, piece.rows), weights.reshape(orders, GATES, width).transpose(2, 1, 0),
             refine.reshape(width, CELLS), used)
 
@@ -323,7 +323,7 @@ def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
         own, sums, uses, maps, lanes = held.value, None, None, 0.0, 0
         for batch in batches:
             for piece in T.pieces(batch.column(0), PIECE):
-                _, weights, refine, used = mix(piece, own)
+                _, weights, refine, used = mix(piece, own, usage=True)
                 total = used.sum(axis=0)
                 mean = np.where(total[:, None] > 0, (weights * used[:, :, None]).sum(axis=0) / np.maximum(total, 1)[:, None],
                                 own.weights)
