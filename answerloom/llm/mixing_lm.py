@@ -3,8 +3,10 @@
 Each byte of a text, and an end mark after the last, is a path through a Huffman tree of bytes, so a text is a sequence
 of binary decisions, and the product of their probabilities is a proper probability of the text.
 
-* Predictors: for each order the last bytes are hashed to a slot; a slot holds, for every inner node of the tree, the
-  log-odds of its decision from the counts of the corpus. The tables have a fixed size.
+* Predictors: for each order the last bytes are the context, kept whole in a 64-bit key, so contexts never collide. The
+  counts of the corpus are a table of contexts and next bytes; from them come the log-odds of the decisions at the
+  inner nodes of the tree. The table grows with the corpus. It is joined to the contexts that each part of the texts
+  (`PART` bytes of them) holds, each context once a part, and is never held as a whole by any task.
 * Mixing: the log-odds are added with weights chosen by a gate (how sure the two highest orders are) and squashed.
   The weights move online after every decision, along the slope of the coding cost.
 * Refinement: an adaptive map from the mixed log-odds to the share of ones seen there, averaged with the mix.
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +39,13 @@ from pyspark.sql import functions as F
 from answerloom.llm import texts as T
 from answerloom.session import write_and_reload
 
-#: Bytes of context of each predictor, and the binary logarithm of its slots.
-ORDERS = {2: 14, 3: 15, 4: 15, 6: 15}
-FIRST_SLOT = dict(zip(ORDERS, np.cumsum([0, *[1 << b for b in ORDERS.values()]])[:-1].tolist(), strict=True))
-SLOTS = sum(1 << b for b in ORDERS.values())
-BLOCK_SLOTS = 1 << 10
+#: Bytes of context of each predictor. A key is the order's number, six bytes of context and the next byte.
+ORDERS = (2, 3, 4, 6)
+#: Distinct counts that a counting task holds before they leave it, and rows that leave it at a time.
+SLOTS = 1 << 20
+BLOCK_SLOTS = 1 << 16
+#: Bytes of text whose contexts are joined together.
+PART = 1 << 24
 END = 0xFF  # never a byte of UTF-8
 END_TOKEN = np.uint64(0x1F83D9ABFB41BD6B)
 FOLDS, HELD_OUT, MIX_FOLD = 7, 2, 6
@@ -58,25 +62,29 @@ START_WEIGHT = 0.3
 #: How sure a predictor is, by its log-odds read as an unsigned byte: 0 knows nothing, 1 leans, 2 is sure.
 SURE = np.digitize(np.abs(np.arange(256, dtype=np.uint8).view(np.int8).astype(int)), [1, 2 * SCALE]).astype(np.int8)
 
-_ODD = {k: np.uint64(v) for k, v in zip(ORDERS, (
-    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F), strict=True)}
-
-
 def symbols(piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
     """Bytes with an end mark after each row, and where each row starts among them."""
     return np.insert(piece.data, piece.offsets[1:], END), piece.offsets + np.arange(piece.rows + 1)
 
 
-def slots(stream: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each order the slot of every byte's context; bytes before a row's start count as zero."""
+def context_keys(stream: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+    """For each order the key of every byte and its context; bytes before a row's start count as zero."""
     place = np.arange(len(stream)) - np.repeat(bounds[:-1], np.diff(bounds))
     context, wide = np.zeros(len(stream), np.uint64), stream.astype(np.uint64)
     for back in range(1, max(ORDERS) + 1):
         context[back:] |= np.where(place[back:] >= back, wide[:-back], 0) << np.uint64(8 * (back - 1))
         if back in ORDERS:
-            bits = ORDERS[back]
-            own = ((context + np.uint64(1)) * _ODD[back]) >> np.uint64(64 - bits)
-            yield back, own.astype(np.int64) + FIRST_SLOT[back]
+            yield np.uint64(ORDERS.index(back) << 56) | (context << np.uint64(8)) | wide
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in rising order, and the number of each key among them."""
+    encoded = pa.array(keys).dictionary_encode()
+    found = encoded.dictionary.to_numpy()
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    return found[order], rank.take(encoded.indices.to_numpy())
 
 
 def words(piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
@@ -89,61 +97,147 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(at, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
 
 
-PARTIAL = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
-CONTEXTS, WORDS, BYTES = 0, 1, 2
+PARTIAL = pa.schema([
+    ("kind", pa.int32()), ("part", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("id", pa.int64()),
+    ("held_out", pa.bool_()), ("rest", pa.int32()), ("text", pa.string())])
+CONTEXTS, WORDS, BYTES, NEEDS, TEXTS, PARTS = range(6)
+
+
+def _partial(kind: int, size: int, **columns) -> pa.RecordBatch:
+    columns = {"kind": np.full(size, kind, np.int32)} | columns
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in PARTIAL],
+        schema=PARTIAL)
+
 
+def _counts(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(keys), BLOCK_SLOTS):
+        some = slice(start, start + BLOCK_SLOTS)
+        yield _partial(kind, len(keys[some]), key=keys[some].view(np.int64), n=counts[some])
 
-def _partial(kind: int, keys, counts=None, payloads=None) -> pa.RecordBatch:
-    size = len(keys)
-    return pa.record_batch([
-        pa.array(np.full(size, kind, np.int32)), pa.array(keys, pa.int64()),
-        pa.nulls(size, pa.int64()) if counts is None else pa.array(counts, pa.int64()),
-        pa.nulls(size, pa.binary()) if payloads is None else pa.array(payloads, pa.binary())], schema=PARTIAL)
 
+class _Held:
+    """Counts of a task by key, given out when they are too many to hold."""
 
-def count_corpus(training: DataFrame, tasks: int) -> DataFrame:
-    """Partial counts of each task: words, bytes, and blocks of slots (places and counts that are not zero).
+    def __init__(self, kind: int, limit: int) -> None:
+        self.kind, self.limit, self.parts, self.size = kind, limit, [], 0
 
-    `training` has rest and text. Each task holds one table of counts of fixed size, so there are few tasks.
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append((keys, counts))
+        self.size += len(keys)
+        if self.size > 2 * self.limit:
+            self.parts = [_merged(self.parts)]
+            self.size = len(self.parts[0][0])
+            if self.size > self.limit:
+                yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            yield from _counts(self.kind, *_merged(self.parts))
+        self.parts, self.size = [], 0
+
+
+def count_corpus(documents: DataFrame) -> DataFrame:
+    """Partial counts of each task (contexts with the next byte, words, bytes); the texts by parts; the contexts of each part.
+
+    `documents` has key, held_out, rest and text. All texts are in parts; only training texts are counted. `n` of a
+    context that a part needs is 1 if a text of the mixing fold holds it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = np.zeros(SLOTS << 8, np.int32), np.zeros(256, np.int64)
-        held, size = [], 0
+        contexts, tokens, seen = _Held(CONTEXTS, 2 * SLOTS), _Held(WORDS, 2 * SLOTS), np.zeros(256, np.int64)
+        part, size, needs = TaskContext.get().partitionId() << 33, 0, []
+
+        def needed() -> Iterator[pa.RecordBatch]:
+            marked = np.unique(np.concatenate(needs))
+            last = np.append(marked[1:] >> np.uint64(1) != marked[:-1] >> np.uint64(1), True)
+            marked = marked[last]  # the marked one of a context, if there is one
+            for start in range(0, len(marked), BLOCK_SLOTS):
+                some = marked[start : start + BLOCK_SLOTS].view(np.int64)
+                yield _partial(NEEDS, len(some), part=np.full(len(some), part), key=some >> 1, n=some & 1)
+            yield _partial(PARTS, 1, part=[part])
+
         for batch in batches:
-            rest = batch.column(0).to_numpy(zero_copy_only=False)
-            for piece in T.pieces(batch.column(1)):
-                hashes, _ = words(piece)
-                found = np.unique(np.append(hashes, [END_TOKEN] * piece.rows), return_counts=True)
-                held.append(found)
-                size += len(found[0])
-                if size > 4_000_000:
-                    held = [_merged(held)]
-                    size = len(held[0][0])
-                    if size > 3_000_000:
-                        yield _partial(WORDS, held[0][0].view(np.int64), held[0][1])
-                        held, size = [], 0
-                counted = rest[piece.first : piece.first + piece.rows] != MIX_FOLD
+            held_out, rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            for piece in T.pieces(batch.column(3), PIECE):
+                own = slice(piece.first, piece.first + piece.rows)
+                train = ~held_out[own].astype(bool)
+                hashes, first_word = words(piece)
+                hashes = hashes[np.repeat(train, np.diff(first_word))]
+                yield from tokens.add(*np.unique(np.append(hashes, np.full(train.sum(), END_TOKEN)), return_counts=True))
                 stream, bounds = symbols(piece)
-                chosen = np.repeat(counted, np.diff(bounds))
-                seen += np.bincount(stream[chosen], minlength=256)
-                for _, slot in slots(stream, bounds):
-                    np.add.at(table, ((slot << 8) | stream)[chosen], np.int32(1))
-        if held:
-            keys, counts = _merged(held)
-            for start in range(0, len(keys), 100_000):
-                part = slice(start, start + 100_000)
-                yield _partial(WORDS, keys[part].view(np.int64), counts[part])
+                counted = np.repeat(train & (rest[own] != MIX_FOLD), np.diff(bounds))
+                mixed = np.repeat(rest[own] == MIX_FOLD, np.diff(bounds))
+                seen += np.bincount(stream[counted], minlength=256)
+                for keys in context_keys(stream, bounds):
+                    found, at = distinct(keys)
+                    times = np.bincount(at[counted], minlength=len(found))
+                    yield from contexts.add(found[times > 0], times[times > 0])
+                    marks = np.bincount(at[mixed], minlength=len(found)) > 0
+                    needs.append(np.unique((found >> np.uint64(8) << np.uint64(1)) | marks.astype(np.uint64)))
+                yield _partial(TEXTS, piece.rows, part=np.full(piece.rows, part), **{
+                    name: batch.column(i).slice(piece.first, piece.rows)
+                    for i, name in enumerate(("id", "held_out", "rest", "text"))})
+                size += len(stream)
+                if size >= PART:
+                    yield from needed()
+                    part, size, needs = part + 1, 0, []
+        if needs:
+            yield from needed()
+        yield from contexts.rest()
+        yield from tokens.rest()
         if seen.any():
-            yield _partial(BYTES, np.arange(256), seen)
-            for block in range(-(-SLOTS // BLOCK_SLOTS)):
-                part = table[block * BLOCK_SLOTS << 8 : (block + 1) * BLOCK_SLOTS << 8]
-                some = np.flatnonzero(part).astype("<u4")
-                if len(some):
-                    yield _partial(CONTEXTS, [block], payloads=[some.tobytes() + part[some].astype("<u4").tobytes()])
-
-    return training.select("rest", "text").coalesce(tasks).mapInArrow(
-        run, "kind int, key long, n long, payload binary")
+            yield _partial(BYTES, 256, key=np.arange(256), n=seen)
+
+    return documents.select("key", "held_out", "rest", "text").mapInArrow(
+        run, "kind int, part long, key long, n long, id long, held_out boolean, rest int, text string")
+
+
+def context_counts(partial: DataFrame) -> DataFrame:
+    """context and its next bytes, each as the count times 256 plus the byte."""
+    counts = partial.where(F.col("kind") == CONTEXTS).select(
+        F.shiftright("key", 8).alias("context"), F.col("key").bitwiseAND(255).alias("byte"), "n")
+    return (
+        counts.groupBy("context", "byte").agg(F.sum("n").alias("n"))
+        .groupBy("context").agg(F.collect_list(F.col("n") * 256 + F.col("byte")).alias("nexts")))
+
+
+def by_part(partial: DataFrame, counts: DataFrame, mixing: bool) -> DataFrame:
+    """The rows of each part behind each other: the contexts that it needs with their counts, then its texts."""
+    wanted, chosen = F.col("kind") == NEEDS, F.col("kind") == TEXTS
+    if mixing:
+        wanted, chosen = wanted & (F.col("n") == 1), chosen & (F.col("rest") == MIX_FOLD)
+    needs = partial.where(wanted).select("part", F.col("key").alias("context")).join(counts, "context")
+    parts = partial.where(F.col("kind") == PARTS).count()
+    return (
+        needs.select("part", F.lit(NEEDS).alias("kind"), "context", "nexts")
+        .unionByName(partial.where(chosen).select("part", "kind", "id", "held_out", "text"), allowMissingColumns=True)
+        .select("part", "kind", "context", "nexts", "id", "held_out", "text")
+        .repartition(max(1, 2 * parts), "part").sortWithinPartitions("part", "kind", "context"))
+
+
+def parted(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches of texts (id, held_out, text) of rows as `by_part` gives them, with the log-odds of their part."""
+    own, held, known = None, [], None
+    for batch in batches:
+        parts, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(kinds) != 0)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(parts)], strict=True):
+            if low == high:
+                continue
+            if parts[low] != own:
+                own, held, known = parts[low], [], None
+            some = batch.slice(low, high - low)
+            if kinds[low] == NEEDS:
+                lists = some.column(3)
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+                held.append(node_table(np.repeat(some.column(2).to_numpy(), sizes), lists.flatten().to_numpy(), code))
+                continue
+            if known is None:
+                none = (np.zeros(0, np.int64), np.zeros(0, np.int8))
+                known, held = tuple(np.concatenate(x) for x in zip(none, *held, strict=True)), []
+            yield pa.RecordBatch.from_arrays(
+                [some.column(i) for i in (4, 5, 6)], names=["id", "held_out", "text"]), *known
 
 
 @dataclass(frozen=True)
@@ -176,50 +270,26 @@ class Code:
         flat = np.array([x for p in paths for x in p])
         return cls(np.cumsum(length) - length, length, flat[:, 0], flat[:, 1].astype(np.uint8))
 
-    def sides(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each byte and inner node, whether its path takes that node's first or second branch."""
-        out = np.zeros((2, 256, 256), np.float32)
-        out[self.bit, np.repeat(np.arange(256), self.length), self.node] = 1
-        return out[0], out[1]
+    def paths(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The paths of bytes one after the other: number of the byte, node and bit of each decision."""
+        lengths = self.length[symbol]
+        last = np.cumsum(lengths)
+        which = np.repeat(np.arange(len(symbol)), lengths)
+        at = np.arange(len(which)) + np.repeat(self.first[symbol] - (last - lengths), lengths)
+        return which, self.node[at], self.bit[at]
 
 
-def log_odds(counts: np.ndarray, sides: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    zero, one = (counts.astype(np.float32) @ side for side in sides)
-    return np.clip(np.rint(SCALE * np.log((one + 0.4) / (zero + 0.4))), -127, 127).astype(np.int8)
-
-
-def predictor_table(partial: DataFrame, code: Code) -> np.ndarray:
-    """Log-odds of all slots and nodes: summed by blocks in tasks, of fixed size as a whole."""
-    spark = partial.sparkSession
-    sides = spark.sparkContext.broadcast(code.sides())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, counts = None, None
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({
-                "key": pa.array([block], pa.int64()),
-                "payload": pa.array([log_odds(counts.reshape(-1, 256), sides.value).tobytes()], pa.binary())})
-
-        for batch in batches:
-            for key, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if key != block:
-                    if block is not None:
-                        yield done()
-                    block, counts = key, np.zeros(BLOCK_SLOTS << 8, np.int64)
-                places, values = np.frombuffer(payload.as_buffer(), "<u4").reshape(2, -1)
-                counts[places] += values
-        if block is not None:
-            yield done()
-
-    found = (
-        partial.where(F.col("kind") == CONTEXTS).select("key", "payload")
-        .repartition(spark.sparkContext.defaultParallelism, "key").sortWithinPartitions("key")
-        .mapInArrow(run, "key long, payload binary").toArrow())
-    table = np.zeros((-(-SLOTS // BLOCK_SLOTS), BLOCK_SLOTS << 8), np.int8)
-    for key, payload in zip(found["key"].to_pylist(), found["payload"], strict=True):
-        table[key] = np.frombuffer(payload.as_buffer(), np.int8)
-    return table.reshape(-1)
+def node_table(context: np.ndarray, nexts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """Rising keys (context and inner node) and the log-odds of each, from contexts and their next bytes."""
+    which, node, bit = code.paths(nexts & 255)
+    keys, n = (context[which] << 8) | node, (nexts >> 8)[which].astype(np.float64)
+    order = np.argsort(keys)
+    keys, n, bit = keys[order], n[order], bit[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    one = np.add.reduceat(n * bit, begins)
+    zero = np.add.reduceat(n, begins) - one
+    odds = np.clip(np.rint(SCALE * np.log((one + 0.4) / (zero + 0.4))), -127, 127)
+    return keys[begins], odds.astype(np.int8)
 
 
 @dataclass(frozen=True)
@@ -228,6 +298,23 @@ class MixModel:
     table: np.ndarray = field(repr=False)
     weights: np.ndarray = field(repr=False)
     refine: np.ndarray = field(repr=False)
+    #: Rising keys of the table's places, as `node_table` gives them; what has no place is unknown.
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64), repr=False)
+
+    def knowing(self, keys: np.ndarray, table: np.ndarray) -> MixModel:
+        return replace(self, keys=keys, table=table)
+
+    def odds(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For rising keys of contexts and bytes the log-odds along the bytes' paths, and where each path starts."""
+        symbol = (pairs & np.uint64(255)).astype(np.int64)
+        which, node, _ = self.code.paths(symbol)
+        out = np.zeros(len(which), np.int8)
+        if len(self.keys):
+            wanted = ((pairs >> np.uint64(8) << np.uint64(8)).view(np.int64))[which] | node
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            np.copyto(out, self.table.take(at), where=self.keys.take(at) == wanted)
+        lengths = self.code.length[symbol]
+        return out, np.cumsum(lengths) - lengths
 
 
 def start_state() -> tuple[np.ndarray, np.ndarray]:
@@ -238,24 +325,28 @@ def start_state() -> tuple[np.ndarray, np.ndarray]:
 def _decisions(piece: T.Piece, model: MixModel):
     """Inputs (step, predictor, lane), gates, bits and validity (step, lane), and the row of each lane."""
     stream, bounds = symbols(piece)
-    code, table, orders = model.code, model.table, len(ORDERS)
+    code, orders = model.code, len(ORDERS)
     lengths = code.length[stream]
     last = np.cumsum(lengths)
     total = int(last[-1])
     byte = np.repeat(np.arange(len(stream)), lengths)
-    rows = [slot << 8 for _, slot in slots(stream, bounds)]
+    odds, rows = [], []
+    for keys in context_keys(stream, bounds):
+        pairs, number = distinct(keys)
+        values, start = model.odds(pairs)
+        odds.append(values)
+        rows.append(start[number] - (last - lengths))
     path_first = code.first[stream] - (last - lengths)
     found, own_bits = np.empty((orders, total), np.int8), np.empty(total, np.uint8)
     for low in range(0, total, CHUNK):  # temporaries stay in the cache
         part = byte[low : low + CHUNK]
         path = path_first.take(part)
         path += np.arange(low, low + len(part))
-        node = code.node.take(path)
         own_bits[low : low + CHUNK] = code.bit.take(path)
         for k in range(orders):
             at = rows[k].take(part)
-            at += node
-            found[k, low : low + CHUNK] = table.take(at)
+            at += np.arange(low, low + len(part))
+            found[k, low : low + CHUNK] = odds[k].take(at)
     row_start = np.concatenate([[0], last])[bounds]
     counts = np.diff(row_start)
     lanes = -(-counts // LANE)
@@ -316,18 +407,19 @@ def mix(piece: T.Piece, model: MixModel, usage: bool = False) -> tuple[np.ndarra
 
 
 def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
-    """Weights and map averaged over the lanes of all texts of the fold; each task carries its own on, piece by piece."""
+    """Rows of the fold as `by_part` gives them. Weights and map averaged over the lanes of all texts of the fold; each task carries its own on, piece by piece."""
     held = fold.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, sums, uses, maps, lanes = held.value, None, None, 0.0, 0
-        for batch in batches:
-            for piece in T.pieces(batch.column(0), PIECE):
+        for batch, keys, table in parted(batches, own.code):
+            own = own.knowing(keys, table)
+            for piece in T.pieces(batch.column(2), PIECE):
                 _, weights, refine, used = mix(piece, own, usage=True)
                 total = used.sum(axis=0)
                 mean = np.where(total[:, None] > 0, (weights * used[:, :, None]).sum(axis=0) / np.maximum(total, 1)[:, None],
                                 own.weights)
-                own = MixModel(own.code, own.table, mean.astype(np.float32), refine.mean(axis=0).astype(np.float32))
+                own = replace(own, weights=mean.astype(np.float32), refine=refine.mean(axis=0).astype(np.float32))
                 sums = total[:, None] * mean if sums is None else sums + total[:, None] * mean
                 uses = total if uses is None else uses + total
                 maps, lanes = maps + refine.sum(axis=0), lanes + len(refine)
@@ -336,7 +428,7 @@ def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
                 "sums": pa.array([sums.ravel().tolist()]), "uses": pa.array([uses.tolist()], pa.list_(pa.int64())),
                 "maps": pa.array([maps.tolist()]), "lanes": pa.array([lanes], pa.int64())})
 
-    got = fold.select("text").mapInArrow(run, "sums array<double>, uses array<long>, maps array<double>, lanes long")
+    got = fold.mapInArrow(run, "sums array<double>, uses array<long>, maps array<double>, lanes long")
     # summed place by place: a fixed number of rows, whatever the number of tasks
     places = got.select(
         F.explode(F.map_from_arrays(F.array(F.lit("sums"), F.lit("uses"), F.lit("maps"), F.lit("lanes")), F.array(
@@ -350,19 +442,20 @@ def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
     uses = read("uses", GATES)
     sums = read("sums", GATES * len(ORDERS)).reshape(GATES, -1)
     weights = np.where(uses[:, None] > 0, sums / np.maximum(uses, 1)[:, None], model.weights)
-    return MixModel(model.code, model.table, weights.astype(np.float32),
-                    (read("maps", CELLS) / total["lanes", 0]).astype(np.float32))
+    return replace(model, weights=weights.astype(np.float32),
+                   refine=(read("maps", CELLS) / total["lanes", 0]).astype(np.float32))
 
 
 def score_texts(documents: DataFrame, model: MixModel, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """row (a number of its own), key, held_out, n_tokens, score, what known words say, and the other words."""
+    """Rows as `by_part` gives them. row (a number of its own), key, held_out, n_tokens, score, what known words say, and the other words."""
     context = documents.sparkSession.sparkContext
     held = context.broadcast((model, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, (keys, counts) = held.value
         logs, number = np.log10(counts + 1.0), TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch, known_keys, table in parted(batches, own.code):
+            own = own.knowing(known_keys, table)
             for piece in T.pieces(batch.column(2), PIECE):
                 score = mix(piece, own)[0]
                 hashes, first_word = words(piece)
@@ -389,7 +482,7 @@ def score_texts(documents: DataFrame, model: MixModel, known: tuple[np.ndarray,
                     names=["row", "key", "held_out", "n_tokens", "score", "gain", "seen", "rare", "times"])
                 number += piece.rows
 
-    return documents.select("key", "held_out", "text").mapInArrow(
+    return documents.mapInArrow(
         run, "row long, key long, held_out boolean, n_tokens long, score double, gain double, seen long, "
              "rare array<long>, times array<int>")
 
@@ -400,15 +493,15 @@ def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     rest = T.training_rest(key, FOLDS)
     plain = documents.select(F.col(key).cast("long").alias("key"), (rest == HELD_OUT).alias("held_out"),
                              rest.cast("int").alias("rest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    training = plain.where("NOT held_out")
-    partial = write_and_reload(count_corpus(training, spark.sparkContext.defaultParallelism), "corpus-counts")
+    partial = write_and_reload(count_corpus(plain), "corpus-counts")
+    contexts = write_and_reload(context_counts(partial), "context-counts")
     seen_bytes = partial.where(F.col("kind") == BYTES).groupBy("key").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(256, np.int64)
     for r in seen_bytes:
         counts[r.key] = r.n
     code = Code.of(counts)
-    model = MixModel(code, predictor_table(partial, code), *start_state())
-    model = fit_mixer(plain.where(F.col("rest") == MIX_FOLD), model)
+    model = MixModel(code, np.zeros(0, np.int8), *start_state())
+    model = fit_mixer(by_part(partial, contexts, mixing=True), model)
 
     vocabulary = write_and_reload(
         partial.where(F.col("kind") == WORDS).groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
@@ -417,7 +510,7 @@ def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     top = vocabulary.where(frequent).toArrow()
     keys, n = top["key"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(keys)
-    scored = write_and_reload(score_texts(plain, model, (keys[order], n[order])), "scored-texts")
+    scored = write_and_reload(score_texts(by_part(partial, contexts, mixing=False), model, (keys[order], n[order])), "scored-texts")
 
     pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))

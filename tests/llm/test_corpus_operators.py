@@ -237,3 +237,28 @@ def test_pipeline_decisions_take_effect(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == before
     texts = [(r.doc_id, r.text) for r in docs.collect()]
     assert all(i == c and n == 0 for i, c, n in brute_classes(texts))
+
+
+# --- mixing model ------------------------------------------------------------------------------
+
+
+def test_lm_keeps_every_context_of_the_corpus(spark, small_documents):
+    """The counts are those of brute force, whatever the number of contexts, and each part gets all that it needs."""
+    from pyspark.sql import functions as F
+
+    docs = small_documents.select(
+        F.col("doc_id").alias("key"), (F.col("doc_id") % 5 == 0).alias("held_out"),
+        (F.col("doc_id") % 7).cast("int").alias("rest"), F.coalesce("text", F.lit("")).alias("text"))
+    partial = mixing_lm.count_corpus(docs).localCheckpoint()
+    got = {r.context: {x & 255: x >> 8 for x in r.nexts} for r in mixing_lm.context_counts(partial).collect()}
+    want, needs = defaultdict(Counter), set()
+    for r in docs.collect():
+        data = bytes(6) + r.text.encode() + b"\xff"
+        for k, order in enumerate(mixing_lm.ORDERS):
+            for i in range(6, len(data)):
+                context = k << 48 | int.from_bytes(data[i - order : i], "big")
+                needs.add(context)
+                if not r.held_out and r.rest != mixing_lm.MIX_FOLD:
+                    want[context][data[i]] += 1
+    assert got == want and len(want) > (1 << 14) + 3 * (1 << 15)
+    assert {r.key for r in partial.where(F.col("kind") == mixing_lm.NEEDS).collect()} == needs
