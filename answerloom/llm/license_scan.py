@@ -5,7 +5,9 @@
    template and diagonal.
 3. Diagonals at most `NEAR` apart (words put in or left out) are merged into one span of the text.
 4. A span is verified: the words of the template that stand in it on one of its diagonals are counted against the
-   template's length. At `VERIFIED` and over the template's label is given.
+   template's length. The template's label is given from `VERIFIED` on, or `VERIFIED_SHORT` if it has under `SHORT`
+   words, and only if the words that tell the license (`TELLING`) stand in the span one behind the other: lead-ins
+   that licenses share, and names with a word put in ("GNU Lesser General Public"), give no label.
 
 Beside it stand the places of fixed phrases, as a base.
 
@@ -40,12 +42,18 @@ TEMPLATES = {
     "cc-notice": "Licensed under CC BY-NC 4.0",
     "copyright": "All rights reserved",
 }
+#: Words of each template, `K` at most, that others do not share.
+TELLING = {
+    "apache": "apache license", "apache-notice": "file except in", "mit": "software and associated",
+    "mit-notice": "mit license", "mit-spdx": "identifier mit", "gpl": "gnu general public", "bsd": "and binary forms",
+    "gpl-notice": "gnu general public", "cc": "creative commons", "cc-notice": "cc by", "copyright": "all rights reserved",
+}
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 K = 3
 NEAR = 2
-VERIFIED = 0.6
+VERIFIED, VERIFIED_SHORT, SHORT = 0.6, 0.85, 10
 
 
 def words_of(text: Column) -> Column:
@@ -60,10 +68,16 @@ def run_hashes(words: Column, size: int) -> Column:
 
 
 def template_runs(spark) -> DataFrame:
-    """hash, template, t (position) and length; as many rows as the fixed templates have words, at most."""
-    rows = spark.createDataFrame(sorted(TEMPLATES.items()), "template string, notice string")
-    worded = rows.select("template", words_of(F.col("notice")).alias("w"))
-    return worded.select("template", "w", F.size("w").alias("length"), F.posexplode(run_hashes(F.col("w"), K)).alias("t", "hash"))
+    """hash, template, t (position), length and whether the run holds the telling words; as many rows as the fixed
+    templates have words, at most."""
+    rows = spark.createDataFrame(
+        [(name, notice, f" {TELLING[name]} ") for name, notice in sorted(TEMPLATES.items())],
+        "template string, notice string, telling string")
+    worded = rows.select("template", "telling", words_of(F.col("notice")).alias("w"))
+    runs = worded.select("template", "telling", "w", F.size("w").alias("length"),
+                         F.posexplode(run_hashes(F.col("w"), K)).alias("t", "hash"))
+    run = F.concat(F.lit(" "), F.array_join(F.slice("w", F.col("t") + 1, K), " "), F.lit(" "))
+    return runs.withColumn("tells", F.contains(run, F.col("telling")))
 
 
 def phrase_places(words: Column, phrase: str) -> Column:
@@ -82,22 +96,23 @@ def spans(worded: DataFrame) -> DataFrame:
     spark = worded.sparkSession
     hits = (
         worded.select("key", "mark", F.posexplode(run_hashes(F.col("w"), K)).alias("p", "hash"))
-        .join(F.broadcast(template_runs(spark).select("hash", "template", "t", "length")), "hash")
-        .select("key", "mark", "template", "length", (F.col("p") - F.col("t")).alias("diagonal"), "t"))
+        .join(F.broadcast(template_runs(spark).select("hash", "template", "t", "length", "tells")), "hash")
+        .select("key", "mark", "template", "length", (F.col("p") - F.col("t")).alias("diagonal"), "t", "tells"))
     votes = hits.groupBy("key", "mark", "template", "length", "diagonal").agg(
-        F.count_distinct("t").alias("votes"), F.collect_set("t").alias("ts"))
+        F.count_distinct("t").alias("votes"), F.collect_set("t").alias("ts"), F.max("tells").alias("tells"))
     ordered = Window.partitionBy("key", "mark", "template").orderBy("diagonal")
     opens = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(ordered) > NEAR, F.lit(True))
     merged = (
         votes.withColumn("opens", opens.cast("int"))
         .withColumn("span", F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy("key", "mark", "template", "length", "span")
-        .agg(F.sum("votes").alias("votes"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"),
+        .agg(F.sum("votes").alias("votes"), F.max("tells").alias("tells"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"),
              F.min(F.col("diagonal") + F.array_min("ts")).alias("first"),
              F.max(F.col("diagonal") + F.array_max("ts") + (K - 1)).alias("last")))
     # a hash stands for K words of the template; each word counts once
     covered = F.size(F.array_distinct(F.flatten(F.transform("ts", lambda t: F.sequence(t, t + (K - 1))))))
-    return merged.withColumn("score", covered / F.col("length")).where(F.col("score") >= VERIFIED)
+    return merged.withColumn("score", covered / F.col("length")).where(
+        F.col("tells") & (F.col("score") >= F.when(F.col("length") < SHORT, VERIFIED_SHORT).otherwise(VERIFIED)))
 
 
 def scan(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

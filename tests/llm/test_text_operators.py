@@ -265,3 +265,19 @@ def test_licenses_by_phrase_and_by_template(documents_of, odd_rows):
     assert found[23].labels == "" and found[23].score == 0.0 and found[24].base_labels == "gpl"
     assert (found[2].n_words, found[2].n_base, found[2].first_word) == (0, 0, None)
     assert "Python" not in license_scan.scan(documents_of(rows))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shared_words_of_licenses_give_no_label(documents_of):
+    """Lead-ins, names with a word put in, and short templates in part."""
+    other = [
+        "Released under the BSD License", "The film was released under the title Dawn", "SPDX-License-Identifier: Apache-2.0",
+        "Licensed under the Mozilla Public License, Version 2.0", "This work is licensed under a proprietary licence",
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of the Font Software"]
+    whole = sorted(license_scan.TEMPLATES.items())
+    rows = [(i, t) for i, t in enumerate(other)] + [(100 + i, f"Some words. {t} and more") for i, (_, t) in enumerate(whole)]
+    found = {r.doc_id: r for r in license_scan.scan(documents_of(rows)).collect()}
+    assert all((found[i].labels, found[i].score) == (found[i].base_labels, 0.0) for i in range(len(other)))
+    assert found[4].labels == "" and found[5].labels == "gpl"  # the base phrase of three words stands in it
+    for i, (name, _) in enumerate(whole):
+        assert name.split("-")[0] in found[100 + i].labels.split(",") and found[100 + i].score == 1.0
