@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import bpe, decontaminate, edit_counts, jaccard, license_scan, mixing_lm, quality, token_files, toxicity, warc
+from answerloom.llm import (
+    bpe, circulant, decontaminate, edit_counts, filter_audit, jaccard, license_scan, merkle, mixing_lm, quality, token_files,
+    toxicity, warc,
+)
 
 #: Id that op3 puts after each document.
 END_ID = 2
@@ -83,3 +86,18 @@ def op8_license_scan(spark, sf_dir):
 @query
 def op9_mixing_lm(spark, sf_dir):
     return mixing_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.verify_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_circulant_minhash(spark, sf_dir):
+    return circulant.near_copies(_table(spark, sf_dir, "documents"))
