@@ -385,10 +385,19 @@ ORACLES: dict[str, str] = {
         docs AS (SELECT 'doc/' || doc_id AS path, CASE WHEN doc_id % 10 = 2 THEN text || ' v2' ELSE text END AS parsed_content
           FROM documents WHERE doc_id % 10 <> 1)""", windows("docs"), UNIQUE,
         select=f"SELECT chunk_id, path, {DIM}::BIGINT AS dim FROM uniq"),
+    "index_generations": with_("""
+        docs AS (SELECT 'doc/' || doc_id AS path, CASE WHEN doc_id % 10 = 2 THEN text || ' v2' ELSE text END AS parsed_content
+          FROM documents WHERE doc_id % 10 <> 1)""", windows("docs"), UNIQUE, vectors("vec", "uniq", "chunk_id", "chunked_text"),
+        """sums AS (SELECT k, sum(round(v * 1000000)::BIGINT * (b + 1))::BIGINT AS vector_sum FROM vec GROUP BY k)""",
+        select="""SELECT chunk_id, path, md5(chunked_text) AS text_md5, vector_sum FROM uniq JOIN sums ON k = chunk_id"""),
     "hashed_embedding": with_(vectors("vec", "benchmark", "item_id", "text"), select="""
         SELECT k AS item_id, b AS bucket, round(v, 6) AS weight FROM vec"""),
     "knn_exact": with_(DENSE, select="SELECT query_id, vec_id, score, rank FROM exact"),
     "knn_exact_blocks": with_(DENSE, select="SELECT query_id, vec_id, score, rank FROM exact"),
+    "knn_learned_cells": with_(DENSE, select="SELECT query_id, vec_id, score, rank FROM exact"),
+    "knn_query_blocks": with_(DENSE, select="SELECT query_id, vec_id, score, rank FROM exact"),
+    "knn_cell_report": """
+        SELECT vec_id AS query_id, true AS proven, (SELECT count(*) FROM embeddings) AS n_rows, true AS spared FROM embeddings""",
     "knn_certified": with_(DENSE, select="SELECT query_id, vec_id, score, rank FROM exact"),
     "knn_cells": with_(DENSE, cell_search(), select="""
         SELECT query_id, vec_id, score, rank, proven FROM near JOIN settled USING (query_id)"""),
@@ -401,6 +410,9 @@ ORACLES: dict[str, str] = {
     "similarity_search_ann": with_(*INDEX, vectors("qvec", "benchmark", "item_id", "text"), hits("qvec", "xvec"), select="""
         SELECT qk AS item_id, rank, score, chunk_id AS primary_key, path AS document_uri
         FROM hits JOIN uniq USING (chunk_id)"""),
+    "similarity_search_cells": with_(*INDEX, vectors("qvec", "benchmark", "item_id", "text"), hits("qvec", "xvec"), select="""
+        SELECT qk AS item_id, rank, score, chunk_id AS primary_key, path AS document_uri, md5(chunked_text) AS text_md5
+        FROM hits JOIN uniq USING (chunk_id)"""),
     "context_format": with_(*INDEX, vectors("qvec", "benchmark", "item_id", "text"), hits("qvec", "xvec"), CONTEXTS,
                             select="SELECT qk AS item_id, context FROM contexts"),
     "chat_question": with_(SPLIT, select="SELECT conv_id, question, n_history FROM split"),

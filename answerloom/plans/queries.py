@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from answerloom.conf import CHUNK_TEMPLATE, REWRITE_TEMPLATE, SYSTEM_TEMPLATE, ChatSettings, RetrieverSettings
 from answerloom.functions.text import fill_template, squeeze_newlines, strip, utf8_text
-from answerloom.operators import chat, chunk, crawl, evaluate, feedback, index, parse, retrieve
+from answerloom.operators import cell_index, cells, chat, chunk, crawl, evaluate, feedback, index, parse, retrieve
 from answerloom.operators.embed import HashedWords, embed
 from answerloom.plans import tables as T
 from answerloom.session import new_folder, write_and_reload
@@ -163,6 +163,23 @@ def index_sync(spark, sf_dir):
     return after.select("chunk_id", "path", F.size("embedding").cast("bigint").alias("dim"))
 
 
+def _vector_sum(column: str) -> Column:
+    """A number that tells vectors apart: their parts in millionths, each times its place."""
+    return F.aggregate(
+        F.transform(column, lambda v, i: F.round(v.cast("double") * 1_000_000).cast("bigint") * (i + 1)),
+        F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+@query
+def index_generations(spark, sf_dir):
+    """The stored cell index of the old snapshot, brought to the new one by writing the touched cells only."""
+    old, new = _snapshots(spark, sf_dir)
+    folder = new_folder(spark, "cell-index")
+    cell_index.ensure_cell_index(spark, folder, _snapshot_chunks(old), "sync", EMBEDDER)
+    after = cell_index.ensure_cell_index(spark, folder, _snapshot_chunks(new), "sync", EMBEDDER).rows
+    return after.select("chunk_id", "path", F.md5("chunked_text").alias("text_md5"), _vector_sum("embedding").alias("vector_sum"))
+
+
 @query
 def hashed_embedding(spark, sf_dir):
     texts = T.table(spark, sf_dir, "benchmark").select("item_id", "text")
@@ -205,6 +222,32 @@ def knn_certified(spark, sf_dir):
     return retrieve.knn_certified(queries, vectors, 5, planes=8, probes=64, key="vec_id")
 
 
+@query
+def knn_learned_cells(spark, sf_dir):
+    """Every vector as a query of learned cells: probes, caps, codes, then the few vectors that could still win."""
+    queries, vectors = _vectors(spark, sf_dir)
+    found = cells.search_cells(queries, cells.cells_over(vectors, 64, key="vec_id"), 5)
+    return found.hits.select("query_id", "vec_id", "score", "rank")
+
+
+@query
+def knn_query_blocks(spark, sf_dir):
+    """The same for batches of queries above the bound of a block."""
+    queries, vectors = _vectors(spark, sf_dir)
+    found = cells.search_cells(queries, cells.cells_over(vectors, 64, key="vec_id"), 5, block_bytes=1 << 18)
+    return found.hits.select("query_id", "vec_id", "score", "rank")
+
+
+@query
+def knn_cell_report(spark, sf_dir):
+    """What the learned cells spared: every query is proven, its rows add up to the whole index, and the vectors of few are read."""
+    queries, vectors = _vectors(spark, sf_dir)
+    report = cells.search_cells(queries, cells.cells_over(vectors, 64, key="vec_id"), 5).report
+    n_rows = F.col("rows_probed") + F.col("rows_coded") + F.col("rows_skipped")
+    return report.select("query_id", "proven", n_rows.alias("n_rows"),
+                         (2 * (F.col("rows_probed") + F.col("rows_checked")) < n_rows).alias("spared"))
+
+
 @query
 def knn_recall(spark, sf_dir):
     queries, vectors = _vectors(spark, sf_dir)
@@ -234,6 +277,15 @@ def similarity_search_ann(spark, sf_dir):
         "item_id", "rank", "score", "primary_key", "document_uri")
 
 
+@query
+def similarity_search_cells(spark, sf_dir):
+    """The same hits from a stored index in learned cells; texts are fetched by cell and key."""
+    questions = T.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("query"))
+    stored = cell_index.ensure_cell_index(spark, new_folder(spark, "cell-index"), T.chunks(spark, sf_dir), embedder=EMBEDDER)
+    hits, _ = cell_index.search_index(questions, stored, embedder=EMBEDDER, query_key="item_id")
+    return hits.select("item_id", "rank", "score", "primary_key", "document_uri", F.md5("chunk_text").alias("text_md5"))
+
+
 @query
 def context_format(spark, sf_dir):
     contexts = chat.build_context(_benchmark_hits(spark, sf_dir), CHUNK_TEMPLATE, "item_id")
