@@ -7,7 +7,7 @@ subroots, in the order of the sources, give the root in the same way.
 1. Leaves are computed where the texts are read; from here on a row is its key and one or two digests.
 2. Places: leaves are sorted by ranges of (source, key), each range counts its sources, and running sums of these small
    counts give each leaf its place. A source with a third of all rows is many ranges.
-3. Aligned blocks of `BLOCK` leaves are appended one by one to an `OpenTree`. A new leaf attaches its empty partial
+3. Aligned blocks of 16^3 leaves are appended one by one to an `OpenTree`. A new leaf attaches its empty partial
    witness to its open subtree; whenever siblings complete a subtree, the witnesses of all rows below are extended by
    them. The block's root is a further append to the tree above, which is cut into blocks in the same way until each
    source has one node. The subroots are leaves of a last such tree.
@@ -37,9 +37,8 @@ from answerloom.session import write_and_reload
 
 #: Children of a node.
 WIDTH = 16
-#: Levels of a full block, and nodes in it.
+#: Levels of a full block: it has WIDTH ** BLOCK_LEVELS nodes.
 BLOCK_LEVELS = 3
-BLOCK = WIDTH**BLOCK_LEVELS
 #: The columns of a leaf, in order.
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -93,9 +92,9 @@ class OpenTree:
         return self.open[self.levels][0][0]
 
 
-def grown(digests: Sequence[bytes], total: int) -> OpenTree:
+def grown(digests: Sequence[bytes], total: int, block_levels: int) -> OpenTree:
     """The tree of one block, of which the whole level has `total` nodes."""
-    tree = OpenTree(BLOCK_LEVELS if total > BLOCK else levels_over(total))
+    tree = OpenTree(min(block_levels, levels_over(total)))
     for digest in digests:
         tree.append(digest)
     return tree
@@ -154,7 +153,7 @@ def placed(leaves: DataFrame) -> DataFrame:
         "tree", "id", "leaf", "other", (F.col("before") + F.col("seat") - F.col("first")).alias("at"), "total")
 
 
-def blocks_of(nodes: DataFrame, id_type: str) -> DataFrame:
+def blocks_of(nodes: DataFrame, id_type: str, block_levels: int) -> DataFrame:
     """Nodes by aligned blocks, one row each, with the block's root."""
     schema = (f"tree string, block long, total long, ids array<{id_type}>, leaves array<binary>, others array<binary>, "
               "root binary")
@@ -163,13 +162,13 @@ def blocks_of(nodes: DataFrame, id_type: str) -> DataFrame:
         group = group.sort_by("at")
         leaves = group["leaf"].to_pylist()
         total = group["total"][0].as_py()
-        root = grown([x.hex().encode() for x in leaves], total).finish()
+        root = grown([x.hex().encode() for x in leaves], total, block_levels).finish()
         return pa.table({
             "tree": group["tree"][:1], "block": group["block"][:1], "total": group["total"][:1],
             "ids": [group["id"].to_pylist()], "leaves": [leaves], "others": [group["other"].to_pylist()],
             "root": [bytes.fromhex(root.decode())]}, schema=ARROW[id_type])
 
-    numbered = nodes.select("tree", F.floor(F.col("at") / BLOCK).cast("long").alias("block"), "at", "total", "id", "leaf", "other")
+    numbered = nodes.select("tree", F.floor(F.col("at") / WIDTH**block_levels).cast("long").alias("block"), "at", "total", "id", "leaf", "other")
     return numbered.groupBy("tree", "block").applyInArrow(run, schema)
 
 
@@ -181,14 +180,15 @@ def _arrow(kind: pa.DataType) -> pa.Schema:
 ARROW = {"long": _arrow(pa.int64()), "string": _arrow(pa.string())}
 
 
-def climb(nodes: DataFrame, id_type: str) -> list[DataFrame]:
+def climb(nodes: DataFrame, id_type: str, block_levels: int) -> list[DataFrame]:
     """The written blocks of each layer, from the leaves up to one block for each tree."""
-    layers = [write_and_reload(blocks_of(nodes, id_type), "tree-blocks")]
-    while (layers[-1].agg(F.max("total")).first()[0] or 0) > BLOCK:
+    size = WIDTH**block_levels
+    layers = [write_and_reload(blocks_of(nodes, id_type, block_levels), "tree-blocks")]
+    while (layers[-1].agg(F.max("total")).first()[0] or 0) > size:
         below = layers[-1].select(
-            "tree", F.col("block").alias("at"), F.ceil(F.col("total") / BLOCK).cast("long").alias("total"),
+            "tree", F.col("block").alias("at"), F.ceil(F.col("total") / size).cast("long").alias("total"),
             F.lit(None).cast("long").alias("id"), F.col("root").alias("leaf"), F.lit(None).cast("binary").alias("other"))
-        layers.append(write_and_reload(blocks_of(below, "long"), "tree-blocks"))
+        layers.append(write_and_reload(blocks_of(below, "long", block_levels), "tree-blocks"))
     return layers
 
 
@@ -199,16 +199,17 @@ class Manifest:
     sources: list[DataFrame]
     forest: list[DataFrame]
     root: str | None
+    block_levels: int
 
 
-def build(leaves: DataFrame) -> Manifest:
+def build(leaves: DataFrame, block_levels: int = BLOCK_LEVELS) -> Manifest:
     """The manifest of leaves as `leaves_of` gives them."""
-    sources = climb(placed(write_and_reload(leaves, "leaves")), "long")
+    sources = climb(placed(write_and_reload(leaves, "leaves")), "long", block_levels)
     subroots = sources[-1].select(
         F.lit("").alias("tree"), F.col("tree").alias("id"), F.col("root").alias("leaf"), F.lit(None).cast("binary").alias("other"))
-    forest = climb(placed(subroots), "string")
+    forest = climb(placed(subroots), "string", block_levels)
     top = forest[-1].select(F.lower(F.hex("root"))).first()
-    return Manifest(sources, forest, top[0] if top else None)
+    return Manifest(sources, forest, top[0] if top else None, block_levels)
 
 
 PATH = "tree string, at long, subroot string, siblings array<string>, places array<int>"
@@ -221,26 +222,26 @@ def witnesses(blocks: DataFrame, paths: DataFrame) -> DataFrame:
         "tree", "block", "total", "ids", "leaves", "others", "subroot", "siblings", "places")
 
 
-def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[dict, list[bytes], list[list[tuple[bytes, int]]]]]:
+def rows_of(batch: pa.RecordBatch, block_levels: int) -> Iterator[tuple[dict, list[bytes], list[list[tuple[bytes, int]]]]]:
     """For each block its values, the digests of its rows as hex text, and their whole witnesses."""
     for i in range(batch.num_rows):
         block = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
         above = list(zip((s.encode() for s in block["siblings"]), block["places"]))
         digests = [x.hex().encode() for x in block["leaves"]]
-        tree = grown(digests, block["total"])
+        tree = grown(digests, block["total"], block_levels)
         tree.finish()
         for witness in tree.witnesses:
             witness.extend(above)
         yield block, digests, tree.witnesses
 
 
-def descend(layers: list[DataFrame], paths: DataFrame) -> DataFrame:
+def descend(layers: list[DataFrame], paths: DataFrame, block_levels: int) -> DataFrame:
     """The blocks of leaves with the witnesses of their roots, from the witnesses of the trees' roots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, _, found in rows_of(batch):
-                start = block["block"] * BLOCK
+            for block, _, found in rows_of(batch, block_levels):
+                start = block["block"] * WIDTH**block_levels
                 yield pa.RecordBatch.from_pydict({
                     "tree": [block["tree"]] * len(found), "at": pa.array(range(start, start + len(found)), pa.int64()),
                     "subroot": pa.array([block["subroot"]] * len(found), pa.string()),
@@ -254,26 +255,28 @@ def descend(layers: list[DataFrame], paths: DataFrame) -> DataFrame:
 
 def leaf_blocks(manifest: Manifest, spark) -> DataFrame:
     """All blocks of rows with the witnesses of their roots up to the root of the manifest."""
+    block_levels = manifest.block_levels
     top = spark.createDataFrame([("", 0, None, [], [])], PATH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, digests, found in rows_of(batch):
+            for block, digests, found in rows_of(batch, block_levels):
                 yield pa.RecordBatch.from_pydict({
                     "tree": pa.array(block["ids"], pa.string()), "at": pa.array([0] * len(found), pa.int64()),
                     "subroot": pa.array([d.decode() for d in digests], pa.string()),
                     "siblings": pa.array([[s.decode() for s, _ in w] for w in found], pa.list_(pa.string())),
                     "places": pa.array([[p for _, p in w] for w in found], pa.list_(pa.int32()))})
 
-    return descend(manifest.sources, descend(manifest.forest, top).mapInArrow(run, PATH))
+    return descend(manifest.sources, descend(manifest.forest, top, block_levels).mapInArrow(run, PATH), block_levels)
 
 
 def row_witnesses(manifest: Manifest, spark) -> DataFrame:
     """id, leaf, subroot, siblings (hex text by level, from the leaf up) and places (among them) of each row."""
+    block_levels = manifest.block_levels
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, digests, found in rows_of(batch):
+            for block, digests, found in rows_of(batch, block_levels):
                 for start in range(0, len(found), 512):
                     some = found[start : start + 512]
                     yield pa.RecordBatch.from_pydict({
@@ -289,10 +292,11 @@ def row_witnesses(manifest: Manifest, spark) -> DataFrame:
 
 def proofs(manifest: Manifest, spark) -> DataFrame:
     """id, leaf, subroot, proof_sha256 (hash of all siblings) and folded_root (from the other leaf where there is one)."""
+    block_levels = manifest.block_levels
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, digests, found in rows_of(batch):
+            for block, digests, found in rows_of(batch, block_levels):
                 now = [d if o is None else o.hex().encode() for d, o in zip(digests, block["others"])]
                 yield pa.RecordBatch.from_pydict({
                     "id": pa.array(block["ids"], pa.int64()), "leaf": [d.decode() for d in digests],
@@ -304,10 +308,10 @@ def proofs(manifest: Manifest, spark) -> DataFrame:
         run, "id long, leaf string, subroot string, proof_sha256 string, folded_root string")
 
 
-def verify_documents(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+def verify_documents(documents: DataFrame, key: str = "doc_id", block_levels: int = BLOCK_LEVELS) -> DataFrame:
     """Each document with its proof, checked against the root; every fifth (by the CRC of its id) is tampered with before."""
     spark = documents.sparkSession
-    manifest = build(leaves_of(documents, key=key, altered=T.training_rest(key, 5) == 0))
+    manifest = build(leaves_of(documents, key=key, altered=T.training_rest(key, 5) == 0), block_levels)
     root = F.lit(manifest.root).cast("string")
     return proofs(manifest, spark).select(
         F.col("id").alias(key), "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
