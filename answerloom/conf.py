@@ -63,12 +63,14 @@ class RetrieverSettings:
     ``ann`` looks into the nearest ``probes`` of 2 ** planes cells. With ``complete``
     (the default) a query whose result these cells cannot prove is searched in the
     whole index as well, so that the result is exact; without, it stays approximate.
+    An index in learned cells (``CellIndex``) begins with the ``near_cells`` nearest ones instead.
     """
 
     k: int = 5
     query_type: str = "ann"
     planes: int = 8
     probes: int = 64
+    near_cells: int = 8
     complete: bool = True
     chunk_template: str = CHUNK_TEMPLATE
     columns: IndexColumns = field(default_factory=IndexColumns)
@@ -82,6 +84,8 @@ class RetrieverSettings:
             raise ValueError("planes must lie between 1 and 14")
         if not 1 <= self.probes <= 2**self.planes:
             raise ValueError("probes must lie between 1 and 2 ** planes")
+        if self.near_cells < 1:
+            raise ValueError("near_cells must be at least 1")
 
 
 @dataclass(frozen=True)

@@ -444,3 +444,18 @@ def _exact_scores(found: DataFrame, index: CellIndex, vectors: np.ndarray) -> Da
                     [*part.columns[:3], pa.array(np.round(scores, V.SCORE_DIGITS), pa.float64())], names=["row", "key", "cell", "score"])
 
     return found.select("row", F.col(index.key).alias("key"), "cell", index.vector).mapInArrow(run, schema)
+
+
+def search_texts(
+    vectors: DataFrame, index: CellIndex, k: int, probes: int, complete: bool, query_key: str, text: str = "chunked_text",
+    uri: str = "path",
+) -> tuple[DataFrame, CellHits]:
+    """(query, rank, score, primary_key, chunk_text, document_uri), and the hits with their report.
+
+    Hits know the cell of their rows, so texts are read from these cells only, and in them by key.
+    """
+    found = search_cells(vectors, index, k, probes, complete, query_key)
+    found = CellHits(write_and_reload(found.hits, "hits"), found.report)
+    texts = fetch(index.rows, found.hits, [text, uri], index.key)
+    return texts.select(query_key, "rank", "score", F.col(index.key).alias("primary_key"), F.col(text).alias("chunk_text"),
+                        F.col(uri).alias("document_uri")), found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from answerloom.conf import ChatSettings
 from answerloom.functions.text import fill_template, first_sentence
+from answerloom.operators.cells import CellIndex
 from answerloom.operators.embed import Embedder
 from answerloom.operators.parse import SUCCESS
 from answerloom.operators.ranking import top_k
@@ -66,13 +68,20 @@ def build_prompt(system_template: str, context: Column, history: Column, questio
 
 ANSWERED = T.StructType([T.StructField("text", T.StringType()), T.StructField("status", T.StringType())])
 MODEL_ROWS = 256
+# What failed in a batch is asked again so many times, after a wait that doubles.
+RETRIES = 2
+WAIT_SECONDS = 0.1
 
 
-def call_model(df: DataFrame, source: str, target: str, model: TextModel, rows: int = MODEL_ROWS) -> DataFrame:
+def call_model(
+    df: DataFrame, source: str, target: str, model: TextModel, rows: int = MODEL_ROWS, retries: int = RETRIES,
+    wait: float = WAIT_SECONDS,
+) -> DataFrame:
     """Run a model over one column in batches of at most ``rows``; adds ``target`` and ``<target>_status``.
 
     Only the one column travels to Python. A failed batch is halved until its bad inputs stand alone, so good ones
-    are asked again a few times at most. A model with a method ``connect`` is connected once per task.
+    are asked again a few times at most. The bad ones of a batch are asked again together after a wait, as a failure
+    may pass; the last one is their status. A model with a method ``connect`` is connected once per task.
     """
 
     @F.arrow_udf(ANSWERED)
@@ -91,8 +100,19 @@ def call_model(df: DataFrame, source: str, target: str, model: TextModel, rows:
                 half = len(inputs) // 2
                 return call(inputs[:half]) + call(inputs[half:])
 
+        def persistent(inputs: list) -> list[tuple[str | None, str]]:
+            done = call(inputs)
+            for attempt in range(retries):
+                failed = [i for i, (_, status) in enumerate(done) if status != SUCCESS]
+                if not failed:
+                    break
+                time.sleep(wait * 2**attempt)
+                for i, result in zip(failed, call([inputs[i] for i in failed])):
+                    done[i] = result
+            return done
+
         for batch in batches:
-            done = [r for i in range(0, len(batch), rows) for r in call(batch.slice(i, rows).to_pylist())]
+            done = [r for i in range(0, len(batch), rows) for r in persistent(batch.slice(i, rows).to_pylist())]
             texts, states = zip(*done, strict=True) if done else ((), ())
             yield pa.StructArray.from_arrays(
                 [pa.array(texts, pa.string()), pa.array(states, pa.string())], ["text", "status"])
@@ -180,12 +200,71 @@ def prompt_rows(turns: DataFrame, contexts: DataFrame, system_template: str) ->
     return system.unionByName(kept)
 
 
-def with_turn_search_query(split: DataFrame) -> DataFrame:
-    """``search_query`` for split turns: previous message and question, or the question alone."""
-    return split.withColumn(
-        "search_query",
-        F.when(F.col("n_history") > 0, F.concat_ws(" ", "previous_message", "question")).otherwise(F.col("question")),
-    )
+def rewrite_prompt_rows(turns: DataFrame, template: str) -> DataFrame:
+    """The rewrite prompt of each conversation with a history, as rows (conv_id, position, content).
+
+    The contents in the order of their positions make up the prompt: what stands before the history at position -1, a
+    line for each earlier turn at its number, the rest at the number of the question.
+    """
+    if template.count("{chat_history}") != 1:
+        raise ValueError("the rewrite template needs one slot {chat_history}")
+    before, after = template.split("{chat_history}")
+    ends = turns.groupBy("conv_id").agg(F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"))
+    marked = turns.join(ends.filter("first_turn < last_turn"), "conv_id")
+    line = F.concat(F.when(F.col("turn") > F.col("first_turn"), "\n").otherwise(""), "role", F.lit(": "), F.coalesce("text", F.lit("")))
+    question = F.col("turn") == F.col("last_turn")
+    rows = marked.select("conv_id", F.col("turn").alias("position"), F.when(
+        question, fill_template(after, question=F.col("text"))).otherwise(line).alias("content"))
+    head = marked.filter(question).select("conv_id", F.lit(-1).cast("bigint").alias("position"), fill_template(
+        before, question=F.col("text")).alias("content"))
+    return head.unionByName(rows)
+
+
+# A model reads one prompt at a time: the most characters that a conversation may have to be put into one.
+PROMPT_CHARS = 1_000_000
+
+
+def gathered(rows: DataFrame, value: Column, name: str, most_chars: int = PROMPT_CHARS) -> DataFrame:
+    """(conv_id, ``name``, status): the values of each conversation's rows in an array, by position.
+
+    Conversations are measured first. Those above the bound are never put together: they keep a row with an error
+    status, so no task holds more than one prompt of bounded size at a time.
+    """
+    sizes = rows.groupBy("conv_id").agg(
+        F.sum(F.length(F.coalesce("content", F.lit(""))) + 1).alias("_chars"))
+    sizes = write_and_reload(sizes, "prompt-sizes")
+    over = sizes.filter(F.col("_chars") > most_chars).select("conv_id")
+    listed = F.sort_array(F.collect_list(F.struct(F.col("position").alias("p"), value.alias("v"))))
+    fitting = rows.join(over, "conv_id", "left_anti").groupBy("conv_id").agg(F.transform(listed, lambda r: r.v).alias(name))
+    too_long = sizes.filter(F.col("_chars") > most_chars).select(
+        "conv_id", F.lit(None).cast(fitting.schema[name].dataType).alias(name),
+        F.format_string(f"ERROR: prompt of %d characters, the most are {most_chars}", "_chars").alias("status"))
+    return fitting.withColumn("status", F.lit(SUCCESS)).unionByName(too_long)
+
+
+def with_turn_search_query(
+    split: DataFrame, turns: DataFrame | None = None, rewriter: TextModel | None = None,
+    template: str = ChatSettings().rewrite_template, most_chars: int = PROMPT_CHARS,
+) -> DataFrame:
+    """``search_query`` for split turns: previous message and question, or the question alone.
+
+    With a rewriter, which needs the turns, conversations with a history get its answer to their rewrite prompt, and
+    ``search_query_status``.
+    """
+    if rewriter is None:
+        return split.withColumn(
+            "search_query",
+            F.when(F.col("n_history") > 0, F.concat_ws(" ", "previous_message", "question")).otherwise(F.col("question")),
+        )
+    prompts = gathered(rewrite_prompt_rows(turns, template), F.col("content"), "_parts", most_chars)
+    prompts = prompts.select("conv_id", F.array_join("_parts", "").alias("_prompt"), "status")
+    asked = call_model(prompts.filter(F.col("status") == SUCCESS).drop("status"), "_prompt", "search_query", rewriter)
+    asked = asked.select("conv_id", "search_query", "search_query_status").unionByName(prompts.filter(
+        F.col("status") != SUCCESS).select("conv_id", F.lit(None).cast("string").alias("search_query"),
+                                           F.col("status").alias("search_query_status")))
+    alone = split.filter(F.col("n_history") == 0).withColumn("search_query", F.col("question")).withColumn(
+        "search_query_status", F.lit(SUCCESS))
+    return split.filter(F.col("n_history") > 0).join(asked, "conv_id").unionByName(alone)
 
 
 # --- context and answers --------------------------------------------------------------------
@@ -220,18 +299,58 @@ def extractive_answer(top_chunk: Column) -> Column:
 
 
 def answer_turns(
-    turns: DataFrame, index: DataFrame, settings: ChatSettings, embedder: Embedder | None = None
+    turns: DataFrame,
+    index: DataFrame | CellIndex,
+    settings: ChatSettings,
+    embedder: Embedder | None = None,
+    rewriter: TextModel | None = None,
+    generator: TextModel | None = None,
+    most_chars: int = PROMPT_CHARS,
 ) -> DataFrame:
-    """Answer the last turn of every conversation with the offline rewriter and generator."""
-    asked = with_turn_search_query(split_turns(turns))
-    hits = search(asked, index, settings.retriever, embedder, "conv_id", "search_query")
+    """Answer the last turn of every conversation: search query, context, prompt, answer.
+
+    Turns stay rows. Only for a rewriter or a generator, which read whole prompts, the turns of a conversation are put
+    together, and only up to ``most_chars``; longer ones keep their row with a status. Without these plugs the query is
+    previous message and question, and the answer the first sentence of the best chunk.
+    """
+    limits = {"max_tokens": settings.max_tokens, "temperature": settings.temperature}
+    split = split_turns(turns)
+    if rewriter is None and generator is None:
+        asked = with_turn_search_query(split)
+        hits = search(asked, index, settings.retriever, embedder, "conv_id", "search_query")
+        contexts = build_context(hits, settings.retriever.chunk_template, "conv_id")
+        return asked.join(contexts, "conv_id", "left").withColumn("answer", extractive_answer(F.col("top_chunk")))
+
+    if rewriter is None:
+        asked = with_turn_search_query(split).withColumn("search_query_status", F.lit(SUCCESS))
+    else:
+        asked = with_turn_search_query(split, turns, partial(rewriter, **limits), settings.rewrite_template, most_chars)
+    asked = write_and_reload(asked, "turn-queries")  # models are not asked twice
+    made = asked.filter(F.col("search_query_status") == SUCCESS)
+    hits, failed = search_with_failures(made, index, settings.retriever, embedder, "conv_id", "search_query")
     contexts = build_context(hits, settings.retriever.chunk_template, "conv_id")
-    return asked.join(contexts, "conv_id", "left").withColumn("answer", extractive_answer(F.col("top_chunk")))
+    found = asked.join(contexts, "conv_id", "left").join(
+        failed.withColumnRenamed("status", "_search_failure"), "conv_id", "left").withColumn(
+        "search_query_status", F.coalesce("_search_failure", "search_query_status")).drop("_search_failure")
+    sound = F.col("search_query_status") == SUCCESS
+    if generator is None:
+        return found.withColumn("answer", F.when(sound, extractive_answer(F.col("top_chunk")))).withColumn(
+            "answer_status", F.col("search_query_status"))
+    found = write_and_reload(found, "turn-contexts")
+    rows = prompt_rows(turns, found.select("conv_id", "context"), settings.system_template).join(
+        found.filter(sound).select("conv_id"), "conv_id", "left_semi")
+    prompts = gathered(rows, F.struct("role", "content"), "prompt", most_chars)
+    answers = call_model(prompts.filter(F.col("status") == SUCCESS), "prompt", "answer", partial(generator, **limits))
+    answers = answers.select("conv_id", "answer", "answer_status").unionByName(prompts.filter(
+        F.col("status") != SUCCESS).select("conv_id", F.lit(None).cast("string").alias("answer"),
+                                           F.col("status").alias("answer_status")))
+    return found.join(answers, "conv_id", "left").withColumn(
+        "answer_status", F.coalesce("answer_status", "search_query_status"))
 
 
 def answer_requests(
     requests: DataFrame,
-    index: DataFrame | None,
+    index: DataFrame | CellIndex | None,
     settings: ChatSettings,
     request_key: str = "request_id",
     rewriter: TextModel | None = None,

@@ -54,16 +54,17 @@ def embed(df: DataFrame, text: str, embedder: Embedder | None = None) -> DataFra
     """
     embedder = embedder or HashedWords()
 
-    def one_by_one(texts: list[str | None]) -> list[tuple[np.ndarray | None, str]]:
-        out: list[tuple[np.ndarray | None, str]] = []
-        for value in texts:
-            try:
-                if value is None:
-                    raise ValueError("no text")
-                out.append((np.asarray(embedder([value]))[0], SUCCESS))
-            except Exception as error:
-                out.append((None, f"ERROR: {error}"))
-        return out
+    def halved(texts: list[str | None]) -> list[tuple[np.ndarray | None, str]]:
+        """A failed batch is halved until its bad texts stand alone, so good ones are asked again a few times at most."""
+        try:
+            if None in texts:
+                raise ValueError("no text")
+            return [(v, SUCCESS) for v in np.asarray(embedder(texts), dtype=np.float32)]
+        except Exception as error:
+            if len(texts) == 1:
+                return [(None, f"ERROR: {error}")]
+            half = len(texts) // 2
+            return halved(texts[:half]) + halved(texts[half:])
 
     @F.arrow_udf(EMBEDDED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -77,7 +78,8 @@ def embed(df: DataFrame, text: str, embedder: Embedder | None = None) -> DataFra
                 lists = pa.ListArray.from_arrays(offsets, vectors.ravel())
                 status = pa.array([SUCCESS] * len(texts), pa.string())
             except Exception:
-                results = one_by_one(texts)
+                half = max(1, len(texts) // 2)
+                results = [r for part in (texts[:half], texts[half:]) if part for r in halved(part)]
                 lists = pa.array([None if v is None else v.tolist() for v, _ in results], pa.list_(pa.float32()))
                 status = pa.array([s for _, s in results], pa.string())
             yield pa.StructArray.from_arrays([lists, status], ["embedding", "status"])

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from answerloom.conf import IndexColumns, RetrieverSettings
 from answerloom.functions import vectors as V
+from answerloom.operators import cells
 from answerloom.operators.embed import Embedder, embed
 from answerloom.operators.parse import SUCCESS
 from answerloom.operators.ranking import top_k
@@ -300,7 +301,7 @@ def recall_at_k(approximate: DataFrame, exact: DataFrame, query_key: str = "quer
 
 
 def search_with_failures(
-    queries: DataFrame, index: DataFrame, settings: RetrieverSettings, embedder: Embedder | None = None,
+    queries: DataFrame, index: DataFrame | cells.CellIndex, settings: RetrieverSettings, embedder: Embedder | None = None,
     query_key: str = "query_id", text: str = "query",
 ) -> tuple[DataFrame, DataFrame]:
     """The hits of ``search``, and (query, status) of the queries that could not be embedded."""
@@ -311,7 +312,7 @@ def search_with_failures(
 
 def search(
     queries: DataFrame,
-    index: DataFrame,
+    index: DataFrame | cells.CellIndex,
     settings: RetrieverSettings,
     embedder: Embedder | None = None,
     query_key: str = "query_id",
@@ -322,12 +323,17 @@ def search(
     Only key and vector take part in scoring. Text and address join in for the
     final hits: few hits, by the bound on their queries, go to the index scan;
     otherwise both sides shuffle on the key. Queries that ``embed`` has been run on are not embedded again; those
-    that could not be embedded have no hits (``search_with_failures`` names them).
+    that could not be embedded have no hits (``search_with_failures`` names them). An index in learned cells is
+    searched through them, and gives its texts by place.
     """
     cols: IndexColumns = settings.columns
     embedded = queries if "embed_status" in queries.columns else embed(queries.select(query_key, text), text, embedder)
     embedded = embedded.filter(F.col("embed_status") == SUCCESS)
     vectors = embedded.select(query_key, "embedding")
+    if isinstance(index, cells.CellIndex):
+        exact = settings.complete or settings.query_type == "exact"
+        return cells.search_texts(
+            vectors, index, settings.k, settings.near_cells, exact, query_key, cols.chunk_text, cols.document_uri)[0]
     if settings.query_type == "exact":
         small = _small_batch(vectors, index, "embedding", QUERY_BROADCAST_BYTES)
         few = small is not None

@@ -418,13 +418,20 @@ ORACLES: dict[str, str] = {
     "chat_question": with_(SPLIT, select="SELECT conv_id, question, n_history FROM split"),
     "chat_history": with_(SPLIT, select="SELECT conv_id, turn, role, text FROM numbered WHERE back > 1"),
     "chat_rewrite_branch": with_(SPLIT, select="SELECT conv_id, n_history > 0 AS rewritten, search_query FROM split"),
-    "chat_rewrite_prompt": f"""
-        WITH told AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations),
-        asked AS (SELECT conv_id, max(CASE WHEN turn = last THEN text END) AS question,
-          string_agg(role || ': ' || text, chr(10) ORDER BY turn) FILTER (turn < last) AS history,
-          2 + count(*) FILTER (turn < last AND role IN ('user', 'assistant')) AS n_prompt_messages FROM told GROUP BY conv_id)
-        SELECT conv_id, n_prompt_messages, CASE WHEN history IS NOT NULL
-          THEN {template(REWRITE_TEMPLATE, chat_history='history', question='question')} END AS rewrite_prompt FROM asked""",
+    "chat_rewrite_prompt": with_(SPLIT, select=f"""
+        SELECT conv_id, -1::BIGINT AS position, {lit(REWRITE_TEMPLATE[:REWRITE_TEMPLATE.index('{chat_history}')])} AS content
+        FROM split WHERE n_history > 0
+        UNION ALL
+        SELECT conv_id, turn, CASE WHEN back = 1
+          THEN {template(REWRITE_TEMPLATE[REWRITE_TEMPLATE.index('{chat_history}') + 14:], question='text')}
+          ELSE CASE WHEN back < n THEN chr(10) ELSE '' END || role || ': ' || text END
+        FROM numbered WHERE n > 1"""),
+    "chat_rewrite_turns": f"""
+        SELECT c.conv_id, c.turn,
+          CASE WHEN p.turn IS NOT NULL
+            THEN {template(REWRITE_TEMPLATE, chat_history="p.role || ': ' || p.text", question='c.text')} END AS rewrite_prompt,
+          2::BIGINT + coalesce(p.role IN ('user', 'assistant'), false)::BIGINT AS n_prompt_messages
+        FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1""",
     "chat_prompt": with_(SPLIT, select=f"""
         SELECT conv_id, -1::BIGINT AS position, 'system' AS role,
           {template(SYSTEM_TEMPLATE, context='max(CASE WHEN turn = 1 THEN text END)')} AS content
@@ -436,6 +443,16 @@ ORACLES: dict[str, str] = {
                        select=f"""
         SELECT conv_id, question, search_query, context, {sentence('top_chunk')} AS answer
         FROM split LEFT JOIN contexts ON qk = conv_id"""),
+    "rag_turns_models": with_(*INDEX, SPLIT, """
+        models AS (SELECT conv_id, question, CASE WHEN n_history > 0 THEN r || ' ' || r ELSE question END AS search_query
+          FROM (SELECT *, string_split('Question: ' || question, chr(10))[-1] AS r FROM split))""",
+        vectors("qvec", "models", "conv_id", "search_query"), hits("qvec", "xvec"), CONTEXTS, f"""
+        prompts AS (SELECT conv_id, 2 + count(*) FILTER (back > 1 AND role IN ('user', 'assistant')) AS n FROM numbered GROUP BY conv_id),
+        systems AS (SELECT m.*, p.n, context, length({template(SYSTEM_TEMPLATE, context='context')}) AS chars
+          FROM models m JOIN prompts p USING (conv_id) LEFT JOIN contexts ON qk = conv_id)""", select="""
+        SELECT conv_id, search_query, context,
+          CASE WHEN n < 7 THEN n || ' messages, ' || chars || ' characters, asked: ' || question END AS answer,
+          CASE WHEN n < 7 THEN 'SUCCESS' ELSE 'ERROR: too many messages' END AS answer_status FROM systems"""),
     "feedback_latest_text": with_(CLICKS, select=f"""
         SELECT request_id, reviewer, step_id, {TS.format('ts')} AS ts, suggested_output, rating, event_id FROM last_text"""),
     "feedback_latest_retrieval": with_(CLICKS, select=f"""

@@ -317,13 +317,23 @@ def chat_rewrite_branch(spark, sf_dir):
 
 @query
 def chat_rewrite_prompt(spark, sf_dir):
-    """Each conversation as one request, its whole history through the array form of the chain."""
-    said = F.struct("turn", "role", F.col("text").alias("content"))
-    requests = _turns(spark, sf_dir).groupBy("conv_id").agg(F.sort_array(F.collect_list(said)).alias("turns")).select(
-        "conv_id", F.transform("turns", lambda t: F.struct(t.role.alias("role"), t.content.alias("content"))).alias("messages"))
+    """The rewrite prompt of each conversation, as rows."""
+    return chat.rewrite_prompt_rows(_turns(spark, sf_dir), REWRITE_TEMPLATE)
+
+
+@query
+def chat_rewrite_turns(spark, sf_dir):
+    """Requests of two messages (the turn before, the question) for every turn, through the array form of the chain."""
+    turns = _turns(spark, sf_dir)
+    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.struct(
+        "role", F.col("text").alias("content")).alias("before"))
+    requests = turns.join(before, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn",
+        F.filter(F.array("before", F.struct("role", F.col("text").alias("content"))), lambda m: m.isNotNull()).alias(
+            "messages"))
     split = chat.split_messages(requests)
     return split.select(
-        "conv_id",
+        "conv_id", "turn",
         F.when(F.size("history") > 0, chat.rewrite_prompt(REWRITE_TEMPLATE, F.col("history"), F.col("question"))).alias(
             "rewrite_prompt"),
         F.size(chat.build_prompt(SYSTEM_TEMPLATE, F.lit("-"), F.col("history"), F.col("question"))).cast(
@@ -345,6 +355,27 @@ def rag_batch(spark, sf_dir):
     return answers.select("conv_id", "question", "search_query", "context", "answer")
 
 
+def _question_again(prompts, **_):
+    """A rewriter: the last line of its prompt, twice."""
+    return [" ".join([p.rsplit("\n", 1)[-1]] * 2) for p in prompts]
+
+
+def _message_count(prompts, **_):
+    """A generator that refuses prompts of seven messages and more."""
+    if any(len(p) >= 7 for p in prompts):
+        raise ValueError("too many messages")
+    return [f"{len(p)} messages, {len(p[0]['content'])} characters, asked: {p[-1]['content']}" for p in prompts]
+
+
+@query
+def rag_turns_models(spark, sf_dir):
+    """Every conversation through rewriter, learned cells and generator; turns stay rows up to the prompts."""
+    stored = cell_index.ensure_cell_index(spark, new_folder(spark, "cell-index"), T.chunks(spark, sf_dir), embedder=EMBEDDER)
+    settings = ChatSettings(retriever=RetrieverSettings(k=5))
+    answers = chat.answer_turns(_turns(spark, sf_dir), stored, settings, EMBEDDER, _question_again, _message_count)
+    return answers.select("conv_id", "search_query", "context", "answer", "answer_status")
+
+
 # --- feedback ---------------------------------------------------------------------------------
 
 
