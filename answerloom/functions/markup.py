@@ -1,12 +1,14 @@
-"""HTML to Markdown as a chain of regular expression replacements.
+"""HTML to Markdown by one fold over the tags of a page, inside the JVM.
 
-All stages run inside the JVM on whole pages. The patterns keep to what Java
-and RE2 both support, so the result can be checked in another engine.
+A page is cut once into tags and texts. The fold goes through them with a small state (open lists and their counters,
+preformatted text, the open link, the cells of the table row) and appends what each of them stands for. Marks that need
+what comes later (where a link or an emphasis ends) are control characters, which a page cannot hold, until the end.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -19,6 +21,19 @@ BLOCKS = (
     "address|article|aside|blockquote|body|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|"
     "header|html|main|nav|ol|p|pre|section|summary|table|tbody|tfoot|thead|tr|ul"
 )
+# Elements without text for the reader.
+SILENT = ("script", "style", "head", "template")
+
+# Control characters that stand for something until the end: a space and a line break that stay as they are, the two
+# ends of a link, and the two ends of strong, emphasised and code text.
+KEPT_SPACE, KEPT_BREAK, LINK, LINK_END = "\x01", "\x02", "\x0e", "\x0f"
+INLINE = {("b", "strong"): ("**", "\x03", "\x04"), ("i", "em"): ("*", "\x05", "\x06"), ("code",): ("`", "\x10", "\x11")}
+# A line break, unless there is one already.
+SOFT_BREAK = "\x12"
+CONTROLS = "[\x01-\x06\x0e-\x12]"
+INDENT = KEPT_SPACE * 4
+#: Text is appended to a piece of so many characters, and pieces to a list, so that a long page is not copied for each tag.
+TAIL = 4096
 
 # Names and characters of the standard table; the most frequent names come first, as a lookup reads from the front.
 FREQUENT_NAMES = ("amp", "lt", "gt", "quot", "nbsp", "copy", "middot")
@@ -26,37 +41,6 @@ FREQUENT_NAMES = ("amp", "lt", "gt", "quot", "nbsp", "copy", "middot")
 NAMED = {n.removesuffix(";"): c.replace("\xa0", " ") for n, c in html5.items() if n.endswith(";")}
 NAMED = {n: NAMED[n] for n in FREQUENT_NAMES} | NAMED
 
-# Pattern and replacement of each stage, in order; $n names a group.
-STAGES: tuple[tuple[str, str], ...] = (
-    (r"(?is)<script\b[^>]*>.*?</script[^>]*>", ""),
-    (r"(?is)<style\b[^>]*>.*?</style[^>]*>", ""),
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<head\b[^>]*>.*?</head[^>]*>", ""),
-    (r"[ \t\r\n\f]+", " "),
-    *((rf"(?i)<h{n}\b[^>]*>", "\n\n" + "#" * n + " ") for n in range(1, 7)),
-    (r"(?i)</h[1-6][^>]*>", "\n\n"),
-    (r"(?i)<br\b[^>]*>", "\n"),
-    (r"(?i)<hr\b[^>]*>", "\n\n---\n\n"),
-    (r'(?i)<img\b[^>]*?\balt\s*=\s*"([^"]*)"[^>]*?\bsrc\s*=\s*"([^"]*)"[^>]*>', "![$1]($2)"),
-    (r'(?i)<img\b[^>]*?\bsrc\s*=\s*"([^"]*)"[^>]*?\balt\s*=\s*"([^"]*)"[^>]*>', "![$2]($1)"),
-    (r'(?i)<img\b[^>]*?\bsrc\s*=\s*"([^"]*)"[^>]*>', "![]($1)"),
-    (r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a[^>]*>', "[$2]($1)"),
-    (r"(?i)<a\s[^>]*?href\s*=\s*'([^']*)'[^>]*>(.*?)</a[^>]*>", "[$2]($1)"),
-    (r"(?i)<li\b[^>]*>", "\n* "),
-    (r"(?i)</li[^>]*>", "\n"),
-    (r"(?i)</t[dh][^>]*>", " "),
-    (rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n\n"),
-    # Inline marks stay within a line: Markdown knows no others, and an element that is
-    # never closed costs a look at its own line only.
-    (r"(?i)<(?:b|strong)(?: [^>]*)?>(.*?)</(?:b|strong)>", "**$1**"),
-    (r"(?i)<(?:i|em)(?: [^>]*)?>(.*?)</(?:i|em)>", "*$1*"),
-    (r"(?i)<code(?: [^>]*)?>(.*?)</code>", "`$1`"),
-    (r"<[!/?a-zA-Z][^>]*>", ""),
-    (r" *\n *", "\n"),
-    (r" {2,}", " "),
-)
-
-
 def decode_entities(text: Column) -> Column:
     """Replace named, decimal and hexadecimal character references by their characters, in one pass.
 
@@ -85,11 +69,118 @@ def decode_entities(text: Column) -> Column:
     return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)
 
 
+def _plain_tags() -> dict[str, str]:
+    """Tags that stand for the same text wherever they are, but in preformatted text."""
+    breaks = set(BLOCKS.split("|")) - {"ul", "ol", "pre", "tr", "thead", "tbody", "tfoot"}
+    out = {end + name: "\n\n" for name in breaks for end in ("", "/")}
+    for level in range(1, 7):
+        out |= {f"h{level}": "\n\n" + "#" * level + " ", f"/h{level}": "\n\n"}
+    for names, (_, start, end) in INLINE.items():
+        out |= {name: start for name in names} | {f"/{name}": end for name in names}
+    return out | {"br": "\n", "hr": "\n\n---\n\n"}
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute in double quotes, single quotes or none; empty without it."""
+    pattern = rf"""(?is)\A<[^\s>]+\s(?:[^>]*?\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
+
+
+def _token(text: Column) -> Column:
+    """Name of the tag (null for a text), what it gives, and what it gives in preformatted text or, for a link, its target."""
+    is_tag = text.rlike(r"\A<[!/?a-zA-Z]")
+    name = F.when(is_tag, F.lower(F.regexp_extract(text, r"\A<(/?[a-zA-Z][a-zA-Z0-9]*)", 1)))
+    plain = F.from_json(F.lit(json.dumps(_plain_tags())), "map<string,string>")
+    image = F.concat(F.lit("!["), _attribute(text, "alt"), F.lit("]("), _attribute(text, "src"), F.lit(")"))
+
+    def described(name: Column) -> Column:
+        shown = (
+            F.when(name.isNull(), F.regexp_replace(text, r"[ \t\r\n\f]+", " "))
+            .when(name == "img", F.when(_attribute(text, "src") != "", image).otherwise(""))
+            .otherwise(F.coalesce(F.try_element_at(plain, name), F.lit(""))))
+        kept = F.when(name.isNull(), F.translate(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\t"), F.lit(
+            "    ")), " \n\r", KEPT_SPACE + KEPT_BREAK * 2)).when(name == "a", _attribute(text, "href")).otherwise("")
+        return F.struct(name.alias("name"), shown.alias("shown"), kept.alias("kept"))
+
+    return _let(name, described)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+START = "struct<done:array<string>,tail:string,lists:array<int>,pre:boolean,link:string,cells:int,head:boolean>"
+
+
+def _step(state: Column, token: Column) -> Column:
+    """The state after one more tag or text."""
+    name = token["name"]
+    depth = F.size(state["lists"])
+    counter = F.coalesce(F.get(state["lists"], depth - 1), F.lit(0))  # of the innermost list; 0 without numbers
+    opens, closes = name.isin("ul", "ol"), name.isin("/ul", "/ol")
+    cell, row_ends = name.isin("td", "th"), name.isin("tr", "/tr", "table", "/table") & (state["cells"] > 0)
+    in_row = state["cells"] > 0
+
+    item = F.concat(F.lit("\n"), F.repeat(F.lit(INDENT), F.greatest(depth - 1, F.lit(0))),
+                    F.when(counter > 0, F.concat(counter.cast("string"), F.lit(". "))).otherwise("* "))
+    row_end = F.concat(F.lit(" |\n"), F.when(state["head"], F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), state["cells"]), F.lit(
+        "\n"))).otherwise(""))
+    piece = (
+        F.when(state["pre"], F.when(name.isNull(), token["kept"]).when(name == "br", KEPT_BREAK).when(
+            name == "/pre", "\n```\n\n").otherwise(""))
+        .when(name.isNull(), token["shown"])
+        .when(name == "pre", "\n\n```\n")
+        .when(name == "li", item)
+        .when(opens, F.when(depth > 0, "").otherwise("\n\n"))
+        .when(closes, F.when(depth > 1, SOFT_BREAK).otherwise("\n\n"))
+        .when(name == "a", F.when(token["kept"] != "", LINK).otherwise(""))
+        .when(name == "/a", F.when(state["link"].isNotNull(), F.concat(F.lit(f"{LINK_END}]("), state["link"], F.lit(")"))).otherwise(""))
+        .when(row_ends, F.concat(row_end, F.when(name.isin("table", "/table"), "\n").otherwise("")))
+        .when(cell, F.when(in_row, " | ").otherwise("| "))
+        .when(in_row & token["shown"].contains("\n"), " ")
+        .otherwise(token["shown"]))
+    last = F.slice(state["lists"], 1, F.greatest(depth - 1, F.lit(0)))
+    lists = (
+        F.when(state["pre"], state["lists"])
+        .when(name == "ul", F.array_append(state["lists"], F.lit(0)))
+        .when(name == "ol", F.array_append(state["lists"], F.lit(1)))
+        .when(closes, last)
+        .when((name == "li") & (counter > 0), F.array_append(last, counter + 1))
+        .otherwise(state["lists"]))
+    link = F.when(state["pre"], state["link"]).when((name == "a") & (token["kept"] != ""), token["kept"]).when(
+        name != "/a", state["link"]).when(name.isNull(), state["link"])
+    cells = F.when(name.isin("tr", "/tr", "table", "/table"), 0).when(cell, state["cells"] + 1).otherwise(state["cells"])
+
+    def grown(tail: Column) -> Column:
+        full = F.length(tail) > TAIL
+        return F.struct(
+            F.when(full, F.array_append(state["done"], tail)).otherwise(state["done"]).alias("done"),
+            F.when(full, "").otherwise(tail).alias("tail"), lists.alias("lists"),
+            F.coalesce((name == "pre") | state["pre"] & (name != "/pre"), state["pre"]).alias("pre"), link.alias("link"),
+            cells.alias("cells"),
+            F.coalesce(F.when(name.isin("tr", "/tr", "table", "/table"), False).otherwise(state["head"] | (name == "th")),
+                       state["head"]).alias("head")).cast(START)
+
+    return _let(F.concat(state["tail"], piece), grown)
+
+
 def html_to_markdown(html: Column) -> Column:
-    """Markdown with ``#`` headings, links, list marks, emphasis and blank lines between blocks."""
-    text = html
-    for pattern, replacement in STAGES:
-        text = F.regexp_replace(text, pattern, replacement)
-    # The one-element transform evaluates the stages once, however often the text is used.
-    text = F.get(F.transform(F.array(text), decode_entities), 0)
-    return squeeze_newlines(strip(text))
+    """Markdown with ``#`` headings, links, nested and numbered lists, tables, preformatted text, emphasis and blank lines
+    between blocks."""
+    text = F.regexp_replace(html, CONTROLS, "")
+    for name in SILENT:
+        text = F.regexp_replace(text, rf"(?is)<{name}\b[^>]*>.*?</{name}[^>]*>", "")
+    text = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
+    tokens = F.regexp_extract_all(text, F.lit(r"(<[!/?a-zA-Z][^>]*>|[^<]+|<)"), F.lit(1))
+    start = F.from_json(F.lit('{"done":[],"tail":"","lists":[],"pre":false,"link":null,"cells":0,"head":false}'), START)
+    text = F.aggregate(F.transform(tokens, _token), start, _step, lambda s: F.concat(F.array_join(s["done"], ""), s["tail"]))
+    text = F.translate(F.regexp_replace(text, rf"{SOFT_BREAK}(?= *[{SOFT_BREAK}\n])", ""), SOFT_BREAK, "\n")
+    text = F.regexp_replace(F.regexp_replace(text, rf"{LINK}[ \n]*", "["), rf"[ \n]*{LINK_END}", "")
+    for mark, first, last in INLINE.values():
+        # Inline marks stay within a line: Markdown knows no others, and an element that is never closed gives none.
+        text = F.regexp_replace(text, rf"{first}([^{first}{last}\n]*){last}", rf"{mark}$1{mark}")
+        text = F.translate(text, first + last, "")
+    text = F.regexp_replace(F.regexp_replace(text, r" *\n *", "\n"), r" {2,}", " ")
+    text = _let(text, decode_entities)
+    return F.translate(squeeze_newlines(strip(text)), KEPT_SPACE + KEPT_BREAK, " \n")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from answerloom.conf import CHUNK_TEMPLATE, REWRITE_TEMPLATE, SYSTEM_TEMPLATE
-from answerloom.functions.markup import STAGES
 from answerloom.functions.text import SPACE
 from answerloom.plans.tables import CHUNK_WORDS, DIM, OVERLAP_WORDS
 
@@ -31,10 +30,12 @@ def sentence(text: str) -> str:
 
 
 def markdown(html: str) -> str:
-    text = html
-    for pattern, replacement in STAGES:
-        for n in range(1, 4):
-            replacement = replacement.replace(f"${n}", f"\\{n}")
+    """The tags that the given pages have, each by its own replacement; all others of them stand between blocks."""
+    text = f"regexp_replace({html}, '(?s)<!--.*?-->|<head>.*?</head>|<script.*?</script>|<style.*?</style>', '', 'g')"
+    for pattern, replacement in (
+        ("[ \\t\\r\\n\\f]+", " "), ("</?b>|</li>", ""), ("<li>", "\n* "), ("<br>", "\n"), ("<h1>", "\n\n# "),
+        ('<a href="([^"]*)">([^<]*)</a>', "[\\2](\\1)"), ("<[^>]*>", "\n\n"), (" *\n *", "\n"), (" {2,}", " "),
+    ):
         text = f"regexp_replace({text}, {lit(pattern)}, {lit(replacement)}, 'g')"
     for entity, character in ENTITIES:
         text = f"replace({text}, {lit(entity)}, {lit(character)})"

@@ -203,16 +203,3 @@ def test_settings():
         assert (conf.chunk.size, conf.chunk.overlap, conf.tables.raw_files) == (64, 8, "a.b")
         assert (conf.chat.retriever.k, conf.chat.retriever.columns.primary_key) == (3, "id")
         assert conf.tables.feedback_eval_set == "x.y"
-
-
-def test_tree_parser_plug(spark):
-    from answerloom.functions.markup_tree import tree_parser
-
-    page = b"""<head><title>no</title></head><h1>T</h1><ol><li>one</li><li>two<ul><li>in</li></ul></li></ol>
-      <p>a <b>b</b> <a href="/x">l</a> &eacute;</p><pre>x
-  y</pre>"""
-    raw = spark.createDataFrame([("ok", None, 1, page), ("bad", None, 1, b"\xff")], RAW)
-    good, bad = parse.parse_documents(raw, tree_parser)
-    assert good.first().doc_parsed_contents["parsed_content"] == (
-        "# T\n\n1. one\n2. two\n\t* in\n\na **b** [l](/x) é\n\n```\nx\n  y\n```")
-    assert bad.first().status.startswith("ERROR: 'utf-8' codec")

@@ -89,11 +89,37 @@ def test_markdown(spark):
       <p>&#233;&#x20AC;&#0; <img alt="pic" src="p.png"> <code>x=1</code></p><hr></body></html>"""
     got = values(spark, [(page,)], "h string", markup.html_to_markdown(F.col("h")))[0][0]
     assert got == (
-        "## Head & tail\n\nOne **bold** and *lean*\ntwo <three> &lt;\n\n* first\n\n* [link](/x)\n\nA\n\nB\n\n"
+        "## Head & tail\n\nOne **bold** and *lean*\ntwo <three> &lt;\n\n* first\n* [link](/x)\n\nA\n\nB\n\n"
         "é€&#0; ![pic](p.png) `x=1`\n\n---"
     )
 
 
+GOLDENS = {
+    "<ol><li>one<li>two<ul><li>in</li><li>ner<ol><li>x</li></ol></li></ul>tail</li><li>three</li></ol>after":
+        "1. one\n2. two\n    * in\n    * ner\n        1. x\ntail\n3. three\n\nafter",
+    "<p>a</p><pre>  def f():\n    return 1\n\n\n\t# &lt;b&gt; <b>x</b><br></pre><p>b  c</p>":
+        "a\n\n```\n  def f():\n    return 1\n\n\n    # <b> x\n\n```\n\nb c",
+    "<table><thead><tr><th>A</th><th>B <b>x</b></th></tr></thead><tbody><tr><td>1</td><td><p>2</p></td></tr><tr><td>3<td>4</table>end":
+        "| A | B **x** |\n| --- | --- |\n| 1 | 2 |\n| 3 | 4 |\n\nend",
+    "x <a href=\"/x\"><h3>Card</h3></a> y <a class=c href='/q'>q</a> <a href=/z>z</a> <a name=k>n</a> <a data-href=/w>w</a>":
+        "x [### Card](/x) y [q](/q) [z](/z) n w",
+    "<img src='/i.png' alt='a pic'> <img alt=t src=/j.png> <img SRC=\"k\"> <img data-src=x>":
+        "![a pic](/i.png) ![t](/j.png) ![](k)",
+    "a <b>bold</b> <i>it</i> <code>c  d</code> <b>open<p>next</p> 5 < 6 &amp; 7 &gt; &#65; </ul></li></a></pre></td>":
+        "a **bold** *it* `c d` open\n\nnext\n\n5 < 6 & 7 > A",
+    "<h2>T</h2>text<br>more<hr>x\x01y\x12": "## T\n\ntext\nmore\n\n---\n\nxy",
+    "<div>" * 3000 + "deep" + "</div>" * 3000: "deep",
+    "<p>" + "word " * 20_000 + "</p>": ("word " * 20_000).strip(),
+    "": "",
+}
+
+
+def test_markdown_of_lists_tables_links_and_preformatted_text(spark):
+    rows = values(spark, [(h,) for h in GOLDENS], "h string", F.col("h"), markup.html_to_markdown(F.col("h")))
+    assert {h: m for h, m in rows} == GOLDENS
+    assert values(spark, [(None,)], "h string", markup.html_to_markdown(F.col("h")))[0][0] is None
+
+
 def test_entities_agree_with_the_standard_table(spark):
     for name, character in markup.NAMED.items():
         assert html_module.unescape(f"&{name};").replace("\xa0", " ") == character
