@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.functions.text import null_if_empty
+from answerloom.operators.parse import SUCCESS
 from answerloom.operators.ranking import keep_first
 from answerloom.session import write_and_reload
 
@@ -131,15 +133,37 @@ def label_requests(attached: DataFrame) -> DataFrame:
     })
 
 
-# Layout of the trace column: the retrieved chunks in rank order.
-TRACE_SCHEMA = "struct<chunks:array<struct<doc_uri:string,content:string>>>"
+@dataclass(frozen=True)
+class TraceLayout:
+    """Where a trace holds the retrieved chunks, in rank order: JSON paths to their list, and in each of them to address
+    and text."""
 
+    chunks: str = "$.chunks"
+    doc_uri: str = "$.doc_uri"
+    content: str = "$.content"
 
-def retrieved_chunks(trace: Column) -> Column:
-    return F.from_json(trace, TRACE_SCHEMA).getField("chunks")
 
+NO_TRACE, BROKEN_TRACE, OTHER_TRACE = "no trace", "ERROR: trace is no JSON", "ERROR: trace has no list of chunks"
 
-def expected_context(labelled: DataFrame) -> DataFrame:
+
+def read_trace(trace: Column, layout: TraceLayout = TraceLayout()) -> Column:
+    """Struct of ``chunks``, an array of (doc_uri, content), and ``status``; a trace that does not fit has a null array."""
+    parsed = F.try_parse_json(trace)
+    listed = F.try_variant_get(parsed, layout.chunks, "array<variant>")
+    chunks = F.transform(listed, lambda c: F.struct(
+        F.try_variant_get(c, layout.doc_uri, "string").alias("doc_uri"),
+        F.try_variant_get(c, layout.content, "string").alias("content")))
+    status = (
+        F.when(trace.isNull(), NO_TRACE).when(parsed.isNull(), BROKEN_TRACE).when(listed.isNull(), OTHER_TRACE)
+        .otherwise(SUCCESS))
+    return F.struct(chunks.alias("chunks"), status.alias("status"))
+
+
+def retrieved_chunks(trace: Column, layout: TraceLayout = TraceLayout()) -> Column:
+    return read_trace(trace, layout).getField("chunks")
+
+
+def expected_context(labelled: DataFrame, layout: TraceLayout = TraceLayout()) -> DataFrame:
     """Add ``chunk_at_i_relevance`` and ``expected_retrieved_context``.
 
     A rating belongs to the chunk at its position, so a missing position shifts
@@ -149,7 +173,7 @@ def expected_context(labelled: DataFrame) -> DataFrame:
         "retrieval_assessment",
         lambda r: F.struct(r.position.alias("position"), r.ratings["answer_correct"].value.alias("value")),
     )
-    prepared = labelled.withColumns({"_chunks": retrieved_chunks(F.col("trace")), "_ratings": ratings})
+    prepared = labelled.withColumns({"_chunks": retrieved_chunks(F.col("trace"), layout), "_ratings": ratings})
     relevant = F.filter(
         "_chunks",
         lambda chunk, i: F.exists("_ratings", lambda r: (r.position == i) & (r.value == "true")),
@@ -164,9 +188,10 @@ def expected_context(labelled: DataFrame) -> DataFrame:
     )
 
 
-def potential_evaluation_set(requests: DataFrame, feedback: DataFrame, request_id: str = "request_id") -> DataFrame:
+def potential_evaluation_set(requests: DataFrame, feedback: DataFrame, request_id: str = "request_id",
+                             layout: TraceLayout = TraceLayout()) -> DataFrame:
     """Requests with ratings, labels and expected context; all columns kept for inspection."""
-    return expected_context(label_requests(attach_feedback(requests, feedback, request_id)))
+    return expected_context(label_requests(attach_feedback(requests, feedback, request_id)), layout)
 
 
 EVALUATION_COLUMNS = (
@@ -175,10 +200,10 @@ EVALUATION_COLUMNS = (
 
 
 def evaluation_set(requests: DataFrame, log: DataFrame, ties: Sequence[str] = ("step_id",),
-                   request_id: str = "request_id") -> DataFrame:
+                   request_id: str = "request_id", layout: TraceLayout = TraceLayout()) -> DataFrame:
     """The evaluation set of six columns, straight from the two logs.
 
     The merged feedback is written once, as two joins read it.
     """
     merged = write_and_reload(latest_feedback(log, ties), "feedback")
-    return potential_evaluation_set(requests, merged, request_id).select(*EVALUATION_COLUMNS)
+    return potential_evaluation_set(requests, merged, request_id, layout).select(*EVALUATION_COLUMNS)

@@ -467,6 +467,14 @@ ORACLES: dict[str, str] = {
         SELECT request_id, is_correct, suggested_output, source_user, retrieval_step_id, votes FROM attached"""),
     "eval_labels": with_(*EVALS, select="""
         SELECT request_id, source_user, retrieval_step_id, expected_response, source_tag, has_edit FROM labelled"""),
+    "trace_layouts": with_(REQUESTS, """
+        listed AS (SELECT request_id, length(request) % 4 AS kind,
+          string_agg(doc_uri || ' ' || md5(content), ',' ORDER BY position) AS chunks FROM trace JOIN requests USING (request_id)
+          GROUP BY ALL)""", select="""
+        SELECT request_id, CASE kind WHEN 0 THEN chunks END AS plain_chunks, CASE kind WHEN 1 THEN chunks END AS other_chunks,
+          ['SUCCESS', 'ERROR: trace has no list of chunks', 'ERROR: trace is no JSON', 'no trace'][kind + 1] AS plain_status,
+          ['ERROR: trace has no list of chunks', 'SUCCESS', 'ERROR: trace is no JSON', 'no trace'][kind + 1] AS other_status
+        FROM listed"""),
     "expected_context": with_(*EVALS, select="""
         SELECT request_id, source_user, retrieval_step_id, doc_uri, md5(content) AS content_md5 FROM relevant"""),
     "eval_set": with_(*EVALS, select="""
@@ -524,6 +532,11 @@ ORACLES: dict[str, str] = {
         SELECT file_name, count(DISTINCT url) AS n_urls, min(url) AS first_url
         FROM (SELECT url, replace(trim({URL_PATH}, '/'), '/', '_') || '.html' AS file_name FROM pages)
         GROUP BY file_name HAVING count(DISTINCT url) > 1""",
+    "page_files_saved": f"""
+        WITH named AS (SELECT url, html, regexp_replace(replace(trim({URL_PATH}, '/'), '/', '_') || '.html', '\\A([._])', 'home\\1')
+          AS file_name FROM pages)
+        SELECT file_name, strlen(arg_min(html, url))::BIGINT AS length, md5(arg_min(html, url)) AS content_md5
+        FROM named GROUP BY file_name""",
     "crawl_closure": with_("""
         edges AS (SELECT page_id AS src, (page_id * 7 + j * 13 + 1) % (SELECT max(page_id) + 1 FROM pages) AS dst
           FROM pages, range(0, 2) t(j) WHERE page_id % 5 <> 0)""", """
@@ -533,6 +546,9 @@ ORACLES: dict[str, str] = {
           SELECT e.dst, w.round + 1 FROM walk w JOIN edges e ON e.src = w.page_id
           WHERE w.round < (SELECT count(*) FROM pages) AND w.round < 64)""",
         select="SELECT page_id, min(round) AS round FROM walk GROUP BY page_id"),
+    "stream_index_compacted": with_(PAGE_DOCS, windows("page_docs"), UNIQUE, vectors("vec", "uniq", "chunk_id", "chunked_text"), """
+        sums AS (SELECT k, sum(round(v * 1000000)::BIGINT * (b + 1))::BIGINT AS vector_sum FROM vec GROUP BY k)""",
+        select="SELECT chunk_id, path, md5(chunked_text) AS text_md5, vector_sum FROM uniq JOIN sums ON k = chunk_id"),
     "stream_index_sync": with_(PAGE_DOCS, windows("page_docs"), UNIQUE,
                                select="SELECT chunk_id, path, chunked_text FROM uniq"),
     "stream_feedback": with_(CLICKS, select=f"""

@@ -14,7 +14,7 @@ from answerloom.operators.embed import HashedWords, embed
 from answerloom.plans import tables as T
 from answerloom.session import new_folder, write_and_reload
 from answerloom.sources import pages as page_files
-from answerloom.sources.files import spread
+from answerloom.sources.files import read_raw_files, spread
 from answerloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -448,6 +448,27 @@ def expected_context(spark, sf_dir):
         "request_id", "source_user", "retrieval_step_id", "c.doc_uri", F.md5("c.content").alias("content_md5"))
 
 
+OTHER_LAYOUT = feedback.TraceLayout("$.retrieval.hits", "$.source", "$.body.text")
+
+
+@query
+def trace_layouts(spark, sf_dir):
+    """Traces of two layouts, broken ones and missing ones, each read by both layouts."""
+    log = T.request_log(spark, sf_dir).select("request_id", "trace", (F.length("request") % 4).alias("kind"))
+    hits = F.transform(feedback.retrieved_chunks(F.col("trace")), lambda c: F.struct(
+        c.doc_uri.alias("source"), F.struct(c.content.alias("text")).alias("body")))
+    other = F.to_json(F.struct(F.struct(hits.alias("hits")).alias("retrieval")))
+    traces = log.withColumn("trace", F.when(F.col("kind") == 1, other).when(F.col("kind") == 2, F.left("trace", F.lit(9))).when(
+        F.col("kind") == 0, F.col("trace")))
+
+    def read(layout: feedback.TraceLayout, name: str) -> list[Column]:
+        found = feedback.read_trace(F.col("trace"), layout)
+        return [found["status"].alias(f"{name}_status"), F.array_join(F.transform(found["chunks"], lambda c: F.concat(
+            c.doc_uri, F.lit(" "), F.md5(c.content))), ",").alias(f"{name}_chunks")]
+
+    return traces.select("request_id", *read(feedback.TraceLayout(), "plain"), *read(OTHER_LAYOUT, "other"))
+
+
 def _uris(column: str) -> Column:
     return F.transform(column, lambda c: c.doc_uri)
 
@@ -627,6 +648,15 @@ def page_filename_collisions(spark, sf_dir):
     return page_files.file_name_collisions(T.table(spark, sf_dir, "pages"))
 
 
+@query
+def page_files_saved(spark, sf_dir):
+    """Pages saved as one file each, and read again as raw files."""
+    folder = new_folder(spark, "page-files")
+    page_files.save_pages(spread(T.table(spark, sf_dir, "pages")), folder)
+    files = read_raw_files(spark, folder, "*.html")
+    return files.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file_name"), "length", F.md5("content").alias("content_md5"))
+
+
 @query
 def crawl_closure(spark, sf_dir):
     seeds = T.table(spark, sf_dir, "pages").filter("page_id = 1").select(F.col("page_id").alias("url"))
@@ -652,6 +682,21 @@ def stream_index_sync(spark, sf_dir):
     return incremental.read_index(spark, folder).select("chunk_id", "path", "chunked_text")
 
 
+@query
+def stream_index_compacted(spark, sf_dir):
+    """The pages as a stream of twelve batches, whose logs are compacted on the way; vectors included."""
+    source, folder = new_folder(spark, "page-stream"), new_folder(spark, "stream-index")
+    pages = T.table(spark, sf_dir, "pages")
+    pages.repartition(12, "page_id").write.parquet(source)
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    incremental.stream_index_sync(
+        T.spoiled(stream), folder, lambda docs: chunk.chunk_words(docs, T.CHUNK_WORDS, T.OVERLAP_WORDS), embedder=EMBEDDER,
+        fanout=4,
+    ).awaitTermination()
+    return incremental.read_index(spark, folder).select(
+        "chunk_id", "path", F.md5("chunked_text").alias("text_md5"), _vector_sum("embedding").alias("vector_sum"))
+
+
 @query
 def stream_feedback(spark, sf_dir):
     folder = new_folder(spark, "stream-feedback")

@@ -3,6 +3,12 @@
 Each micro batch owns one folder, written with overwrite, so a repeated batch
 replaces itself and nothing else. Readers reduce the log to the latest state.
 Reading and writing never touch the same files, and no state lives in memory.
+
+A long log is compacted by tiers: some neighbouring folders of one tier become one
+folder of the next, so a row is written anew a logarithmic number of times and few
+folders are left. A list of the folders that count is written last, as one file;
+until then readers see the log as before, and the folders that it replaces stay
+until the compaction after.
 """
 
 from __future__ import annotations
@@ -51,15 +57,119 @@ def open_log(spark: SparkSession, folder: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{folder}/batch_id=-1")
 
 
+PARTS = "generation int, first long, last long, tier int"
+#: So many neighbouring folders of one tier become one of the next.
+FANOUT = 8
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _batches(spark: SparkSession, folder: str) -> list[int]:
+    return sorted(int(n.removeprefix("batch_id=")) for n in _names(spark, folder) if n.startswith("batch_id="))
+
+
+def _generations(spark: SparkSession, folder: str) -> dict[int, list[tuple[int, int, int]]]:
+    """The lists of compacted parts (first, last, tier) by generation."""
+    if not _names(spark, f"{folder}-parts"):
+        return {}
+    rows = spark.read.schema(PARTS).parquet(f"{folder}-parts").collect()  # a few rows a generation, two generations
+    return {g: sorted((r["first"], r["last"], r["tier"]) for r in rows if r.generation == g) for g in {r.generation for r in rows}}
+
+
+def _part(folder: str, first: int, last: int) -> str:
+    return f"{folder}-compacted/{first}_{last}"
+
+
+def log_parts(spark: SparkSession, folder: str) -> list[tuple[int, int, int]]:
+    """What readers of a log read: (first, last, tier) of compacted parts, and of the single batches after them (tier 0)."""
+    known = _generations(spark, folder)
+    parts = known[max(known)] if known else []
+    covered = max((last for _, last, _ in parts), default=None)
+    return parts + [(b, b, 0) for b in _batches(spark, folder) if covered is None or b > covered]
+
+
 def read_log(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All batches of a log with their number; empty before the first batch."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    known = _generations(spark, folder)
+    parts = known[max(known)] if known else []
     try:
-        return spark.read.schema(full).parquet(folder)
+        log = spark.read.schema(full).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], full)
+    if not parts:
+        return log
+    compacted = spark.read.schema(full).parquet(*[_part(folder, first, last) for first, last, _ in parts])
+    return log.filter(F.col("batch_id") > max(last for _, last, _ in parts)).unionByName(compacted)
+
+
+def compact_log(
+    spark: SparkSession, folder: str, schema: T.StructType, reducer: Callable[[DataFrame], DataFrame] | None = None,
+    fanout: int = FANOUT,
+) -> bool:
+    """Merge neighbouring parts of a log where `fanout` or more have one tier; tells whether there was anything to do.
+
+    The newest batch is left alone, as a stream may repeat it. A reducer gets the rows of neighbouring batches with their
+    `batch_id` and leaves out those that a later one of them replaces. One compaction of a log may run at a time.
+    """
+    if fanout < 2:
+        raise ValueError("fanout must be at least 2")
+    known = _generations(spark, folder)
+    live = log_parts(spark, folder)[:-1]
+    merged = [(first, last, tier, [(first, last, tier)]) for first, last, tier in live]
+    while True:  # the parts of the lowest tiers stand last
+        run = next((i for i in range(len(merged)) if len([p for p in merged[i:] if p[2] == merged[i][2]]) >= fanout), None)
+        if run is None:
+            break
+        group = [p for p in merged[run:] if p[2] == merged[run][2]]
+        whole = (group[0][0], group[-1][1], group[0][2] + 1, [s for p in group for s in p[3]])
+        merged = merged[:run] + [whole] + merged[run + len(group):]
+    if all(len(sources) == 1 for *_, sources in merged):
+        return False
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    for first, last, _, sources in merged:
+        if len(sources) > 1:
+            folders = [_part(folder, a, b) for a, b, tier in sources if tier]
+            rows = spark.read.schema(full).parquet(*folders) if folders else spark.createDataFrame([], full)
+            if any(tier == 0 for *_, tier in sources):
+                oldest, newest = min(a for a, _, t in sources if t == 0), max(b for _, b, t in sources if t == 0)
+                rows = rows.unionByName(spark.read.schema(full).parquet(folder).filter(F.col("batch_id").between(oldest, newest)))
+            reduced = reducer(rows) if reducer else rows
+            reduced.select(full.fieldNames()).hint("rebalance").write.mode("overwrite").parquet(_part(folder, first, last))
+    parts = [(first, last, tier) for first, last, tier, _ in merged if tier > 0]
+    generation = max(known, default=-1) + 1
+    listed = spark.createDataFrame([(generation, *p) for p in parts], PARTS)
+    listed.coalesce(1).write.mode("append").partitionBy("generation").parquet(f"{folder}-parts")
+    _remove_replaced(spark, folder, _generations(spark, folder))
+    return True
+
+
+def _remove_replaced(spark: SparkSession, folder: str, known: dict[int, list[tuple[int, int, int]]]) -> None:
+    """Remove what neither the newest list nor the one before it reads; the old lists go first."""
+    kept = sorted(known)[-2:]
+    for generation in sorted(known)[:-2]:
+        _remove(spark, f"{folder}-parts/generation={generation}")
+    if len(kept) < 2:
+        return  # readers may still hold the single batches
+    used = {f"{first}_{last}" for g in kept for first, last, _ in known[g]}
+    for name in _names(spark, f"{folder}-compacted"):
+        if name not in used:
+            _remove(spark, f"{folder}-compacted/{name}")
+    covered = max((last for _, last, _ in known[kept[0]]), default=None)
+    for batch in _batches(spark, folder):
+        if covered is not None and batch <= covered:
+            _remove(spark, f"{folder}/batch_id={batch}")
 
 
 # --- index ----------------------------------------------------------------------------------
@@ -98,6 +208,19 @@ def upsert_documents(
     write_batch(failed.unionByName(unread), f"{folder}/rejects", batch_id)
 
 
+def newest_links(links: DataFrame) -> DataFrame:
+    """The rows of the last batch that names a document; what earlier ones say of it no longer counts."""
+    newest = links.groupBy("path").agg(F.max("batch_id").alias("batch_id"))
+    return links.join(newest, ["path", "batch_id"])
+
+
+def compact_index(spark: SparkSession, folder: str, fanout: int = FANOUT) -> None:
+    """Compact the three logs of an index."""
+    compact_log(spark, f"{folder}/links", LINKS, newest_links, fanout)
+    compact_log(spark, f"{folder}/vectors", VECTORS, None, fanout)
+    compact_log(spark, f"{folder}/rejects", REJECTS, None, fanout)
+
+
 def read_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Files that failed to parse, each time they came, and texts that no batch has embedded so far."""
     log = read_log(spark, f"{folder}/rejects", REJECTS)
@@ -109,10 +232,8 @@ def read_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """The live index: chunks of the latest version of each document, one row per chunk id."""
-    links = read_log(spark, f"{folder}/links", LINKS)
-    newest = links.groupBy("path").agg(F.max("batch_id").alias("batch_id"))
     live = (
-        links.join(newest, ["path", "batch_id"])
+        newest_links(read_log(spark, f"{folder}/links", LINKS))
         .filter(F.col("chunk_id").isNotNull())
         .groupBy("chunk_id")
         .agg(F.min("path").alias("path"))
@@ -127,10 +248,12 @@ def stream_index_sync(
     chunker: Callable[[DataFrame], DataFrame],
     parser: str = "html",
     embedder: Embedder | None = None,
+    fanout: int | None = None,
 ) -> StreamingQuery:
     """Follow a stream of raw files (path, content, ...): process what is new, then stop.
 
-    If a batch holds one path twice, the later modification time wins.
+    If a batch holds one path twice, the later modification time wins. With ``fanout`` the logs are compacted after
+    each batch, where so many folders of one tier have come together.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -143,6 +266,8 @@ def stream_index_sync(
         docs = parsed.select("path", F.col("doc_parsed_contents.parsed_content").alias("parsed_content"))
         chunks = write_and_reload(with_chunk_id(chunker(docs)), "sync-chunks")
         upsert_documents(spark, folder, docs, chunks, batch_id, embedder, rejected(staged))
+        if fanout is not None:
+            compact_index(spark, folder, fanout)
 
     return (
         raw_stream.writeStream.foreachBatch(handle)
@@ -184,8 +309,13 @@ def stream_feedback(stream: DataFrame, folder: str, ties: tuple[str, ...]) -> St
     )
 
 
-def compact_log(
-    spark: SparkSession, log: DataFrame, reducer: Callable[[DataFrame], DataFrame], target: str
-) -> None:
-    """Write the reduced state of a log as the first batch of a new log folder."""
-    write_batch(reducer(log.drop("batch_id")), target, 0)
+def compact_feedback(
+    spark: SparkSession, folder: str, schema: T.StructType, ties: tuple[str, ...], fanout: int = FANOUT
+) -> bool:
+    """Compact the log of clicks; a merged part keeps the newest rows per key only."""
+
+    def newest(rows: DataFrame) -> DataFrame:
+        last = rows.agg(F.max("batch_id")).first()[0]
+        return reduce_feedback(rows.drop("batch_id"), ties).withColumn("batch_id", F.lit(last).cast("long"))
+
+    return compact_log(spark, f"{folder}/clicks", schema, newest, fanout)

@@ -1,9 +1,13 @@
+import os
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from answerloom.operators import crawl, evaluate
 from answerloom.plans import jobs
 from answerloom.sources import pages as page_files
+from answerloom.sources.files import read_raw_files
 
 
 def test_quota_covers_and_sums(spark):
@@ -110,11 +114,37 @@ def test_crawl_reports_missing_pages(spark):
                    f"{host}/gone": (2, "ERROR: page not found")}
 
 
-def test_saved_pages(spark, tmp_path):
-    pages = spark.createDataFrame([("https://s.example/a/b", "x"), ("https://s.example/a_b", "y"),
-                                   ("https://s.example/", "z")], "url string, html string")
-    page_files.save_pages(pages, str(tmp_path / "pages"))
-    saved = {(r.file_name, r.html) for r in spark.read.parquet(str(tmp_path / "pages")).collect()}
-    assert saved == {("a_b.html", "x"), ("a_b.html", "y"), (".html", "z")}
-    clash, = page_files.file_name_collisions(pages).collect()
+def test_saved_pages_are_files_that_can_be_scanned(spark, tmp_path):
+    pages = spark.createDataFrame([
+        ("https://s.example/a/b", "x"), ("https://s.example/a_b", "y"), ("https://s.example/", "z"), ("https://s.example/n", None),
+        ("https://s.example/twice", "q"), ("https://s.example/twice", "p"), ("https://s.example/u", "é" * 100_000)],
+        "url string, html string").repartition(4)
+    for _ in range(2):  # again: the same files
+        clash, = page_files.save_pages(pages, str(tmp_path / "pages")).collect()
     assert (clash.file_name, clash.n_urls, clash.first_url) == ("a_b.html", 2, "https://s.example/a/b")
+    files = read_raw_files(spark, str(tmp_path / "pages"), "*.html").collect()
+    assert {(f.path.rsplit("/", 1)[1], bytes(f.content).decode()) for f in files} == {
+        ("a_b.html", "x"), ("home.html", "z"), ("twice.html", "p"), ("u.html", "é" * 100_000)}
+    assert len(files) == 4 and os.path.getsize(tmp_path / "pages" / "n.html") == 0
+    assert not [n for n in os.listdir(tmp_path / "pages") if "draft" in n]
+
+
+def test_token_f1_in_the_row(spark):
+    cases = [("a b c", "a b c"), ("a a b", "a b b"), ("x", "y"), ("", "y"), ("", ""), ("One TWO two", "two two two one"), ("é ß", "É")]
+
+    def brute(expected, given):
+        e, g = Counter(expected.lower().split()), Counter(given.lower().split())
+        return 2 * (e & g).total() / (e.total() + g.total()) if e or g else 0.0
+
+    df = spark.createDataFrame(cases, "e string, g string")
+    got = {(r.e, r.g): r.f for r in df.select("e", "g", evaluate.token_f1(F.col("e"), F.col("g")).alias("f")).collect()}
+    assert got == {c: pytest.approx(brute(*c)) for c in cases}
+
+
+def test_scores_take_one_join(spark):
+    evals = spark.createDataFrame([("1", "a b", ["u"])], "eval_id string, expected_response string, expected_uris array<string>")
+    answers = spark.createDataFrame([("1", "x", "b c", ["v", "u"])], "eval_id string, agent string, answer string, retrieved_uris array<string>")
+    scores = evaluate.score_answers(evals, answers)
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate " not in plan and "Generate" not in plan
+    assert scores.first().token_f1 == 0.5

@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from answerloom.operators import chunk, index
@@ -77,6 +79,81 @@ def test_feedback_stream_equals_batch_whatever_the_order(spark, tmp_path):
         incremental.stream_feedback(stream, folder, TIES).awaitTermination()
     state = incremental.read_feedback(spark, folder, log.frame(spark).schema, TIES)
     assert merged(state) == merged(latest_feedback(log.frame(spark), TIES))
-    stored = incremental.read_log(spark, f"{folder}/clicks", log.frame(spark).schema)
-    incremental.compact_log(spark, stored, lambda df: incremental.reduce_feedback(df, TIES), f"{tmp_path}/next/clicks")
-    assert merged(incremental.read_feedback(spark, f"{tmp_path}/next", log.frame(spark).schema, TIES)) == merged(state)
+    schema = log.frame(spark).schema
+    assert incremental.compact_feedback(spark, folder, schema, TIES, 2)
+    assert [p[:2] for p in incremental.log_parts(spark, f"{folder}/clicks")] == [(0, 1), (2, 2)]
+    assert merged(incremental.read_feedback(spark, folder, schema, TIES)) == merged(state)
+
+
+LINE = "path string, chunk_id string"
+
+
+def lines(spark, folder):
+    rows = incremental.read_log(spark, folder, incremental.LINKS).collect()
+    return sorted((r.path, r.chunk_id, r.batch_id) for r in rows)
+
+
+def add(spark, folder, batch, rows=2):
+    incremental.write_batch(spark.createDataFrame([(f"d{batch}-{i}", f"c{i}") for i in range(rows)], LINE), folder, batch)
+
+
+def test_many_batches_become_few_folders_and_no_row_is_lost(spark, tmp_path):
+    folder, want = str(tmp_path / "log"), []
+    for batch in range(20):
+        add(spark, folder, batch)
+        want += [(f"d{batch}-{i}", f"c{i}", batch) for i in range(2)]
+        before = incremental.read_log(spark, folder, incremental.LINKS)
+        incremental.compact_log(spark, folder, incremental.LINKS, None, 3)
+        if batch % 5 == 4:
+            assert lines(spark, folder) == sorted(want)
+            assert before.count() == len(want)  # a reader that has opened the log before goes on
+    parts = incremental.log_parts(spark, folder)
+    assert len(parts) <= 7 and [p[0] for p in parts[1:]] == [p[1] + 1 for p in parts[:-1]]
+    assert [p[2] for p in parts] == sorted((p[2] for p in parts), reverse=True)
+    assert len(os.listdir(folder)) < 14 and len(os.listdir(f"{folder}-parts")) <= 4
+    add(spark, folder, 19, 3)  # the newest batch is repeated
+    assert len(lines(spark, folder)) == 41
+
+
+@pytest.mark.parametrize("stopped", ["_part", "coalesce", "_remove_replaced", "_remove"])
+def test_a_compaction_that_stops_loses_nothing(spark, tmp_path, monkeypatch, stopped):
+    folder = str(tmp_path / "log")
+    for batch in range(7):
+        add(spark, folder, batch)
+        if batch in (2, 4):
+            incremental.compact_log(spark, folder, incremental.LINKS, None, 2)
+    want = lines(spark, folder)
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        if stopped == "coalesce":
+            patch.setattr("pyspark.sql.classic.dataframe.DataFrame.coalesce", stop)
+        else:
+            patch.setattr(incremental, stopped, stop)
+        with pytest.raises(RuntimeError):
+            incremental.compact_log(spark, folder, incremental.LINKS, None, 2)
+    assert lines(spark, folder) == want
+    add(spark, folder, 7)
+    incremental.compact_log(spark, folder, incremental.LINKS, None, 2)
+    assert lines(spark, folder) == sorted(want + [(f"d7-{i}", f"c{i}", 7) for i in range(2)])
+
+
+def test_compacted_index_equals_the_batch_index(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "state")
+    pages = {f"p{i % 5}": f"one two three four five {i} six seven" for i in range(7)}
+    for i in range(7):
+        row = (f"p{i % 5}", dt.datetime(2024, 1, 1, 0, i), 1, f"<p>{'one two three four five'} {i} six seven</p>".encode())
+        spark.createDataFrame([row], RAW).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(source)
+    incremental.stream_index_sync(stream, folder, windows, fanout=2).awaitTermination()
+    docs = spark.createDataFrame(list(pages.items()), "path string, parsed_content string")
+    whole = index.build_index(chunk.with_chunk_id(windows(docs)))
+
+    def state(df):
+        return {(r.chunk_id, r.chunked_text, r.path, tuple(r.embedding)) for r in df.collect()}
+
+    assert state(incremental.read_index(spark, folder)) == state(whole)
+    assert len(incremental.log_parts(spark, f"{folder}/links")) < 5
+    assert incremental.read_log(spark, f"{folder}/links", incremental.LINKS).count() < 2 * 7 * 3
