@@ -14,15 +14,22 @@ repeats AS (SELECT doc_id, count(DISTINCT i + s) AS n_repeat_words FROM twice, r
 lines AS (
   SELECT doc_id, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+spread AS (  -- what parts words stands twice, so that neighbouring phrases do not share it
+  SELECT *, regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '([^0-9_a-z\x{80}-\x{10FFFF}])', '\1\1', 'g') AS wide FROM lines WHERE len(w) > 0),
+counted AS (
+  SELECT *, list_sum(list_transform(['all rights reserved', 'privacy policy', 'terms of use', 'terms of service', 'cookie policy',
+      'uses cookies', 'enable javascript', 'lorem ipsum', 'click here', 'skip to content', 'read more', 'share this', 'sign up',
+      'log in', 'back to top'], lambda p: len(p) * len(regexp_extract_all(wide,
+      '(?:^|[^0-9_a-z\x{80}-\x{10FFFF}])' || replace(p, ' ', '  ') || '(?:[^0-9_a-z\x{80}-\x{10FFFF}]|$)')))) AS phrase_chars
+  FROM spread),
 judged AS (
   SELECT doc_id, line, len(array_to_string(w, '')) AS chars,
     100 * len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > 10 * len(line)
     OR 100 * len(list_filter(w, lambda x: regexp_full_match(x, '[|>*#/-]+'))) >= 20 * len(w)
     OR (len(w) < 4 AND NOT regexp_full_match(w[-1][-1], '[.!?:;"'')}\]]'))
-    OR regexp_matches(lower(line), 'all rights reserved|privacy policy|terms of use|terms of service|cookie policy|'
-       || 'uses cookies|enable javascript|lorem ipsum|click here|skip to content|read more|share this|sign up|'
-       || 'log in|back to top') AS failed
-  FROM lines WHERE len(w) > 0),
+    OR (phrase_chars > 0 AND 100 * phrase_chars >= 25 * len(line)) AS failed
+  FROM counted),
 by_line AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
          count(*) FILTER (failed) AS n_failed_lines, coalesce(sum(chars) FILTER (failed), 0)::BIGINT AS lost_chars

@@ -6,7 +6,8 @@ text is rejected. A line fails if it is
 * marked up: more than `symbol_share` of its characters are of the set `# * $ % & | < >`;
 * navigation: at least `nav_share` of its words are bare separators, or it has under `min_words` words and no
   closing punctuation;
-* boilerplate: it holds one of the fixed phrases, letter case aside.
+* boilerplate: the fixed phrases in it, letter case aside and no part of longer words, make up `phrase_percent` or more of
+  its characters. So a phrase in a sentence of a long line fails nothing.
 
 Lines without words never fail. Besides, whole-text figures are returned, and documents are failed outright that
 have under ten words or in which over a fifth of the words stands in repeated windows of five words.
@@ -48,6 +49,7 @@ class LineRules:
     nav_percent: int = 20
     min_words: int = 4
     lost_percent: int = 40
+    phrase_percent: int = 25
 
 
 def _members(characters: str) -> np.ndarray:
@@ -57,6 +59,9 @@ def _members(characters: str) -> np.ndarray:
 
 
 SYMBOL_BYTE, SEPARATOR_BYTE, CLOSING_BYTE = map(_members, (SYMBOLS, SEPARATORS, CLOSING))
+#: Letters, digits, the underscore, and all that is not ASCII: what a phrase may not touch.
+INNER_BYTE = np.arange(256) >= 0x80
+INNER_BYTE[[*b"0123456789_abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
 #: One for each byte that begins a code point.
 POINT_BYTE = (np.arange(256) & 0xC0) != 0x80
 
@@ -114,14 +119,18 @@ def judge(piece: T.Piece, rules: LineRules) -> tuple[list[np.ndarray], tuple[np.
     marked_up = 100 * (symbols[end] - symbols[begin]) > rules.symbol_percent * line_points
     navigation = (100 * line_bare >= rules.nav_percent * line_words) | (
         (line_words < rules.min_words) & ~CLOSING_BYTE[last])
-    boiler = np.zeros(len(begin), bool)
+    phrase_points = np.zeros(len(begin), np.int64)
     lowered = T.LOWER_ASCII[data].tobytes()
     for phrase in PHRASES:
         at = lowered.find(phrase.encode())
         while at >= 0:
-            line = np.searchsorted(begin, at, side="right") - 1
-            boiler[line] |= at + len(phrase) <= end[line]
+            line, after = np.searchsorted(begin, at, side="right") - 1, at + len(phrase)
+            alone = (at == begin[line] or not INNER_BYTE[data[at - 1]]) and (after == end[line] or (
+                after < end[line] and not INNER_BYTE[data[after]]))
+            if after <= end[line] and alone:
+                phrase_points[line] += len(phrase)
             at = lowered.find(phrase.encode(), at + 1)
+    boiler = (phrase_points > 0) & (100 * phrase_points >= rules.phrase_percent * line_points)
     failed = has_word & (marked_up | navigation | boiler)
 
     # equal lines of one row: as many as are not the first of their kind

@@ -86,6 +86,19 @@ def test_quality_figures_match_brute_force(documents_of, odd_rows):
     assert all(r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words) for r in got)
 
 
+def test_phrases_count_between_word_boundaries_and_by_their_share(documents_of):
+    clean = [
+        "The catalog in the library lists every single book that the town has ever owned and lent.",
+        "Her blog in the paper tells how people spread more kindness when they design up to date gardens.",
+        "You can read more about the long history of the bridge in the second chapter of this book.",
+        "Öread more über, and naïve_log in_words or 7sign up8 are all no phrases of their own at all here.",
+    ]
+    bad = ["Read more about it. Share this! Sign up, log in, or go back to top of it all now.", "Copyright 2019 by Ann Lee & Sons. All Rights Reserved."]
+    judged = {r.doc_id: r for r in quality.judge_documents(documents_of(list(enumerate(clean + bad)))).collect()}
+    assert [judged[i].n_failed_lines for i in range(6)] == [0, 0, 0, 0, 1, 1]
+    assert all(judged[i].kept for i in range(4))
+
+
 def test_lines_that_fail_go_and_documents_that_lose_too_much_go(documents_of):
     good = "This is a sentence of quite some words that nobody would object to, is it not so."
     more = "A second paragraph follows here with other words, so nothing repeats in it at all."
