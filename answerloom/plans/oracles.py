@@ -554,4 +554,7 @@ ORACLES: dict[str, str] = {
     "stream_feedback": with_(CLICKS, select=f"""
         SELECT request_id, step_id, retrieval_step_id, reviewer, {TS.format('ts')} AS ts, rating, suggested_output, votes
         FROM merged"""),
+    "stream_feedback_state": with_(CLICKS, select=f"""
+        SELECT request_id, step_id, retrieval_step_id, reviewer, {TS.format('ts')} AS ts, rating, suggested_output, votes
+        FROM merged"""),
 }

@@ -15,7 +15,7 @@ from answerloom.plans import tables as T
 from answerloom.session import new_folder, write_and_reload
 from answerloom.sources import pages as page_files
 from answerloom.sources.files import read_raw_files, spread
-from answerloom.streaming import incremental
+from answerloom.streaming import click_state, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -703,3 +703,12 @@ def stream_feedback(spark, sf_dir):
     log = T.assessment_log(_stream(spark, sf_dir, "events"), T.n_conversations(spark, sf_dir))
     incremental.stream_feedback(log, folder, T.TIES).awaitTermination()
     return _merged(incremental.read_feedback(spark, folder, log.schema, T.TIES))
+
+
+@query
+def stream_feedback_state(spark, sf_dir):
+    """The same through Spark's state store: a click older than the newest at its place never reaches the log."""
+    folder = new_folder(spark, "click-state")
+    log = T.assessment_log(_stream(spark, sf_dir, "events"), T.n_conversations(spark, sf_dir))
+    click_state.stream_newest_clicks(log, folder, T.TIES).awaitTermination()
+    return _merged(incremental.read_feedback(spark, folder, log.schema, T.TIES))

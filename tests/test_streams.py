@@ -157,3 +157,40 @@ def test_compacted_index_equals_the_batch_index(spark, tmp_path):
     assert state(incremental.read_index(spark, folder)) == state(whole)
     assert len(incremental.log_parts(spark, f"{folder}/links")) < 5
     assert incremental.read_log(spark, f"{folder}/links", incremental.LINKS).count() < 2 * 7 * 3
+
+
+def test_click_state_equals_batch_whatever_the_order_and_after_a_restart(spark, tmp_path):
+    from answerloom.streaming import click_state
+
+    generator = random.Random(12)
+    log = Log()
+    for _ in range(90):
+        who = generator.choice(["u", "v", None, ""])
+        if generator.random() < 0.5:
+            log.text(f"r{generator.randint(0, 2)}", who, generator.randint(0, 59), generator.choice(["positive", "negative"]))
+        else:
+            log.chunk(f"r{generator.randint(0, 2)}", who, generator.randint(0, 59), generator.randint(0, 2),
+                      generator.choice(["true", "false"]), generator.choice(["s0", "s1"]))
+    rows = log.rows[:]
+    generator.shuffle(rows)
+    source, folder = str(tmp_path / "in"), str(tmp_path / "state")
+    passed = 0
+    for start in range(0, 90, 30):  # a stop and a restart after each part
+        spark.createDataFrame(rows[start:start + 30], LOG).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(LOG).parquet(source)
+        click_state.stream_newest_clicks(stream, folder, TIES).awaitTermination()
+    schema = log.frame(spark).schema
+    assert merged(incremental.read_feedback(spark, folder, schema, TIES)) == merged(latest_feedback(log.frame(spark), TIES))
+    passed = incremental.read_log(spark, f"{folder}/clicks", schema).count()
+    keys = click_state.keyed_clicks(log.frame(spark), TIES).select(*click_state.KEY).distinct().count()
+    assert keys <= passed < 90  # older clicks did not pass
+
+
+def test_sortable_text_keeps_the_order(spark):
+    from answerloom.streaming import click_state
+
+    df = spark.createDataFrame([(-5, "b"), (None, None), (7, ""), (0, "ab"), (2**62, "é"), (-2**63, "a")], "n long, s string")
+    for column in ("n", "s"):
+        want = [r[0] for r in df.orderBy(column).select(column).collect()]
+        key = click_state.sortable(F.col(column), df.schema[column].dataType)
+        assert [r[0] for r in df.orderBy(key).select(column).collect()] == want
