@@ -4,9 +4,12 @@
    and each block is looked up in one scan of all documents (a sorted array and a bit map of fixed size in each task).
 2. Documents with seeds meet the benchmark items in a join on the seeds; both sides are salted, because a seed may
    stand in any share of the documents.
-3. Each pair is tiled: the longest matches that do not overlap are marked again and again, found by running
+3. The words of an item that its shared seeds can cover bound what tiles can cover, as every tile consists of seeds. Only
+   pairs that can reach one of the thresholds go on, and only then are texts fetched.
+4. Each pair is tiled: the longest matches that do not overlap are marked again and again, found by running
    Karp-Rabin hashes over what is not marked yet, down to `LEAST` words. Tiles may stand in any order, so reordered
-   passages are covered too. An item with at least `coverage` of its words in tiles marks the document.
+   passages are covered too. An item with at least `coverage` of its words in tiles, or a tile of
+   `long_run` words, marks the document.
 
 Words are runs of ASCII letters, digits and bytes beyond ASCII, with A-Z in lower case. Items shorter than a seed are
 seeds as a whole.
@@ -31,6 +34,8 @@ from answerloom.session import write_and_reload
 SEED = 4
 LEAST = 4
 COVERAGE = 0.5
+#: Words of a single tile that are enough, however long the item is.
+LONG_RUN = 13
 #: Seeds looked up in one scan (8 bytes each in every task).
 BLOCK_SEEDS = 1 << 21
 SALTS = 16
@@ -55,7 +60,7 @@ def seeds_of(tokens: np.ndarray, first_word: np.ndarray, size: int = SEED) -> tu
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """seed, size and item text of each seed of the benchmark."""
+    """item, its words, seed, size, and the places at which the seed stands in the item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,9 +74,11 @@ def item_seeds(items: DataFrame) -> DataFrame:
                 seeds, row, sizes = map(np.concatenate, zip(*found, strict=True))
                 keys = batch.column(0).slice(piece.first, piece.rows)
                 yield pa.RecordBatch.from_pydict({
-                    "item": keys.take(pa.array(row)), "seed": pa.array(seeds.view(np.int64)), "size": pa.array(sizes)})
+                    "item": keys.take(pa.array(row)), "n_words": pa.array(counts[row], pa.int64()),
+                    "seed": pa.array(seeds.view(np.int64)), "size": pa.array(sizes)})
 
-    return items.select("item", "words").mapInArrow(run, "item long, seed long, size int").distinct()
+    every = items.select("item", "words").mapInArrow(run, "item long, n_words long, seed long, size int")
+    return every.groupBy("item", "n_words", "seed", "size").agg(F.count(F.lit(1)).alias("places"))
 
 
 class SeedSet:
@@ -180,9 +187,10 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int = LEAST) -> list[tuple[in
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-                 item_key: str = "item_id", item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
-    """key, item, item_words, tiled_words, n_tiles, longest_tile and coverage of the pairs at or over `coverage`;
-    `mark` is the hash of the document's text."""
+                 item_key: str = "item_id", item_text: str = "text", coverage: float = COVERAGE,
+                 long_run: int = LONG_RUN) -> DataFrame:
+    """key, item, item_words, tiled_words, n_tiles, longest_tile and coverage of the pairs with `coverage` or a tile of
+    `long_run` words; `mark` is the hash of the document's text."""
     items = write_and_reload(
         benchmark.select(F.col(item_key).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("words"))
         .distinct().withColumn("item", F.xxhash64("item_id", "words")), "benchmark-items")
@@ -194,8 +202,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     salted = hits.withColumn("salt", F.pmod("mark", F.lit(SALTS)).cast("int"))
     pairs = (
         salted.select("key", "mark", "salt", F.explode("seeds").alias("seed"))
-        .join(seeds.select("seed", "item", salts), ["seed", "salt"])
-        .select("key", "mark", "salt", "item").distinct())
+        .join(seeds.select("seed", "item", "n_words", "size", "places", salts), ["seed", "salt"])
+        .groupBy("key", "mark", "salt", "item")
+        .agg(F.sum(F.col("places") * F.col("size")).alias("reach"), F.sum("places").alias("runs"), F.first("n_words").alias("n_words"))
+        .where((F.col("reach") >= coverage * F.col("n_words")) | (F.col("runs") > long_run - SEED))
+        .select("key", "mark", "salt", "item"))
     texts = salted.groupBy("key", "mark").agg(F.first("text").alias("text"))
     cases = (
         pairs.join(texts.withColumnsRenamed({"key": "k", "mark": "m"}),
@@ -218,7 +229,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     tiled = cases.mapInArrow(run, "key long, mark long, item_id long, item_words long, tiled_words long, "
                                   "n_tiles long, longest_tile long")
     share = F.col("tiled_words") / F.col("item_words")
-    return tiled.withColumn("coverage", share).where(share >= coverage).withColumnRenamed("key", key)
+    return tiled.withColumn("coverage", share).where(
+        (share >= coverage) | (F.col("longest_tile") >= long_run)).withColumnRenamed("key", key)
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -139,6 +139,33 @@ def test_reordered_and_short_passages_are_found(spark, documents_of, odd_rows):
     assert decontaminate.contaminated(documents_of([]), bench).count() == 0
 
 
+def test_pairs_are_those_of_tiling_every_document_with_every_item(spark, documents_of):
+    """A lead-in that all share makes no pairs; coverage and long runs decide as if each pair were tiled."""
+    rng = np.random.default_rng(21)
+
+    def some(count):
+        return [f"w{x}" for x in rng.integers(0, 5000, count)]
+
+    lead = "once upon a time there".split()
+    items = [(i, lead + some(40)) for i in range(12)]
+    rows = [(i, lead + some(30)) for i in range(12)]
+    for i, words in items:
+        rows.append((100 + i, some(10) + words[6 : 6 + 9 + i % 6] + some(10)))  # 9 to 14 words in a row
+        rows.append((200 + i, words[25:38] + some(3) + words[5:20] + some(3) if i % 2 else words[30:42] + some(2) + words[8:17]))
+        rows.append((300 + i, [w for j in range(0, 40, 5) for w in [*words[j : j + 3], "x"]]))  # runs below a seed
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = decontaminate.contaminated(documents_of([(i, " ".join(w)) for i, w in rows]), bench).collect()
+    want = {}
+    for i, item in items:
+        tokens = decontaminate.tokens_of(" ".join(item))
+        for d, doc in rows:
+            lengths = [t[0] for t in decontaminate.tile(decontaminate.tokens_of(" ".join(doc)), tokens)]
+            if sum(lengths) >= 0.5 * len(tokens) or max(lengths, default=0) >= 13:
+                want[d, i] = (len(tokens), sum(lengths), max(lengths))
+    assert {(r.doc_id, r.item_id): (r.item_words, r.tiled_words, r.longest_tile) for r in found} == want
+    assert {d for d, _ in want} >= {104, 105} and 103 not in {d for d, _ in want} and any(200 <= d < 300 for d, _ in want)
+
+
 def test_seeds_in_several_blocks_give_the_same(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
     once = sorted(tuple(r) for r in decontaminate.contaminated(docs, bench).drop("mark").collect())
