@@ -31,11 +31,12 @@ REWRITE_TEMPLATE = (
 
 @dataclass(frozen=True)
 class ChunkSettings:
-    """Chunk length and overlap, in units of the length measure."""
+    """Chunk length and overlap, in units of the length measure: characters, words, or tokens of a named tokenizer."""
 
     size: int = 1024
     overlap: int = 256
     measure: str = "chars"
+    measure_name: str | None = None
     context_window: int | None = None
 
     def __post_init__(self) -> None:
@@ -113,8 +114,6 @@ class Settings:
     chunk: ChunkSettings = field(default_factory=ChunkSettings)
     chat: ChatSettings = field(default_factory=ChatSettings)
     tables: TableNames = field(default_factory=TableNames)
-    tokenizer_source: str = "chars"
-    tokenizer_name: str | None = None
     sync_mode: str = "TRIGGERED"
 
     @classmethod
@@ -139,6 +138,8 @@ class Settings:
             chunk=ChunkSettings(
                 size=at(*chunker, "chunk_size_tokens", default=1024),
                 overlap=at(*chunker, "chunk_overlap_tokens", default=256),
+                measure=at(*tokenizer, "tokenizer_source", default="chars"),
+                measure_name=at(*tokenizer, "tokenizer_model_name"),
             ),
             chat=ChatSettings(
                 system_template=at(*llm, "llm_system_prompt_template", default=SYSTEM_TEMPLATE),
@@ -166,7 +167,5 @@ class Settings:
                 ),
                 synthetic_eval_set=at("eval", "synthetic_evaluation_set_fqn"),
             ),
-            tokenizer_source=at(*tokenizer, "tokenizer_source", default="chars"),
-            tokenizer_name=at(*tokenizer, "tokenizer_model_name"),
             sync_mode=at("vector_search", "pipeline_type", default="TRIGGERED"),
         )

@@ -85,13 +85,16 @@ class LengthMeasure:
 
 
 def length_measure(source: str | Callable[[str], int], name: str | None = None) -> LengthMeasure:
-    """Characters, words, a tokenizer by source and name, or a caller's own counter."""
+    """Characters, words, a tokenizer by source and name (or its JSON file, at the same place on every machine), or a
+    caller's own counter."""
     if callable(source):
         return LengthMeasure(getattr(source, "__name__", "callable"), lambda: source)
     if source == "chars":
         return LengthMeasure("chars", lambda: len)
     if source == "words":
         return LengthMeasure("words", lambda: lambda text: len(text.split()))
+    if source in ("tiktoken", "hugging_face") and not name:
+        raise ValueError(f"length measure {source!r} needs the name of a tokenizer")
     if source == "tiktoken":
 
         def encoding() -> Callable[[str], int]:
@@ -106,7 +109,7 @@ def length_measure(source: str | Callable[[str], int], name: str | None = None)
         def pretrained() -> Callable[[str], int]:
             from tokenizers import Tokenizer
 
-            model = Tokenizer.from_pretrained(name)
+            model = Tokenizer.from_file(name) if name.endswith(".json") else Tokenizer.from_pretrained(name)
             return lambda text: len(model.encode(text, add_special_tokens=False).ids)
 
         return LengthMeasure(f"hugging_face:{name}", pretrained)

@@ -49,10 +49,10 @@ def chunk_job(
 ) -> StageResult:
     """Chunk once into a staging table, then write the chunks with their ids.
 
-    Lengths are measured as the settings say, or by the measure given; a tokenizer that the settings only name must
-    come as a measure. The report also counts the documents that gave no chunk.
+    Lengths are measured as the settings say, or by the measure given. A tokenizer that the settings name and that
+    cannot be had fails the job at its start. The report also counts the documents that gave no chunk.
     """
-    measure = measure or length_measure(settings.measure)
+    measure = measure or length_measure(settings.measure, settings.measure_name)
     docs = parsed.select("path", F.col("doc_parsed_contents.parsed_content").alias("parsed_content"))
     staged = write_and_reload(stage_recursive(docs, settings.size, settings.overlap, measure), "chunk-staging")
     chunks = with_chunk_id(accepted_chunks(staged)).select("path", "chunked_text", "chunk_id", "chunk_pos")

@@ -203,3 +203,20 @@ def test_settings():
         assert (conf.chunk.size, conf.chunk.overlap, conf.tables.raw_files) == (64, 8, "a.b")
         assert (conf.chat.retriever.k, conf.chat.retriever.columns.primary_key) == (3, "id")
         assert conf.tables.feedback_eval_set == "x.y"
+
+
+def test_chunk_lengths_are_measured_by_the_tokenizer_that_the_settings_name(spark):
+    def settings(source, name):
+        return Settings.from_mapping({"data": {
+            "embedding_config": {"embedding_tokenizer": {"tokenizer_source": source, "tokenizer_model_name": name}},
+            "pipeline_config": {"chunker": {"config": {"chunk_size_tokens": 12, "chunk_overlap_tokens": 3}}}}}).chunk
+
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    text = " ".join(f"incomprehensibilities{i}" for i in range(20))
+    parsed = spark.createDataFrame([("a", {"num_pages": "1", "parsed_content": text})], "path string, doc_parsed_contents map<string,string>")
+    chunks = [r.chunked_text for r in jobs.chunk_job(parsed, "t_tokens", settings("hugging_face", path)).accepted.collect()]
+    measure = chunk.length_measure("hugging_face", path).make()
+    assert sorted(chunks) == sorted(chunk.split_text(text, 12, 3, measure)) and max(map(len, chunks)) > 24
+    for source, name in (("hugging_face", None), ("hugging_face", "/nowhere/t.json"), ("abacus", "x")):
+        with pytest.raises(Exception):
+            jobs.chunk_job(parsed, "t_tokens", settings(source, name))
