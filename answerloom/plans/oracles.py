@@ -323,14 +323,15 @@ FROM texts WHERE chunked_text <> ''
 ANCHORS = """SELECT url, replace(unnest(regexp_extract_all(
     regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>', '', 'g'), '<a href="([^"]*)"', 1)), '&amp;', '&') AS href FROM pages"""
 SYNTHETIC_FAILURES = """
-    SELECT 'ERROR: refused' AS status, count(*) AS n FROM documents WHERE doc_id % 3 = 0
-    UNION ALL SELECT 'SUCCESS', count(*) FROM documents WHERE doc_id % 3 <> 0"""
-CHAT_FAILURES = """
-    SELECT conv_id, turn, CASE WHEN turn % 2 = 1 AND conv_id % 3 = 0 THEN 'ERROR: no rewrite'
-      WHEN conv_id % 5 = 0 THEN 'ERROR: no answer' ELSE 'SUCCESS' END AS status,
-      CASE WHEN NOT (turn % 2 = 1 AND conv_id % 3 = 0) AND conv_id % 5 <> 0 THEN 'answer ' || conv_id END AS answer,
-      9007199254740992 + conv_id AS big
-    FROM conversations"""
+    SELECT CASE WHEN contains(text, '%%') THEN 'ERROR: refused' ELSE 'SUCCESS' END AS status, count(*) AS n
+    FROM documents GROUP BY 1"""
+CHAT_FAILURES = f"""
+    SELECT c.conv_id, c.turn, 9007199254740992 + c.conv_id AS big,
+      CASE WHEN p.turn IS NOT NULL AND length({template(
+          REWRITE_TEMPLATE, chat_history="p.role || ': ' || p.text", question='c.text')}) % 3 = 0 THEN 'ERROR: no rewrite'
+        WHEN length(c.text) % 5 = 0 THEN 'ERROR: no answer' ELSE 'SUCCESS' END AS status,
+      CASE WHEN status = 'SUCCESS' THEN 'answer ' || length(c.text) END AS answer
+    FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1"""
 EMBED_REJECTS = """
     SELECT 'doc/' || min(doc_id) AS path, md5(text) AS chunk_id, 'ERROR: too long' AS status
     FROM documents WHERE length(text) > 2000 GROUP BY text"""

@@ -573,29 +573,27 @@ def _fails_on(condition, message, answer):
 
 @query
 def synthetic_failures(spark, sf_dir):
-    """One question a document, from a generator that refuses every third document."""
-    docs = T.table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("doc_uri"), F.concat(F.lit("no "), F.col("doc_id") % 3).alias("content"))
-    refusing = _fails_on(lambda prompt: "Document: no 0\n" in prompt, "refused", lambda prompt: "question\nanswer")
+    """One question a document, from a generator that refuses texts with a run of percent signs."""
+    docs = T.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc_uri"), F.col("text").alias("content"))
+    refusing = _fails_on(lambda prompt: "%%" in prompt, "refused", lambda prompt: "question\nanswer")
     made = evaluate.synthetic_evals(docs, docs.count(), refusing)
     return made.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def chat_plug_failures(spark, sf_dir):
-    """Every turn as a request without an index: the rewriter fails on some with a history, the generator on others."""
-    turns = T.table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", (F.lit(9007199254740992) + F.col("conv_id")).alias("big"))
-    said = F.struct(F.lit("user").alias("role"), F.concat(F.lit("number "), F.col("conv_id")).alias("content"))
-    requests = turns.withColumn("request_id", F.concat_ws("_", "conv_id", "turn")).withColumn(
-        "messages", F.when(F.col("turn") % 2 == 1, F.array(said, said)).otherwise(F.array(said)))
-
-    def number(text: str) -> int:
-        return int(text.rsplit("number ", 1)[1].split()[0])
-
-    rewriter = _fails_on(lambda p: number(p) % 3 == 0, "no rewrite", lambda p: f"number {number(p)}")
-    generator = _fails_on(lambda p: number(p[-1]["content"]) % 5 == 0, "no answer",
-                          lambda p: f"answer {number(p[-1]['content'])}")
+    """Every turn with the one before it as a request without an index: the rewriter refuses some questions, the generator
+    others, by their texts."""
+    turns = T.table(spark, sf_dir, "conversations")
+    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.struct(
+        "role", F.col("text").alias("content")).alias("before"))
+    asked = F.struct(F.lit("user").alias("role"), F.coalesce("text", F.lit("")).alias("content"))
+    requests = turns.join(before, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", (F.lit(9007199254740992) + F.col("conv_id")).alias("big"),
+        F.concat_ws("_", "conv_id", "turn").alias("request_id"),
+        F.filter(F.array("before", asked), lambda m: m.isNotNull()).alias("messages"))
+    rewriter = _fails_on(lambda p: len(p) % 3 == 0, "no rewrite", lambda p: p[-40:])
+    generator = _fails_on(lambda p: len(p[-1]["content"]) % 5 == 0, "no answer", lambda p: f"answer {len(p[-1]['content'])}")
     done = chat.answer_requests(requests, None, EXACT, rewriter=rewriter, generator=generator)
     return done.select("conv_id", "turn", F.col("answer_status").alias("status"), "answer", "big")
 
