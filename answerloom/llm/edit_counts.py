@@ -32,6 +32,8 @@ from answerloom.llm import piecewise
 
 #: Leaves in a block when a tree is made; a block of twice as many is dealt out again.
 BLOCK = 64
+#: Bytes of a generation of the memories for pieces and for what stands at the beginning of texts; each has two.
+KNOWN_BYTES, ODD_BYTES = 48 << 20, 8 << 20
 #: Unicode white space; Python's own set also holds four separators that are not.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = WHITE + "\x1c-\x1f"
@@ -50,7 +52,7 @@ class PretokenCounter:
 
     def __init__(self, path: str) -> None:
         self.library = piecewise.load(path, ordinary_specials=True)
-        self.known, self.odd = piecewise.Memory(), piecewise.Memory()
+        self.known, self.odd = piecewise.Memory(KNOWN_BYTES), piecewise.Memory(ODD_BYTES)
 
     def _pack(self, lengths: list[int], counts: list[int]) -> bytes:
         return np.array([lengths, counts], "<i4").T.tobytes()
@@ -320,9 +322,11 @@ def masking_edits(documents: DataFrame, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("new", pa.string())]))
         for batch in batches:
-            texts, labels = (c.to_pylist() for c in batch.columns[1:])
-            found = [edits_of(t or "", s) for t, s in zip(texts, labels, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, kind)], names=[key, text, "edits"])
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                texts, labels = (c.to_pylist() for c in part.columns[1:])
+                found = [edits_of(t or "", s) for t, s in zip(texts, labels, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(found, kind)], names=[key, text, "edits"])
 
     kind_of_key = source.schema[key].dataType.simpleString()
     return source.mapInArrow(run, f"`{key}` {kind_of_key}, `{text}` string, edits array<struct<start:long,stop:long,new:string>>")

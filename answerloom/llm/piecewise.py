@@ -13,8 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 
 GROUP = 256
-#: Pieces in each of the two generations of a memory.
-GENERATION = 800_000
+#: Bytes that an entry of a memory takes besides the text of its piece, and bytes a character of it and its result.
+ENTRY_BYTES, CHARACTER_BYTES = 190, 4
+#: Pieces above this are remembered for the texts at hand only.
+LONG_PIECE = 256
 
 
 def load(path: str, ordinary_specials: bool = False):
@@ -43,21 +45,27 @@ def strung(library, pieces: list[str]) -> Iterator[tuple[list[str], np.ndarray,
 
 class Memory(dict):
     """What is known of pieces, in two generations: the older one goes when the younger is full, but for what is asked
-    for again."""
+    for again. A generation is bounded by (estimated) bytes, as a task's process keeps it for many tasks; long pieces
+    are not kept beyond it.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, generation_bytes: int) -> None:
         super().__init__()
         self.older: dict = {}
+        self.limit, self.used = generation_bytes, 0
 
     def unknown(self, pieces: set[str]) -> list[str]:
-        if len(self) > GENERATION:
-            self.older = dict(self)
+        """The pieces that have to be learned now."""
+        if self.used > self.limit:
+            self.older = {piece: found for piece, found in self.items() if len(piece) <= LONG_PIECE}
             self.clear()
+            self.used = 0
         older, new = self.older, []
-        for piece in pieces:
-            if piece not in self:
-                if piece in older:
-                    self[piece] = older[piece]
-                else:
-                    new.append(piece)
+        missing = [piece for piece in pieces if piece not in self]
+        for piece in missing:
+            if piece in older:
+                self[piece] = older[piece]
+            else:
+                new.append(piece)
+        self.used += ENTRY_BYTES * len(missing) + CHARACTER_BYTES * sum(map(len, new))
         return new

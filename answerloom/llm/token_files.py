@@ -35,6 +35,8 @@ SEQUENCE = 2048
 #: Sequences in a record batch.
 BATCH = 64
 PIECE_TEXTS = 500
+#: Bytes of a generation of the memory of inner pieces, and of those of first and last ones; each has two.
+INNER_BYTES, END_BYTES = 112 << 20, 8 << 20
 
 
 class SplitEncoder:
@@ -47,7 +49,7 @@ class SplitEncoder:
     def __init__(self, path: str) -> None:
         self.library = piecewise.load(path)
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.first, self.inner, self.last = piecewise.Memory(), piecewise.Memory(), piecewise.Memory()
+        self.first, self.inner, self.last = (piecewise.Memory(n) for n in (END_BYTES, INNER_BYTES, END_BYTES))
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
