@@ -241,7 +241,7 @@ def test_lm_is_a_probability_and_learns(spark):
 
 def test_every_operator_is_registered_once():
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
 
 
