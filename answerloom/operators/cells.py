@@ -9,16 +9,17 @@ on its error. A query
 3. looks at the codes of what is left, a quarter of the bytes, and keeps the rows that could still win;
 4. reads the vectors of these few rows by their place (cell and key).
 
-So the result is that of a full scan. The index is read, never shuffled: queries go to it in blocks of bounded size, each
-with the thresholds that its first pass has found. What reaches the driver is bounded by the size of a query block and by
-the number of cells.
+So the result is that of a full scan. The index is read, never shuffled. A batch of bounded size goes to all tasks of its
+scan. A larger one stands in files that the tasks read block by block (``dealt``), with the thresholds that its first pass
+has found; there, as some query looks into nearly every row, 3 and 4 are one scan of the vectors. What reaches the driver is
+bounded by the size of a query block and by the number of cells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,17 @@ from pyspark.sql import types as T
 
 from answerloom.functions import cells as C
 from answerloom.functions import vectors as V
+from answerloom.operators import dealt
 from answerloom.operators.ranking import top_k
-from answerloom.session import new_folder, write_and_reload
+from answerloom.session import write_and_reload
 
 MODEL_BYTES = 64 * 1024 * 1024
 MOST_CELLS = 16_384
 #: A block of queries: so many bytes of vectors and lists of cells, and so many hits.
 BLOCK_BYTES = 64 * 1024 * 1024
 BLOCK_HITS = 500_000
+#: Queries that a task reads at a time, of a batch above that bound.
+DEALT_ROWS = 8_192
 #: Places that are sent to all tasks, and keys that are pushed into the scan.
 BROADCAST_PLACES = 200_000
 PUSHED_KEYS = 256
@@ -224,51 +228,162 @@ def search_cells(
 ) -> CellHits:
     """The k best rows of each query. With `complete` they are exact; without, `proven` tells which are.
 
-    Batches above the bound of a block are dealt into blocks by the hash of the query key. Each block is a search of its
-    own whose hits are written.
+    Batches above the bound of a block stay in files, which the tasks of the scan read block by block.
     """
     queries = write_and_reload(queries.select(F.col(query_key).alias("query"), F.col(vector).alias("vector")), "queries")
     dim = index.centroids.shape[1]
     rows = max(1, min(block_bytes // (8 * dim + 4 * probes), BLOCK_HITS // k))
-    total = queries.count()
-    blocks = -(-total // rows)
-    if blocks > 1:
-        folder = new_folder(queries.sparkSession, "query-blocks")
-        dealt = queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
-        dealt.repartition("block").write.partitionBy("block").parquet(folder)
-        dealt = queries.sparkSession.read.schema(dealt.schema).parquet(folder)
-        parts = [_search_block(dealt.filter(F.col("block") == b).drop("block"), index, k, probes, complete) for b in range(blocks)]
-        parts = [CellHits(write_and_reload(p.hits, "block-hits"), p.report) for p in parts]
-    else:
-        parts = [_search_block(queries, index, k, probes, complete)]
-    hits, report = (reduce(DataFrame.unionByName, [getattr(p, name) for p in parts]) for name in ("hits", "report"))
-    return CellHits(hits.withColumnsRenamed({"query": query_key, "key": index.key}), report.withColumnRenamed("query", query_key))
-
-
-def _probes(queries: DataFrame, index: CellIndex, probes: int) -> pa.Table:
-    """query, vector and the cells (among those with rows) of the best centroid scores."""
+    search = _search_block if queries.count() <= rows else partial(_search_dealt, block=min(rows, DEALT_ROWS))
+    found = search(queries, index, k, probes, complete)
+    return CellHits(found.hits.withColumnsRenamed({"query": query_key, "key": index.key}),
+                    found.report.withColumnRenamed("query", query_key))
+
+
+def _probes(queries: DataFrame, index: CellIndex, probes: int) -> DataFrame:
+    """The queries with the cells (among those with rows) of the best centroid scores."""
     shared = queries.sparkSession.sparkContext.broadcast((index.centroids[index.cells], index.cells))
+    names = [*queries.columns, "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centroids, cells = shared.value
-        step = max(1, 4_000_000 // max(1, len(cells)))
+        step = max(1, 1_000_000 // max(1, len(cells)))
         for batch in batches:
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                scores = np.round(V.matrix(part.column(1)) @ centroids.T, 9) if len(cells) else np.zeros((part.num_rows, 0))
+                scores = np.round(V.matrix(part.column("vector")) @ centroids.T, 9) if len(cells) else np.zeros((part.num_rows, 0))
                 best = cells[np.argsort(-scores, axis=1, kind="stable")[:, :probes]]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(best.tolist(), pa.list_(pa.int32()))],
-                                                 names=["query", "vector", "cells"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(best.tolist(), pa.list_(pa.int32()))], names=names)
+
+    schema = T.StructType([*queries.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    return queries.mapInArrow(run, schema)
+
+
+def _search_dealt(queries: DataFrame, index: CellIndex, k: int, probes: int, complete: bool, block: int) -> CellHits:
+    """The search for a batch of any size: its queries are read by the tasks, `block` at a time."""
+    numbered = queries.withColumn("row", F.monotonically_increasing_id())
+    probed, files = dealt.stored(_probes(numbered, index, probes), "probes")
+    schema = T.StructType([T.StructField("row", T.LongType()), *_hit_type(index, T.StructField("score", T.DoubleType())).fields[1:]])
+    schema.fields[1].name = index.key
+    schema.names[1] = index.key
+    hits = dealt.best_hits(
+        dealt.shared_out(index.rows.select(index.key, index.vector, "cell")), files, schema, k, "row", index.key, index.vector, block,
+        query_vector="vector", cells="cells").withColumnRenamed(index.key, "key")
+    first = write_and_reload(_best(hits, k), "probe-hits")
+    least = first.filter(F.col("rank") == k).select("row", F.col("score").alias("least"))
+    waiting, files = dealt.stored(_waiting(probed.join(least, "row", "left"), index), "waiting-queries")
+    waiting = waiting.drop("vector", "cells", "least")
+    found, checked = first, waiting.select("row", F.lit(0).cast("bigint").alias("rows_checked"))
+    if complete:
+        more = write_and_reload(_open_scan(index, files, k, block), "open-hits")
+        found = _best(first.drop("rank").unionByName(more.filter(F.col("cell").isNotNull()).drop("checked")), k)
+        checked = more.groupBy("row").agg(F.sum("checked").alias("rows_checked"))
+    coded = F.col("rows_open") if complete else F.lit(0).cast("bigint")
+    report = waiting.join(checked, "row", "left").select(
+        "rows_probed", coded.alias("rows_coded"), F.coalesce("rows_checked", F.lit(0)).cast("bigint").alias("rows_checked"),
+        (F.lit(int(index.n_rows.sum())) - F.col("rows_probed") - coded).alias("rows_skipped"),
+        ((F.col("rows_open") == 0) | F.lit(complete)).alias("proven"), "query")
+    named = found.join(waiting.select("row", "query"), "row").select("query", "key", "cell", "score", "rank")
+    return CellHits(named, report)
+
+
+def _wins(queries: np.ndarray, least: np.ndarray, probed: np.ndarray, centroids: np.ndarray, cells: np.ndarray,
+          caps: list[np.ndarray]) -> np.ndarray:
+    """Which of the cells each query must still look into: those not probed whose caps can reach its k-th best score."""
+    wins = C.cap_bounds(queries, centroids, *caps) >= least[:, None] - C.MARGIN
+    place = np.searchsorted(cells, probed)
+    here = (place < len(cells)) & (cells[np.minimum(place, len(cells) - 1)] == probed)
+    row, column = np.nonzero(here)
+    wins[row, place[row, column]] = False
+    return wins
+
+
+def _cell_figures(index: CellIndex) -> tuple[np.ndarray, ...]:
+    order = np.argsort(index.cells)
+    return tuple(x[order] for x in (index.cells, index.centroids[index.cells], index.n_rows, index.cap, index.low, index.high))
+
+
+def _waiting(queries: DataFrame, index: CellIndex) -> DataFrame:
+    """The queries with the k-th best score of their probed cells, the rows of these cells and those of the cells still open."""
+    shared = queries.sparkSession.sparkContext.broadcast(_cell_figures(index))
+    names = [*queries.columns, "rows_probed", "rows_open"]
 
-    kinds = {f.name: f.dataType for f in queries.schema.fields}
-    schema = T.StructType([T.StructField("query", kinds["query"]), T.StructField("vector", kinds["vector"]),
-                           T.StructField("cells", T.ArrayType(T.IntegerType()))])
-    return queries.mapInArrow(run, schema).toArrow()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, centroids, n_rows, *caps = shared.value
+        step = max(1, 500_000 // max(1, len(cells)))
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                least = part.column("least").fill_null(-np.inf)
+                probed = V.matrix(part.column("cells")).astype(np.int64)
+                near, rows_open = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows, np.int64)
+                if len(cells):
+                    near = n_rows[np.searchsorted(cells, probed)].sum(axis=1)
+                    rows_open = _wins(V.matrix(part.column("vector")), least.to_numpy(), probed, centroids, cells, caps) @ n_rows
+                columns = [least if name == "least" else part.column(name) for name in part.schema.names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(near), pa.array(rows_open)], names=names)
+
+    schema = T.StructType([*queries.schema.fields, T.StructField("rows_probed", T.LongType()), T.StructField("rows_open", T.LongType())])
+    return queries.mapInArrow(run, schema)
+
+
+def _open_scan(index: CellIndex, files: list[str], k: int, block: int) -> DataFrame:
+    """row, key, cell, score of the rows of open cells that reach the k-th best score of a query, and how many rows were
+    scored in full for it."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    shared = index.rows.sparkSession.sparkContext.broadcast(_cell_figures(index))
+    schema = T.StructType([
+        T.StructField("row", T.LongType()), *_hit_type(index, T.StructField("score", T.DoubleType())).fields[1:],
+        T.StructField("checked", T.LongType())])
+    kinds, names = [to_arrow_type(f.dataType) for f in schema], schema.fieldNames()
+    name, key = index.vector, index.key
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, centroids, _, *caps = shared.value
+        best: dict[int, dealt.Best] = {}
+        for piece in dealt.pieces(batches, name):
+            ids = V.keys(piece[key])
+            order = np.lexsort((ids, piece["cell"].to_numpy()))
+            piece = piece.take(pa.array(order))
+            vectors, own = V.matrix(piece[name], plain=True), piece["cell"].to_numpy()
+            groups = list(dealt.numbers_in_order(own))
+            here = np.searchsorted(cells, [cell for cell, _ in groups])
+            figures = [centroids[here], cells[here], [x[here] for x in caps]]
+            for number, queries in enumerate(dealt.query_blocks(files, ["row", "vector", "cells", "least"], block)):
+                rows, probed = V.matrix(queries["vector"], plain=True), V.matrix(queries["cells"]).astype(np.int64)
+                top = best.get(number)
+                if top is None:
+                    top = best[number] = dealt.Best(len(rows), k)
+                    top.scores[:] = queries["least"].to_numpy()[:, None]
+                open_cells = _wins(rows, top.least(), probed, *figures)
+                found, checked = [], np.zeros(len(rows), np.int64)
+                for place, (cell, inside) in enumerate(groups):
+                    some = np.flatnonzero(open_cells[:, place])
+                    if len(some) == 0:
+                        continue
+                    at, columns, scores, full = V.leading(rows[some], vectors[inside], k, top.least(some))
+                    checked[some] += full
+                    if len(at):
+                        top.add(some[at], scores)
+                        found.append((some[at], inside.start + columns, scores))
+                at, columns, scores = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+                reach = scores >= top.least()[at]
+                at, columns, scores = at[reach], columns[reach], scores[reach].astype(float)
+                numbers = queries["row"].to_numpy()
+                hits = pa.table([pa.array(numbers[at]), piece[key].take(pa.array(columns)), pa.array(own[columns]), pa.array(scores),
+                                 pa.array(np.zeros(len(at), np.int64))], names=names)
+                some = np.flatnonzero(checked)  # a row without key tells how many were scored
+                counts = pa.table([pa.array(numbers[some]), pa.nulls(len(some), kinds[1]), pa.nulls(len(some), kinds[2]),
+                                   pa.nulls(len(some), kinds[3]), pa.array(checked[some])], names=names)
+                for table in (hits, counts):
+                    yield from pa.table([c.cast(t) for c, t in zip(table.columns, kinds)], names=names).to_batches()
+
+    return dealt.shared_out(index.rows.select(key, name, "cell")).mapInArrow(scan, schema)
 
 
 def _search_block(queries: DataFrame, index: CellIndex, k: int, probes: int, complete: bool) -> CellHits:
     spark = queries.sparkSession
-    small = _probes(queries, index, probes)
+    small = _probes(queries, index, probes).toArrow()
     vectors = V.matrix(small["vector"]) if small.num_rows else np.zeros((0, index.centroids.shape[1]))
     probed = small["cells"].to_pylist()
     first = write_and_reload(_best(_probe_scan(index, vectors, probed, k), k), "probe-hits")

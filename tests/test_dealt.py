@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from answerloom.functions import cells as C
 from answerloom.functions import vectors as V
-from answerloom.operators import retrieve
+from answerloom.operators import cells, retrieve
 
 
 def unit_rows(n, dim, seed):
@@ -62,3 +63,22 @@ def test_large_batches_do_not_repeat_either_side(spark):
     by_cells = retrieve.knn_cells(queries, vectors, 3, planes=3, probes=2, broadcast_bytes=1, query_block=7)
     assert _exchanged(blocks) == 0 and _exchanged(by_cells) == 0
     assert blocks.count() == 180
+
+
+def test_large_batch_in_learned_cells_is_one_search(spark, monkeypatch):
+    q, x = unit_rows(60, 8, 1), unit_rows(400, 8, 2)
+    x[9] = x[4]
+    queries, vectors = frame(spark, q, "q", "query_id"), frame(spark, x, "x", "chunk_id")
+    index = cells.cells_over(vectors, 6)
+    small = cells.search_cells(queries, index, 3, probes=2)
+    monkeypatch.setattr(cells, "_search_block", None)  # no search for each block of queries
+    dealt = cells.search_cells(queries, index, 3, probes=2, block_bytes=600)
+    columns = ["query_id", "chunk_id", "cell", "score", "rank"]
+    assert sorted(dealt.hits.select(columns).collect()) == sorted(small.hits.select(columns).collect())
+    figures = ["query_id", "rows_probed", "rows_coded", "rows_skipped", "proven"]
+    assert sorted(dealt.report.select(figures).collect()) == sorted(small.report.select(figures).collect())
+    quick = cells.search_cells(queries, index, 3, probes=1, complete=False, block_bytes=600)
+    assert quick.report.filter("not proven").count() > 0
+    exact = {r.query_id: r.chunk_id for r in small.hits.filter(F.col("rank") == 1).collect()}
+    sure = {r.query_id for r in quick.report.filter("proven").collect()}
+    assert all(exact[r.query_id] == r.chunk_id for r in quick.hits.filter("rank = 1").collect() if r.query_id in sure)
