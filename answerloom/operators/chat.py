@@ -220,6 +220,13 @@ def rewrite_prompt_rows(turns: DataFrame, template: str) -> DataFrame:
     return head.unionByName(rows)
 
 
+def prompt_sizes(turns: DataFrame) -> DataFrame:
+    """(conv_id, n_prompt_messages): the messages of each prompt, with system text and question; counted, not gathered."""
+    shown = history_rows(turns).filter(F.col("role").isin(*PROMPT_ROLES)).groupBy("conv_id").agg(F.count(F.lit(1)).alias("_shown"))
+    return last_turns(turns).select("conv_id").join(shown, "conv_id", "left").select(
+        "conv_id", (F.lit(2) + F.coalesce("_shown", F.lit(0))).cast("bigint").alias("n_prompt_messages"))
+
+
 # A model reads one prompt at a time: the most characters that a conversation may have to be put into one.
 PROMPT_CHARS = 1_000_000
 

@@ -420,14 +420,18 @@ ORACLES: dict[str, str] = {
     "chat_question": with_(SPLIT, select="SELECT conv_id, question, n_history FROM split"),
     "chat_history": with_(SPLIT, select="SELECT conv_id, turn, role, text FROM numbered WHERE back > 1"),
     "chat_rewrite_branch": with_(SPLIT, select="SELECT conv_id, n_history > 0 AS rewritten, search_query FROM split"),
-    "chat_rewrite_prompt": with_(SPLIT, select=f"""
-        SELECT conv_id, -1::BIGINT AS position, {lit(REWRITE_TEMPLATE[:REWRITE_TEMPLATE.index('{chat_history}')])} AS content
-        FROM split WHERE n_history > 0
-        UNION ALL
-        SELECT conv_id, turn, CASE WHEN back = 1
-          THEN {template(REWRITE_TEMPLATE[REWRITE_TEMPLATE.index('{chat_history}') + 14:], question='text')}
-          ELSE CASE WHEN back < n THEN chr(10) ELSE '' END || role || ': ' || text END
-        FROM numbered WHERE n > 1"""),
+    "chat_rewrite_prompt": with_(SPLIT, f"""
+        sizes AS (SELECT conv_id, 2 + count(*) FILTER (back > 1 AND role IN ('user', 'assistant')) AS n_prompt_messages
+          FROM numbered GROUP BY conv_id),
+        prompts AS (
+          SELECT conv_id, -1::BIGINT AS position, {lit(REWRITE_TEMPLATE[:REWRITE_TEMPLATE.index('{chat_history}')])} AS content
+          FROM split WHERE n_history > 0
+          UNION ALL
+          SELECT conv_id, turn, CASE WHEN n = 1 THEN NULL WHEN back = 1
+            THEN {template(REWRITE_TEMPLATE[REWRITE_TEMPLATE.index('{chat_history}') + 14:], question='text')}
+            ELSE CASE WHEN back < n THEN chr(10) ELSE '' END || role || ': ' || text END
+          FROM numbered)""", select="""
+        SELECT conv_id, position, content, n_prompt_messages FROM prompts JOIN sizes USING (conv_id)"""),
     "chat_rewrite_turns": f"""
         SELECT c.conv_id, c.turn,
           CASE WHEN p.turn IS NOT NULL
