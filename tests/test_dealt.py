@@ -82,3 +82,13 @@ def test_large_batch_in_learned_cells_is_one_search(spark, monkeypatch):
     exact = {r.query_id: r.chunk_id for r in small.hits.filter(F.col("rank") == 1).collect()}
     sure = {r.query_id for r in quick.report.filter("proven").collect()}
     assert all(exact[r.query_id] == r.chunk_id for r in quick.hits.filter("rank = 1").collect() if r.query_id in sure)
+
+
+def test_large_batch_takes_repeated_keys_as_a_small_one(spark):
+    x = unit_rows(40, 8, 2)
+    queries, vectors = frame(spark, unit_rows(20, 8, 1), "q", "query_id"), frame(spark, x, "x", "chunk_id")
+    index = cells.cells_over(vectors.unionByName(vectors.filter("chunk_id < 'x0020'")), 4)
+    columns = ["query_id", "chunk_id", "score", "rank"]
+    small = cells.search_cells(queries, index, 5, probes=1).hits.select(columns)
+    dealt = cells.search_cells(queries, index, 5, probes=1, block_bytes=600).hits.select(columns)
+    assert sorted(dealt.collect()) == sorted(small.collect())
