@@ -19,6 +19,14 @@ def state(index):
     return {tuple(r) for r in index.rows.select("chunk_id", "chunked_text", "path", "cell", F.hash("embedding"), "twin").collect()}
 
 
+def test_cells_do_not_grow_with_the_rows_for_ever(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cell_index, "ROWS_PER_CELL", 5)
+    monkeypatch.setattr(cell_index, "DEFAULT_CELLS", 7, raising=False)
+    texts = [(f"doc/{i}", f"word{i} word{i % 17} word{i % 5}") for i in range(200)]
+    built = cell_index.ensure_cell_index(spark, str(tmp_path / "index"), chunk_rows(spark, texts), "sync", EMBEDDER)
+    assert len(built.centroids) == 7 and built.n_rows.sum() == 200
+
+
 def test_many_queries_are_one_search_without_codes(spark, monkeypatch):
     q, x = unit_rows(30, 16, 1), unit_rows(300, 16, 2)
     index = cells.cells_over(frame(spark, x, "x", "chunk_id"), 12)
