@@ -43,6 +43,25 @@ def test_many_queries_are_one_search_without_codes(spark, monkeypatch):
     assert many.report.filter("proven").count() == 30
 
 
+def test_sync_shuffles_and_writes_each_row_once(spark, tmp_path, monkeypatch):
+    texts = [(f"doc/{i}", f"word{i} word{i % 7}") for i in range(120)]
+    changed = texts[10:100] + [("doc/x", texts[100][1])] + [("doc/new", f"fresh{i}") for i in range(9)]  # gone, renamed, new
+    written, plans = [], []
+    keep = cell_index.write_and_reload
+    monkeypatch.setattr(cell_index, "write_and_reload", lambda df, name, *a: written.append((name, df)) or keep(df, name, *a))
+    folder = str(tmp_path / "index")
+    cell_index.ensure_cell_index(spark, folder, chunk_rows(spark, texts), "sync", EMBEDDER, 6)
+    write_rows = cell_index._write_rows
+    monkeypatch.setattr(cell_index, "_write_rows", lambda df, *a: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or write_rows(df, *a))
+    after = cell_index.ensure_cell_index(spark, folder, chunk_rows(spark, changed), "sync", EMBEDDER)
+    assert [name for name, df in written if "embedding" in df.columns] == ["index-texts", "new-texts", "new-rows"]
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plans[0]
+    fresh = cell_index.ensure_cell_index(spark, folder + "-2", chunk_rows(spark, changed), "create_if_missing", EMBEDDER, 6)
+    assert {r[:3] + r[4:] for r in state(after)} == {r[:3] + r[4:] for r in state(fresh)}
+    assert after.n_rows.sum() == after.rows.count() == 100
+
+
 def test_parsing_and_embedding_of_a_batch_are_work_for_all_cores(spark, tmp_path, monkeypatch):
     rows = [(f"p{i}", None, 1, f"<p>words of page {i}</p>".encode()) for i in range(60)]
     spark.createDataFrame(rows, RAW).coalesce(1).write.parquet(str(tmp_path / "in"))
