@@ -5,8 +5,9 @@ of binary decisions, and the product of their probabilities is a proper probabil
 
 * Predictors: for each order the last bytes are the context, kept whole in a 64-bit key, so contexts never collide. The
   counts of the corpus are a table of contexts and next bytes; from them come the log-odds of the decisions at the
-  inner nodes of the tree. The table grows with the corpus. It is joined to the contexts that each part of the texts
-  (`PART` bytes of them) holds, each context once a part, and is never held as a whole by any task.
+  inner nodes of the tree. The table grows with the corpus. It is written once, as files of sorted ranges in the shared
+  folder: every pair of context and next byte with the log-odds along the byte's path. Tasks map the files and search
+  them by the sorted pairs of each piece of text, so neither texts nor contexts are shuffled to meet the counts.
 * Mixing: the log-odds are added with weights chosen by a gate (how sure the two highest orders are) and squashed.
   The weights move online after every decision, along the slope of the coding cost.
 * Refinement: an adaptive map from the mixed log-odds to the share of ones seen there, averaged with the mix.
@@ -29,6 +30,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +38,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from answerloom.llm import shared_files
 from answerloom.llm import texts as T
-from answerloom.session import write_and_reload
+from answerloom.session import new_folder, write_and_reload
 
 #: Bytes of context of each predictor. A key is the order's number, six bytes of context and the next byte.
 ORDERS = (2, 3, 4, 6)
 #: Distinct counts that a counting task holds before they leave it, and rows that leave it at a time.
 SLOTS = 1 << 20
 BLOCK_SLOTS = 1 << 16
-#: Bytes of text whose contexts are joined together.
-PART = 1 << 24
+#: Pairs in a batch of a file of counts, and more by what one context and one batch of rows have.
+BATCH_PAIRS = 1 << 18
 END = 0xFF  # never a byte of UTF-8
 END_TOKEN = np.uint64(0x1F83D9ABFB41BD6B)
 FOLDS, HELD_OUT, MIX_FOLD = 7, 2, 6
@@ -87,6 +90,12 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[order], rank.take(encoded.indices.to_numpy())
 
 
+def counted_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each stands, in no order."""
+    found = pa.array(keys).value_counts()
+    return found.field("values").to_numpy(), found.field("counts").to_numpy()
+
+
 def words(piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, first_word = piece.words()
     return T.span_hash(piece.prefix(T.LOWER_ASCII[piece.data]), starts, ends), first_word
@@ -97,23 +106,18 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(at, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
 
 
-PARTIAL = pa.schema([
-    ("kind", pa.int32()), ("part", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("id", pa.int64()),
-    ("held_out", pa.bool_()), ("rest", pa.int32()), ("text", pa.string())])
-CONTEXTS, WORDS, BYTES, NEEDS, TEXTS, PARTS = range(6)
+PARTIAL = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+CONTEXTS, WORDS, BYTES, NEEDS = range(4)
 
 
-def _partial(kind: int, size: int, **columns) -> pa.RecordBatch:
-    columns = {"kind": np.full(size, kind, np.int32)} | columns
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in PARTIAL],
-        schema=PARTIAL)
+def _partial(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return T.batch_of([np.full(len(keys), kind, np.int32), keys, counts], PARTIAL)
 
 
 def _counts(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for start in range(0, len(keys), BLOCK_SLOTS):
         some = slice(start, start + BLOCK_SLOTS)
-        yield _partial(kind, len(keys[some]), key=keys[some].view(np.int64), n=counts[some])
+        yield _partial(kind, keys[some].view(np.int64), counts[some])
 
 
 class _Held:
@@ -137,29 +141,17 @@ class _Held:
         self.parts, self.size = [], 0
 
 
-def count_corpus(documents: DataFrame) -> DataFrame:
-    """Partial counts of each task (contexts with the next byte, words, bytes); the texts by parts; the contexts of each part.
+def count_corpus(documents: DataFrame, needs: bool = True) -> DataFrame:
+    """Partial counts of each task: contexts with the next byte, words, bytes; with `needs` also the contexts of all texts.
 
-    `documents` has key, held_out, rest and text. All texts are in parts; only training texts are counted. `n` of a
-    context that a part needs is 1 if a text of the mixing fold holds it.
+    `documents` has key, held_out, rest and text. Only training texts are counted.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contexts, tokens, seen = _Held(CONTEXTS, 2 * SLOTS), _Held(WORDS, 2 * SLOTS), np.zeros(256, np.int64)
-        part, size, needs = TaskContext.get().partitionId() << 33, 0, []
-
-        def needed() -> Iterator[pa.RecordBatch]:
-            marked = np.unique(np.concatenate(needs))
-            last = np.append(marked[1:] >> np.uint64(1) != marked[:-1] >> np.uint64(1), True)
-            marked = marked[last]  # the marked one of a context, if there is one
-            for start in range(0, len(marked), BLOCK_SLOTS):
-                some = marked[start : start + BLOCK_SLOTS].view(np.int64)
-                yield _partial(NEEDS, len(some), part=np.full(len(some), part), key=some >> 1, n=some & 1)
-            yield _partial(PARTS, 1, part=[part])
-
         for batch in batches:
-            held_out, rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-            for piece in T.pieces(batch.column(3), PIECE):
+            held_out, rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for piece in T.pieces(batch.column(2), PIECE):
                 own = slice(piece.first, piece.first + piece.rows)
                 train = ~held_out[own].astype(bool)
                 hashes, first_word = words(piece)
@@ -167,30 +159,18 @@ def count_corpus(documents: DataFrame) -> DataFrame:
                 yield from tokens.add(*np.unique(np.append(hashes, np.full(train.sum(), END_TOKEN)), return_counts=True))
                 stream, bounds = symbols(piece)
                 counted = np.repeat(train & (rest[own] != MIX_FOLD), np.diff(bounds))
-                mixed = np.repeat(rest[own] == MIX_FOLD, np.diff(bounds))
                 seen += np.bincount(stream[counted], minlength=256)
                 for keys in context_keys(stream, bounds):
-                    found, at = distinct(keys)
-                    times = np.bincount(at[counted], minlength=len(found))
-                    yield from contexts.add(found[times > 0], times[times > 0])
-                    marks = np.bincount(at[mixed], minlength=len(found)) > 0
-                    needs.append(np.unique((found >> np.uint64(8) << np.uint64(1)) | marks.astype(np.uint64)))
-                yield _partial(TEXTS, piece.rows, part=np.full(piece.rows, part), **{
-                    name: batch.column(i).slice(piece.first, piece.rows)
-                    for i, name in enumerate(("id", "held_out", "rest", "text"))})
-                size += len(stream)
-                if size >= PART:
-                    yield from needed()
-                    part, size, needs = part + 1, 0, []
-        if needs:
-            yield from needed()
+                    yield from contexts.add(*counted_keys(keys[counted]))
+                    if needs:
+                        found = np.unique(keys >> np.uint64(8))
+                        yield from _counts(NEEDS, found, np.ones(len(found), np.int64))
         yield from contexts.rest()
         yield from tokens.rest()
         if seen.any():
-            yield _partial(BYTES, 256, key=np.arange(256), n=seen)
+            yield _partial(BYTES, np.arange(256), seen)
 
-    return documents.select("key", "held_out", "rest", "text").mapInArrow(
-        run, "kind int, part long, key long, n long, id long, held_out boolean, rest int, text string")
+    return documents.select("held_out", "rest", "text").mapInArrow(run, "kind int, key long, n long")
 
 
 def context_counts(partial: DataFrame) -> DataFrame:
@@ -202,44 +182,6 @@ def context_counts(partial: DataFrame) -> DataFrame:
         .groupBy("context").agg(F.collect_list(F.col("n") * 256 + F.col("byte")).alias("nexts")))
 
 
-def by_part(partial: DataFrame, counts: DataFrame, mixing: bool) -> DataFrame:
-    """The rows of each part behind each other: the contexts that it needs with their counts, then its texts."""
-    wanted, chosen = F.col("kind") == NEEDS, F.col("kind") == TEXTS
-    if mixing:
-        wanted, chosen = wanted & (F.col("n") == 1), chosen & (F.col("rest") == MIX_FOLD)
-    needs = partial.where(wanted).select("part", F.col("key").alias("context")).join(counts, "context")
-    parts = partial.where(F.col("kind") == PARTS).count()
-    return (
-        needs.select("part", F.lit(NEEDS).alias("kind"), "context", "nexts")
-        .unionByName(partial.where(chosen).select("part", "kind", "id", "held_out", "text"), allowMissingColumns=True)
-        .select("part", "kind", "context", "nexts", "id", "held_out", "text")
-        .repartition(max(1, 2 * parts), "part").sortWithinPartitions("part", "kind", "context"))
-
-
-def parted(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Batches of texts (id, held_out, text) of rows as `by_part` gives them, with the log-odds of their part."""
-    own, held, known = None, [], None
-    for batch in batches:
-        parts, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(kinds) != 0)) + 1
-        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(parts)], strict=True):
-            if low == high:
-                continue
-            if parts[low] != own:
-                own, held, known = parts[low], [], None
-            some = batch.slice(low, high - low)
-            if kinds[low] == NEEDS:
-                lists = some.column(3)
-                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-                held.append(node_table(np.repeat(some.column(2).to_numpy(), sizes), lists.flatten().to_numpy(), code))
-                continue
-            if known is None:
-                none = (np.zeros(0, np.int64), np.zeros(0, np.int8))
-                known, held = tuple(np.concatenate(x) for x in zip(none, *held, strict=True)), []
-            yield pa.RecordBatch.from_arrays(
-                [some.column(i) for i in (4, 5, 6)], names=["id", "held_out", "text"]), *known
-
-
 @dataclass(frozen=True)
 class Code:
     """A Huffman code of the bytes: their paths one after the other."""
@@ -248,6 +190,9 @@ class Code:
     length: np.ndarray
     node: np.ndarray
     bit: np.ndarray
+    #: Places of the bytes among the leaves from left to right, and how many nodes two paths share, by these places.
+    rank: np.ndarray
+    shared: np.ndarray
 
     @classmethod
     def of(cls, counts: np.ndarray) -> Code:
@@ -268,7 +213,17 @@ class Code:
             paths.append(path[::-1])
         length = np.array([len(p) for p in paths])
         flat = np.array([x for p in paths for x in p])
-        return cls(np.cumsum(length) - length, length, flat[:, 0], flat[:, 1].astype(np.uint8))
+        leaves = sorted(range(256), key=lambda symbol: [bit for _, bit in paths[symbol]])
+        # neighbouring leaves tell all: two paths share what the paths of all leaves between them do
+        shared = np.zeros((256, 256), np.int64)
+        for place, symbol in enumerate(leaves):
+            shared[place, place] = least = length[symbol]
+            for other in range(place + 1, 256):
+                pairs = zip(paths[leaves[other - 1]], paths[leaves[other]], strict=False)
+                least = min(least, 1 + next(i for i, (a, b) in enumerate(pairs) if a != b))
+                shared[place, other] = shared[other, place] = least
+        return cls(np.cumsum(length) - length, length, flat[:, 0], flat[:, 1].astype(np.uint8),
+                   np.argsort(leaves), shared)
 
     def paths(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The paths of bytes one after the other: number of the byte, node and bit of each decision."""
@@ -279,17 +234,60 @@ class Code:
         return which, self.node[at], self.bit[at]
 
 
-def node_table(context: np.ndarray, nexts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
-    """Rising keys (context and inner node) and the log-odds of each, from contexts and their next bytes."""
-    which, node, bit = code.paths(nexts & 255)
-    keys, n = (context[which] << 8) | node, (nexts >> 8)[which].astype(np.float64)
+PATHS = pa.schema([("pair", pa.int64()), ("odds", pa.large_list(pa.int8()))])
+
+
+def path_table(pairs: np.ndarray, n: np.ndarray, code: Code) -> pa.RecordBatch:
+    """Rising pairs (context and leaf) and the log-odds along the leaf's path, from whole contexts, their next bytes and counts."""
+    symbol = pairs & 255
+    pairs = pairs - symbol + code.rank[symbol]
+    order = np.argsort(pairs)
+    pairs, symbol, n = pairs[order], symbol[order], n[order]
+    which, node, bit = code.paths(symbol)
+    keys = (pairs[which] >> 8 << 8) | node
     order = np.argsort(keys)
-    keys, n, bit = keys[order], n[order], bit[order]
-    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    one = np.add.reduceat(n * bit, begins)
-    zero = np.add.reduceat(n, begins) - one
-    odds = np.clip(np.rint(SCALE * np.log((one + 0.4) / (zero + 0.4))), -127, 127)
-    return keys[begins], odds.astype(np.int8)
+    first = np.append(True, np.diff(keys[order]) != 0)
+    group = np.empty(len(keys), np.int64)
+    group[order] = np.cumsum(first) - 1
+    total, one = (np.bincount(group, n[which] * x) for x in (1.0, bit))
+    odds = np.clip(np.rint(SCALE * np.log((one + 0.4) / (total - one + 0.4))), -127, 127).astype(np.int8)
+    ends = np.concatenate([[0], np.cumsum(code.length[symbol])])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pairs), pa.LargeListArray.from_arrays(pa.array(ends), pa.array(odds[group]))], schema=PATHS)
+
+
+def write_paths(counts: DataFrame, code: Code, folder: str) -> list[str]:
+    """Files of sorted ranges of pairs (key, n), in rising order; a context stands in one batch."""
+    shared_files.make_folder(folder)
+    ordered = counts.select("key", "n").repartitionByRange(F.shiftright("key", 8)).sortWithinPartitions("key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = TaskContext.get().partitionId(), (np.zeros(0, np.int64),) * 2
+        batch = next(batches, None)
+        if batch is None:
+            return
+        name = f"{folder}/paths-{part:06d}.arrow"
+        with shared_files.created(name) as out, pa.ipc.new_file(out, PATHS) as file:
+            while batch is not None:
+                held = tuple(np.concatenate([a, b.to_numpy()]) for a, b in zip(held, batch.columns, strict=True))
+                batch = next(batches, None)
+                whole = len(held[0])
+                if whole and batch is not None:
+                    whole = int(np.searchsorted(held[0], held[0][-1] >> 8 << 8))
+                if whole and (batch is None or whole >= BATCH_PAIRS):
+                    file.write(path_table(held[0][:whole], held[1][:whole], code))
+                    held = tuple(x[whole:] for x in held)
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [name]})
+
+    return [r.path for r in ordered.mapInArrow(run, "part int, path string").orderBy("part").collect()]
+
+
+@lru_cache(maxsize=1)
+def mapped(paths: tuple[str, ...]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs, where their log-odds begin, and the log-odds, of each batch of the files; views where files can be mapped."""
+    files = [pa.ipc.open_file(shared_files.opened(path)) for path in paths]
+    batches = [file.get_batch(i) for file in files for i in range(file.num_record_batches)]
+    return [(b.column(0).to_numpy(), b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy()) for b in batches]
 
 
 @dataclass(frozen=True)
@@ -298,23 +296,38 @@ class MixModel:
     table: np.ndarray = field(repr=False)
     weights: np.ndarray = field(repr=False)
     refine: np.ndarray = field(repr=False)
-    #: Rising keys of the table's places, as `node_table` gives them; what has no place is unknown.
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64), repr=False)
-
-    def knowing(self, keys: np.ndarray, table: np.ndarray) -> MixModel:
-        return replace(self, keys=keys, table=table)
+    #: Files of the counts as `write_paths` gives them; what stands in none is unknown.
+    files: tuple[str, ...] = ()
 
     def odds(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For rising keys of contexts and bytes the log-odds along the bytes' paths, and where each path starts."""
+        """For rising keys of contexts and bytes the log-odds along the bytes' paths, and where each path starts.
+
+        A byte not seen in its context shares the known nodes of its path with one of the two seen leaves beside it.
+        """
         symbol = (pairs & np.uint64(255)).astype(np.int64)
-        which, node, _ = self.code.paths(symbol)
-        out = np.zeros(len(which), np.int8)
-        if len(self.keys):
-            wanted = ((pairs >> np.uint64(8) << np.uint64(8)).view(np.int64))[which] | node
-            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-            np.copyto(out, self.table.take(at), where=self.keys.take(at) == wanted)
         lengths = self.code.length[symbol]
-        return out, np.cumsum(lengths) - lengths
+        starts = np.cumsum(lengths) - lengths
+        out = np.zeros(int(lengths.sum()), np.int8)
+        leaf = self.code.rank[symbol]
+        wanted = (pairs >> np.uint64(8) << np.uint64(8)).view(np.int64) | leaf
+        for keys, begins, values in mapped(self.files):
+            ends = np.array([keys[0] >> 8 << 8, keys[-1] | 255]).view(np.uint64)
+            low, high = np.searchsorted(pairs, ends[0]), np.searchsorted(pairs, ends[1], side="right")
+            if low == high:
+                continue
+            own, own_leaf = wanted[low:high], leaf[low:high]
+            after = np.searchsorted(keys, own)
+            best, source = np.zeros(len(own), np.int64), after
+            for place in (np.minimum(after, len(keys) - 1), np.maximum(after - 1, 0)):
+                near = keys.take(place)
+                shared = np.where(near >> 8 == own >> 8, self.code.shared[own_leaf, near & 255], 0)
+                source = np.where(shared > best, place, source)
+                best = np.maximum(best, shared)
+            ends = np.cumsum(best)
+            step = np.arange(int(ends[-1])) - np.repeat(ends - best, best)
+            out[np.repeat(starts[low:high], best) + step] = values.take(
+                np.repeat(begins.take(source, mode="clip"), best) + step)
+        return out, starts
 
 
 def start_state() -> tuple[np.ndarray, np.ndarray]:
@@ -407,14 +420,13 @@ def mix(piece: T.Piece, model: MixModel, usage: bool = False) -> tuple[np.ndarra
 
 
 def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
-    """Rows of the fold as `by_part` gives them. Weights and map averaged over the lanes of all texts of the fold; each task carries its own on, piece by piece."""
+    """Weights and map averaged over the lanes of all texts (text) of the fold; each task carries its own on, piece by piece."""
     held = fold.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, sums, uses, maps, lanes = held.value, None, None, 0.0, 0
-        for batch, keys, table in parted(batches, own.code):
-            own = own.knowing(keys, table)
-            for piece in T.pieces(batch.column(2), PIECE):
+        for batch in batches:
+            for piece in T.pieces(batch.column(0), PIECE):
                 _, weights, refine, used = mix(piece, own, usage=True)
                 total = used.sum(axis=0)
                 mean = np.where(total[:, None] > 0, (weights * used[:, :, None]).sum(axis=0) / np.maximum(total, 1)[:, None],
@@ -428,7 +440,7 @@ def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
                 "sums": pa.array([sums.ravel().tolist()]), "uses": pa.array([uses.tolist()], pa.list_(pa.int64())),
                 "maps": pa.array([maps.tolist()]), "lanes": pa.array([lanes], pa.int64())})
 
-    got = fold.mapInArrow(run, "sums array<double>, uses array<long>, maps array<double>, lanes long")
+    got = fold.select("text").mapInArrow(run, "sums array<double>, uses array<long>, maps array<double>, lanes long")
     # summed place by place: a fixed number of rows, whatever the number of tasks
     places = got.select(
         F.explode(F.map_from_arrays(F.array(F.lit("sums"), F.lit("uses"), F.lit("maps"), F.lit("lanes")), F.array(
@@ -447,15 +459,14 @@ def fit_mixer(fold: DataFrame, model: MixModel) -> MixModel:
 
 
 def score_texts(documents: DataFrame, model: MixModel, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Rows as `by_part` gives them. row (a number of its own), key, held_out, n_tokens, score, what known words say, and the other words."""
+    """row (a number of its own), key, held_out, n_tokens, score, what known words say, and the other words."""
     context = documents.sparkSession.sparkContext
     held = context.broadcast((model, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, (keys, counts) = held.value
         logs, number = np.log10(counts + 1.0), TaskContext.get().partitionId() << 33
-        for batch, known_keys, table in parted(batches, own.code):
-            own = own.knowing(known_keys, table)
+        for batch in batches:
             for piece in T.pieces(batch.column(2), PIECE):
                 score = mix(piece, own)[0]
                 hashes, first_word = words(piece)
@@ -482,7 +493,7 @@ def score_texts(documents: DataFrame, model: MixModel, known: tuple[np.ndarray,
                     names=["row", "key", "held_out", "n_tokens", "score", "gain", "seen", "rare", "times"])
                 number += piece.rows
 
-    return documents.mapInArrow(
+    return documents.select("key", "held_out", "text").mapInArrow(
         run, "row long, key long, held_out boolean, n_tokens long, score double, gain double, seen long, "
              "rare array<long>, times array<int>")
 
@@ -493,24 +504,23 @@ def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     rest = T.training_rest(key, FOLDS)
     plain = documents.select(F.col(key).cast("long").alias("key"), (rest == HELD_OUT).alias("held_out"),
                              rest.cast("int").alias("rest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    partial = write_and_reload(count_corpus(plain), "corpus-counts")
-    contexts = write_and_reload(context_counts(partial), "context-counts")
-    seen_bytes = partial.where(F.col("kind") == BYTES).groupBy("key").agg(F.sum("n").alias("n")).collect()
+    summed = write_and_reload(
+        count_corpus(plain, needs=False).groupBy("kind", "key").agg(F.sum("n").alias("n")), "corpus-counts")
     counts = np.zeros(256, np.int64)
-    for r in seen_bytes:
+    for r in summed.where(F.col("kind") == BYTES).collect():
         counts[r.key] = r.n
     code = Code.of(counts)
-    model = MixModel(code, np.zeros(0, np.int8), *start_state())
-    model = fit_mixer(by_part(partial, contexts, mixing=True), model)
+    files = write_paths(summed.where(F.col("kind") == CONTEXTS), code, new_folder(spark, "context-paths"))
+    model = MixModel(code, np.zeros(0, np.int8), *start_state(), tuple(files))
+    model = fit_mixer(plain.where(F.col("rest") == MIX_FOLD), model)
 
-    vocabulary = write_and_reload(
-        partial.where(F.col("kind") == WORDS).groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
+    vocabulary = summed.where(F.col("kind") == WORDS).select("key", "n")
     tokens, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent = F.col("n") * FREQUENT >= tokens  # FREQUENT words at most
     top = vocabulary.where(frequent).toArrow()
     keys, n = top["key"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(keys)
-    scored = write_and_reload(score_texts(by_part(partial, contexts, mixing=False), model, (keys[order], n[order])), "scored-texts")
+    scored = write_and_reload(score_texts(plain, model, (keys[order], n[order])), "scored-texts")
 
     pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))

@@ -236,6 +236,35 @@ def test_lm_is_a_probability_and_learns(spark):
     assert mixing_lm.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_lm_finds_the_odds_of_every_node_without_shuffling_texts(spark, small_documents, tmp_path, monkeypatch):
+    """The log-odds along each path are those of brute force over the counts, also for bytes not seen in
+    their context; batches of files hold whole contexts; what is written is keys and counts, never texts."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing_lm, "BATCH_PAIRS", 500)
+    rows = small_documents.limit(20).select(
+        F.lit(False).alias("held_out"), F.lit(0).alias("rest"), F.coalesce("text", F.lit("")).alias("text"))
+    partial = mixing_lm.count_corpus(rows, needs=False)
+    assert partial.columns == ["kind", "key", "n"]
+    counts = partial.groupBy("kind", "key").agg(F.sum("n").alias("n")).localCheckpoint()
+    count = {r.key: r.n for r in counts.where(F.col("kind") == mixing_lm.CONTEXTS).collect()}
+    code = mixing_lm.Code.of(np.bincount([k & 255 for k in count], list(count.values()), 256))
+    files = tuple(mixing_lm.write_paths(counts.where(F.col("kind") == mixing_lm.CONTEXTS), code, f"{tmp_path}/paths"))
+    assert sum(len(keys) for keys, *_ in mixing_lm.mapped(files)) == len(count)
+    model = mixing_lm.MixModel(code, np.zeros(0, np.int8), *mixing_lm.start_state(), files)
+    ends = defaultdict(Counter)
+    for key, n in count.items():
+        for node, bit in zip(*code.paths(np.array([key & 255]))[1:], strict=True):
+            ends[key >> 8, int(node)][int(bit)] += n
+    asked = sorted({key & ~255 | byte for key in list(count)[::37] for byte in (key & 255, 101, 255, 0)} | {1 << 61, 5})
+    odds, starts = model.odds(np.array(asked, np.uint64))
+    for key, start in zip(asked, starts, strict=True):
+        path = code.paths(np.array([key & 255]))[1].tolist()
+        want = [round(16 * math.log((ends[key >> 8, v][1] + 0.4) / (ends[key >> 8, v][0] + 0.4))) if (key >> 8, v) in ends
+                else 0 for v in path]
+        assert odds[start : start + len(path)].tolist() == [max(-127, min(127, x)) for x in want]
+
+
 # --- pipeline and registration -----------------------------------------------------------------
 
 
