@@ -8,7 +8,7 @@ gives it without a copy. An index file beside it says where each document starts
 
 Texts are encoded with the tokenizers library. A space between two characters that are not white space always starts
 a new piece there, so texts are cut at such spaces, and a task encodes each distinct piece once while its bounded
-memory holds. Texts in which such a space stands beside other white space go through the library as a whole.
+memory holds. Letters and the punctuation behind them are encoded apart, as the library does. Texts in which such a space stands beside other white space go through the library as a whole.
 
 Cases: a null text is an empty one and has the end id alone. Null keys come first; rows with equal keys stand side by
 side in one file in no promised order; repeated rows are written each. An empty table gives no files and no rows.
@@ -24,6 +24,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,9 +35,9 @@ from answerloom.session import new_folder, write_and_reload
 SEQUENCE = 2048
 #: Sequences in a record batch.
 BATCH = 64
-PIECE_TEXTS = 500
+PIECE_TEXTS = 1000
 #: Bytes of a generation of the memory of inner pieces, and of those of first and last ones; each has two.
-INNER_BYTES, END_BYTES = 112 << 20, 8 << 20
+INNER_BYTES, FIRST_BYTES, LAST_BYTES = 112 << 20, 16 << 20, 8 << 20
 
 
 class SplitEncoder:
@@ -49,7 +50,9 @@ class SplitEncoder:
     def __init__(self, path: str) -> None:
         self.library = piecewise.load(path)
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.first, self.inner, self.last = (piecewise.Memory(n) for n in (END_BYTES, INNER_BYTES, END_BYTES))
+        self.opens = piecewise.opening(self.library)
+        self.line_break = self._encode(["\n"])[0]
+        self.first, self.inner, self.last = (piecewise.Memory(n) for n in (FIRST_BYTES, INNER_BYTES, LAST_BYTES))
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
@@ -57,9 +60,17 @@ class SplitEncoder:
 
     def _learn(self, memory: piecewise.Memory, pieces: set[str], lead: str, left: bool, right: bool) -> None:
         """Encode the pieces that are not known; left and right say at which sides texts are cut."""
-        even, uneven = [], []
+        even, uneven, parted = [], [], []
         for piece in memory.unknown(pieces):
-            if (left and piece[:1].isspace()) or (right and (piece[-1:].isspace() or (left and not piece))):
+            if lead and (parts := piecewise.PARTED.fullmatch(piece)):
+                if parts[2]:
+                    parted.append((piece, parts[1], [parts[2]]))
+                else:
+                    even.append(piece)
+            elif lead and "\n" in piece and all(lines := [*map(piecewise.PARTED.fullmatch, piece.split("\n"))]):
+                bare = [part for line in lines[1:] for part in ("\n", *line.groups())]
+                parted.append((piece, lines[0][1], [lines[0][2], *bare]))
+            elif (left and piece[:1].isspace()) or (right and (piece[-1:].isspace() or (left and not piece))):
                 memory[piece] = None
             elif lead and piece and not piece[-1].isspace():
                 even.append(piece)
@@ -67,26 +78,65 @@ class SplitEncoder:
                 uneven.append(piece)
         memory.update(zip(uneven, self._encode([lead + x for x in uneven]), strict=True))
         size = self.kind.itemsize
-        for group, ids, _, cuts in piecewise.strung(self.library, even):
+        even += memory.absent({letters for _, letters, _ in parted}.difference(even))
+        for group, ids, cuts in piecewise.strung_ids(self.library, self.opens, even):
             data = ids.astype(self.kind).tobytes()
             memory.update(zip(group, [data[size * a : size * b] for a, b in pairwise(cuts)], strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [text.split(" ") for text in texts]
-        self._learn(self.first, {x[0] for x in cut}, "", False, True)
-        self._learn(self.last, {x[-1] for x in cut}, " ", True, False)
-        self._learn(self.inner, set().union(*[x[1:-1] for x in cut]), " ", True, True)
-        out, whole = [], []
-        for number, pieces in enumerate(cut):
-            ids = [self.first[pieces[0]], *map(self.inner.__getitem__, pieces[1:-1]), self.last[pieces[-1]]]
-            if len(pieces) == 1 or None in ids:
-                whole.append(number)
-                out.append(b"")
+        self._learn_bare({part for _, _, rest in parted for part in rest})
+        bare = self.first.__getitem__
+        memory.update([(piece, memory[letters] + b"".join(map(bare, rest))) for piece, letters, rest in parted])
+
+    def _learn_bare(self, parts: set[str]) -> None:
+        """Letters, and what else stands in no line break, without a space before, as first pieces are.
+
+        A line break between two of them is a token of its own, so they are encoded line by line.
+        """
+        known = self.first
+        known.update({"": b"", "\n": self.line_break})
+        new, size = known.absent(parts), self.kind.itemsize
+        groups = [new[i : i + piecewise.GROUP] for i in range(0, len(new), piecewise.GROUP)]
+        mark = np.frombuffer(self.line_break, self.kind)
+        for group, data in zip(groups, self._encode(["\n".join(g) for g in groups]), strict=True):
+            cuts = np.flatnonzero(np.frombuffer(data, self.kind) == mark[0]).tolist()
+            if len(mark) == 1 and len(cuts) == len(group) - 1:
+                spans = zip([0, *[c + 1 for c in cuts]], [*cuts, len(data) // size], strict=True)
+                known.update(zip(group, [data[size * a : size * b] for a, b in spans], strict=True))
             else:
-                out.append(b"".join(ids))
-        for number, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
-            out[number] = ids
-        return out
+                known.update(zip(group, self._encode(group), strict=True))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has. There are no nulls.
+
+        The pieces are cut and numbered by Arrow, so that each distinct one is looked up once.
+        """
+        cut = pc.split_pattern(texts, " ")
+        bounds, pieces = cut.offsets.to_numpy().astype(np.int64), cut.flatten().dictionary_encode()
+        number, spelled = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_numpy(zero_copy_only=False)
+        begin, end = bounds[:-1], bounds[1:] - 1
+        inner = np.ones(len(number), bool)
+        inner[begin], inner[end] = False, False
+        needed = np.bincount(number[inner], minlength=len(spelled)) > 0
+        firsts, lasts = (spelled[number[at]].tolist() for at in (begin, end))
+        between = spelled[needed].tolist()
+        self._learn(self.first, set(firsts), "", False, True)
+        self._learn(self.last, set(lasts), " ", True, False)
+        self._learn(self.inner, set(between), " ", True, True)
+        found = [*map(self.inner.__getitem__, between), *map(self.first.__getitem__, firsts), *map(self.last.__getitem__, lasts)]
+        place = (np.cumsum(needed) - 1)[number]
+        place[begin] = len(between) + np.arange(len(texts))
+        place[end] = len(between) + len(texts) + np.arange(len(texts))
+        sizes = np.array([-1 if ids is None else len(ids) for ids in found], np.int64)
+        whole = np.flatnonzero((np.minimum.reduceat(sizes[place], begin) < 0) | (begin == end)) if len(texts) else begin
+        if len(whole):
+            place[np.isin(np.repeat(np.arange(len(texts)), np.diff(bounds)), whole)] = len(found)
+            place[begin[whole]] = len(found) + 1 + np.arange(len(whole))
+            found += [b"", *self._encode(texts.take(pa.array(whole)).to_pylist())]
+            sizes = np.append(np.maximum(sizes, 0), list(map(len, found[len(sizes) :])))
+        sizes //= self.kind.itemsize
+        starts, counts = np.cumsum(sizes) - sizes, sizes[place]
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[place] - (ends - counts), counts)
+        return np.frombuffer(b"".join(filter(None, found)), self.kind)[at], np.add.reduceat(counts, begin) if len(texts) else counts
 
 
 @cache
@@ -187,18 +237,18 @@ def write_files(documents: DataFrame, path: str, folder: str, end_id: int | None
         if batch is None:
             return
         work = encoder(path)
-        end = b"" if end_id is None else np.array([end_id], work.kind).tobytes()
         name = f"{folder}/ids-{part:06d}.arrow"
         with shared_files.created(name) as out, shared_files.created(f"{name}.index") as index_out:
             ids, index = SequenceWriter(out, work.kind, length), pa.ipc.new_file(index_out, INDEX)
             while batch is not None:
                 for at in range(0, batch.num_rows, PIECE_TEXTS):
                     rows = batch.slice(at, PIECE_TEXTS)
-                    found = [x + end for x in work.encode(rows.column(1).to_pylist())]
-                    counts = np.array([len(x) // work.kind.itemsize for x in found], np.int64)
+                    found, counts = work.encode(rows.column(1))
+                    if end_id is not None:
+                        found, counts = np.insert(found, np.cumsum(counts), end_id), counts + 1
                     starts = ids.total + np.cumsum(counts) - counts
                     index.write(pa.record_batch([rows.column(0), pa.array(starts), pa.array(counts)], schema=INDEX))
-                    ids.add(np.frombuffer(b"".join(found), work.kind))
+                    ids.add(found)
                 batch = next(batches, None)
             ids.close()
             index.close()

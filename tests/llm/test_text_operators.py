@@ -138,6 +138,42 @@ def test_sequences_are_reached_at_random_and_masked(tmp_path):
     assert file.sequence(100).base is not None  # a view of the mapped file
 
 
+class _Listening:
+    """A library that counts the characters it is given."""
+
+    def __init__(self, library):
+        self.library, self.characters = library, 0
+
+    def __getattr__(self, name):
+        if not name.startswith("encode"):
+            return getattr(self.library, name)
+
+        def call(texts, **options):
+            self.characters += sum(map(len, texts))
+            return getattr(self.library, name)(texts, **options)
+
+        return call
+
+
+PARTED_TEXTS = [
+    "start " + " ".join(f"thewordish{end}" for end in (*".,;:!?%&", "...", "!!", "\nthewordish,", ".\nthewordish")) + " end",
+    "", " ", "one", "  a", "a  b c", "a \n b", "x <|endoftext|> y, z", "word's, isn't o'k 12a, a1", "été, œuvre. ı 'll",
+    "a\x1cb c\x85 d", "ab,\ncd; ef.\n\ngh", "a b\n c", "x a\n1b c", "z lm\n,o p", "q a,\nb\nc! d"]
+
+
+def test_pieces_are_encoded_once_for_all_punctuation_behind_them():
+    import pyarrow as pa
+
+    work = token_files.SplitEncoder(BYTE_BPE)
+    work.library = _Listening(work.library)
+    work.encode(pa.array(PARTED_TEXTS[:1]))
+    assert work.library.characters < 0.5 * len(PARTED_TEXTS[0])
+    ids, counts = work.encode(pa.array(PARTED_TEXTS))
+    want = [x.ids for x in work.library.encode_batch_fast(PARTED_TEXTS, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert [len(x) for x in work.encode(pa.array([], pa.string()))] == [0, 0]
+
+
 def test_token_files_of_no_rows(documents_of):
     assert token_files.write_and_read(documents_of([]), BYTE_BPE, 2).count() == 0
 
