@@ -52,6 +52,7 @@ class PretokenCounter:
 
     def __init__(self, path: str) -> None:
         self.library = piecewise.load(path, ordinary_specials=True)
+        self.opens = piecewise.opening(self.library)
         self.known, self.odd = piecewise.Memory(KNOWN_BYTES), piecewise.Memory(ODD_BYTES)
 
     def _pack(self, lengths: list[int], counts: list[int]) -> bytes:
@@ -66,12 +67,28 @@ class PretokenCounter:
 
     def _learn(self, pieces: set[str]) -> None:
         """`known` has the pieces of a text after its first, without the space before them."""
-        even = []
+        even, letters, parted = [], [], []
         for piece in self.known.unknown(pieces):
-            if not piece or piece[0].isspace() or piece[-1].isspace():
+            if parts := piecewise.PARTED.fullmatch(piece):
+                if parts[2]:
+                    parted.append((piece, parts[1], [parts[2]]))
+                else:
+                    letters.append(piece)
+            elif "\n" in piece and all(lines := [*map(piecewise.PARTED.fullmatch, piece.split("\n"))]):
+                bare = [part for line in lines[1:] for part in ("\n", *line.groups())]
+                parted.append((piece, lines[0][1], [x for x in (lines[0][2], *bare) if x]))
+            elif not piece or piece[0].isspace() or piece[-1].isspace():
                 self.known[piece] = None
             else:
                 even.append(piece)
+        letters += self.known.absent({first for _, first, _ in parted}.difference(letters))
+        for group, _, cuts in piecewise.strung_ids(self.library, self.opens, letters):  # one pre-token each
+            self.known.update([(p, struct.pack("<2i", len(p) + 1, high - low))
+                               for p, low, high in zip(group, cuts, cuts[1:], strict=False)])
+        bare = self.odd.absent({part for _, _, rest in parted for part in rest})
+        self.odd.update(zip(bare, self._alone(bare), strict=True))
+        leaves = self.odd.__getitem__
+        self.known.update([(p, self.known[first] + b"".join(map(leaves, rest))) for p, first, rest in parted])
         plain = [p for p in even if not any(c.isspace() for c in p)]
         for group, _, places, cuts in piecewise.strung(self.library, plain):
             places = places.tolist()

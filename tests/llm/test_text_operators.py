@@ -174,6 +174,17 @@ def test_pieces_are_encoded_once_for_all_punctuation_behind_them():
     assert [len(x) for x in work.encode(pa.array([], pa.string()))] == [0, 0]
 
 
+def test_pretokens_are_encoded_once_for_all_punctuation_behind_them():
+    counter = edit_counts.PretokenCounter(BYTE_BPE)
+    counter.library = _Listening(counter.library)
+    counter.leaves_of(PARTED_TEXTS[:1])
+    assert counter.library.characters < 0.5 * len(PARTED_TEXTS[0])
+    for text, leaves in zip(PARTED_TEXTS, counter.leaves_of(PARTED_TEXTS), strict=True):
+        spelled = edit_counts.PRETOKEN.findall(text)
+        want = [len(x.ids) for x in counter.library.encode_batch_fast(spelled, add_special_tokens=False)]
+        assert leaves.tolist() == [[len(t), n] for t, n in zip(spelled, want, strict=True)]
+
+
 def test_token_files_of_no_rows(documents_of):
     assert token_files.write_and_read(documents_of([]), BYTE_BPE, 2).count() == 0
 
