@@ -268,24 +268,52 @@ def counter(path: str) -> PretokenCounter:
 TREE = "leaves binary, blocks binary, sums binary"
 
 
+def _kind(df: DataFrame, name: str) -> str:
+    return df.schema[name].dataType.simpleString()
+
+
+def _trees(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column is a text, with leaves, blocks and sums of its tree in the text's place."""
+    work = counter(path)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            trees = [PretokenTree(x).packed() for x in work.leaves_of(part.column(part.num_columns - 1).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:-1], *[pa.array(c, pa.binary()) for c in zip(*trees, strict=True)]],
+                names=[*part.schema.names[:-1], "leaves", "blocks", "sums"])
+
+
 def build_trees(documents: DataFrame, path: str, carry: tuple[str, ...] = ("doc_id", "text"),
                 text: str = "text") -> DataFrame:
     """The carried columns with leaves, blocks and sums of each text's tree; other columns are left out."""
     documents = documents.select(*carry)
     source = documents.select("*", F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    return source.mapInArrow(lambda batches: _trees(batches, path), f"{columns}, {TREE}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = counter(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                trees = [PretokenTree(x).packed() for x in work.leaves_of(part.column(part.num_columns - 1).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *[pa.array(c, pa.binary()) for c in zip(*trees, strict=True)]],
-                    names=[*part.schema.names[:-1], "leaves", "blocks", "sums"])
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return source.mapInArrow(run, f"{columns}, {TREE}")
+COUNTS = {"n_tokens_before": pa.int64(), "n_tokens_after": pa.int64(), "n_edits": pa.int64(), "encoded_chars": pa.int64()}
+
+
+def _applied(batches: Iterator[pa.RecordBatch], path: str, keep_texts: bool, keep_trees: bool) -> Iterator[pa.RecordBatch]:
+    """From batches of key, text, edits, leaves, blocks and sums: the key, new texts if kept, counts, new trees if kept."""
+    work = counter(path)
+    kinds = ({"text": pa.string()} if keep_texts else {}) | COUNTS | (
+        dict.fromkeys(("leaves", "blocks", "sums"), pa.binary()) if keep_trees else {})
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            rows = []
+            for old, changes, *packed in zip(*(c.to_pylist() for c in part.columns[1:]), strict=True):
+                tree, changes = PretokenTree.unpacked(*packed), [(e["start"], e["stop"], e["new"]) for e in changes or ()]
+                before = tree.tokens
+                new, encoded = edited(old, changes, tree, work) if changes else (old, 0)
+                rows.append((*((new,) if keep_texts else ()), before, tree.tokens, len(changes), encoded,
+                             *(tree.packed() if keep_trees else ())))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]],
+                names=["key", *kinds])
 
 
 def apply_edits(trees: DataFrame, path: str, key: str = "doc_id", text: str = "text", edits: str = "edits",
@@ -297,53 +325,62 @@ def apply_edits(trees: DataFrame, path: str, key: str = "doc_id", text: str = "t
     source = trees.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                           F.col(edits).alias("edits"), "leaves", "blocks", "sums")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = counter(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                rows = []
-                for old, changes, *packed in zip(*(c.to_pylist() for c in part.columns[1:]), strict=True):
-                    tree, changes = PretokenTree.unpacked(*packed), [(e["start"], e["stop"], e["new"]) for e in changes or ()]
-                    before = tree.tokens
-                    new, encoded = edited(old, changes, tree, work) if changes else (old, 0)
-                    rows.append((new, before, tree.tokens, len(changes), encoded, *(tree.packed() if keep_trees else ())))
-                kinds = [pa.string(), *[pa.int64()] * 4, *[pa.binary()] * (3 * keep_trees)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]],
-                    names=["key", "text", "n_tokens_before", "n_tokens_after", "n_edits", "encoded_chars",
-                           *(["leaves", "blocks", "sums"] if keep_trees else [])])
-
-    kind = source.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, text string, n_tokens_before long, n_tokens_after long, n_edits long, encoded_chars long"
-    return source.mapInArrow(run, schema + (f", {TREE}" if keep_trees else "")).withColumnRenamed("key", key)
+    schema = (f"key {_kind(source, 'key')}, text string, n_tokens_before long, n_tokens_after long, n_edits long, "
+              "encoded_chars long")
+    return source.mapInArrow(lambda batches: _applied(batches, path, True, keep_trees),
+                             schema + (f", {TREE}" if keep_trees else "")).withColumnRenamed("key", key)
+
+
+EDITS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("new", pa.string())]))
+DIGITS = re.compile("[0-9]{3,}")
+
+
+def _edits_of(old: str, label: str) -> list[dict]:
+    out, at, seen = [{"start": 0, "stop": 0, "new": f"{label}: "}], 0, set()
+    for line in old.split("\n"):
+        if line in seen and line:
+            out.append({"start": at - 1, "stop": at + len(line), "new": ""})
+        else:
+            out += [{"start": at + m.start(), "stop": at + m.end(), "new": "<number>"} for m in DIGITS.finditer(line)]
+        seen.add(line)
+        at += len(line) + 1
+    return out
+
+
+def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From batches of key, text and label: the key, the text and its edits."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            texts, labels = (c.to_pylist() for c in part.columns[1:])
+            found = [_edits_of(t or "", s) for t, s in zip(texts, labels, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(found, EDITS)],
+                                             names=[*part.schema.names[:2], "edits"])
 
 
 def masking_edits(documents: DataFrame, key: str = "doc_id", text: str = "text", label: str = "source") -> DataFrame:
     """key, text and edits made from the texts: the label is put in front, runs of three or more digits are masked,
     and lines equal to an earlier one are taken out with their line break."""
     source = documents.select(key, text, F.coalesce(F.col(label), F.lit("unknown")).alias("_label"))
-    digits = re.compile("[0-9]{3,}")
+    return source.mapInArrow(
+        _masked, f"`{key}` {_kind(source, key)}, `{text}` string, edits array<struct<start:long,stop:long,new:string>>")
 
-    def edits_of(old: str, label: str) -> list[dict]:
-        out, at, seen = [{"start": 0, "stop": 0, "new": f"{label}: "}], 0, set()
-        for line in old.split("\n"):
-            if line in seen and line:
-                out.append({"start": at - 1, "stop": at + len(line), "new": ""})
-            else:
-                out += [{"start": at + m.start(), "stop": at + m.end(), "new": "<number>"} for m in digits.finditer(line)]
-            seen.add(line)
-            at += len(line) + 1
-        return out
+
+def count_masked(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text",
+                 label: str = "source") -> DataFrame:
+    """key and counts of the texts' `masking_edits`, put on their trees; without the new texts and trees.
+
+    The steps follow each other in one Python process of a task, a few texts at a time: they share one memory of
+    pieces, and no tree leaves the process.
+    """
+    source = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                              F.coalesce(F.col(label), F.lit("unknown")).alias("_label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("new", pa.string())]))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                texts, labels = (c.to_pylist() for c in part.columns[1:])
-                found = [edits_of(t or "", s) for t, s in zip(texts, labels, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(found, kind)], names=[key, text, "edits"])
-
-    kind_of_key = source.schema[key].dataType.simpleString()
-    return source.mapInArrow(run, f"`{key}` {kind_of_key}, `{text}` string, edits array<struct<start:long,stop:long,new:string>>")
+        # a tree is built from a text that stands last, beside the columns that go on
+        last = (pa.RecordBatch.from_arrays([*b.columns, b.column(1)], names=[*b.schema.names, "_text"])
+                for b in _masked(batches))
+        yield from _applied(_trees(last, path), path, False, False)
+
+    schema = f"key {_kind(source, 'key')}, n_tokens_before long, n_tokens_after long, n_edits long, encoded_chars long"
+    return source.mapInArrow(run, schema).withColumnRenamed("key", key)

@@ -13,6 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from answerloom.llm.oracles import ORACLES
+from answerloom.llm.queries import REGISTRY
 from check_oracles import compare, connect
 from answerloom.llm import bpe, edit_counts, license_scan, quality, shared_files, texts, token_files, warc
 
@@ -268,6 +269,18 @@ def test_edit_query_matches_recount(documents_of, odd_rows):
     assert changed.text.endswith("same\nother <number>") and changed.n_edits == 4
 
 
+def test_edit_query_is_one_python_step(spark, documents_of, odd_rows, tmp_path):
+    """Each further step would be a further process beside every core, with a vocabulary and a memory of its own."""
+    docs = documents_of(odd_rows + [(50, "same\nother 123456\nsame\nsame")])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = REGISTRY["op6_edit_counts"](spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    trees = edit_counts.build_trees(edit_counts.masking_edits(docs), BYTE_BPE, ("doc_id", "text", "edits"))
+    want = edit_counts.apply_edits(trees, BYTE_BPE, keep_trees=False).drop("text")
+    assert got.schema == want.schema
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 # --- archives ----------------------------------------------------------------------------------
 
 
