@@ -56,6 +56,8 @@ FREQUENT = 1 << 20
 
 LANE = 1024
 PIECE = 1 << 20
+#: Bytes of a piece whose lanes take their steps together.
+PART = 1 << 18
 #: Decisions looked up at a time.
 CHUNK = 1 << 14
 SCALE = 16  # steps of a unit of log-odds in the tables
@@ -102,8 +104,15 @@ def words(piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+    """Distinct keys in rising order and their counts. The parts are used up: each array goes once it is copied."""
+    keys, counts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    parts.clear()
+    order = np.argsort(keys)
+    keys = keys.take(order)
+    counts = counts.take(order)
+    del order
+    begins = np.flatnonzero(np.append(len(keys) > 0, keys[1:] != keys[:-1]))
+    return keys.take(begins), np.add.reduceat(counts, begins) if len(begins) else counts
 
 
 PARTIAL = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
@@ -121,24 +130,37 @@ def _counts(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.Reco
 
 
 class _Held:
-    """Counts of a task by key, given out when they are too many to hold."""
+    """Counts of a task by key, given out when they are too many to hold: one sorted table, into which parts are put."""
 
     def __init__(self, kind: int, limit: int) -> None:
-        self.kind, self.limit, self.parts, self.size = kind, limit, [], 0
+        self.kind, self.limit, self.parts, self.waiting = kind, limit, [], 0
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.parts.append((keys, counts))
-        self.size += len(keys)
-        if self.size > 2 * self.limit:
-            self.parts = [_merged(self.parts)]
-            self.size = len(self.parts[0][0])
-            if self.size > self.limit:
+        self.waiting += len(keys)
+        if self.waiting > self.limit // 4:
+            self._take_in()
+            if len(self.keys) > self.limit:
                 yield from self.rest()
 
+    def _take_in(self) -> None:
+        keys, counts = _merged(self.parts)
+        self.waiting = 0
+        if not len(self.keys):
+            self.keys, self.counts = keys, counts
+            return
+        place = np.searchsorted(self.keys, keys)
+        new = self.keys.take(place, mode="clip") != keys
+        self.counts[place[~new]] += counts[~new]
+        self.keys = np.insert(self.keys, place[new], keys[new])
+        self.counts = np.insert(self.counts, place[new], counts[new])
+
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
-            yield from _counts(self.kind, *_merged(self.parts))
-        self.parts, self.size = [], 0
+            self._take_in()
+        yield from _counts(self.kind, self.keys, self.counts)
+        self.keys, self.counts = self.keys[:0].copy(), self.counts[:0].copy()
 
 
 def count_corpus(documents: DataFrame, needs: bool = True) -> DataFrame:
@@ -151,7 +173,7 @@ def count_corpus(documents: DataFrame, needs: bool = True) -> DataFrame:
         contexts, tokens, seen = _Held(CONTEXTS, 2 * SLOTS), _Held(WORDS, 2 * SLOTS), np.zeros(256, np.int64)
         for batch in batches:
             held_out, rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for piece in T.pieces(batch.column(2), PIECE):
+            for piece in T.pieces(batch.column(2), PART):
                 own = slice(piece.first, piece.first + piece.rows)
                 train = ~held_out[own].astype(bool)
                 hashes, first_word = words(piece)
@@ -360,6 +382,7 @@ def _decisions(piece: T.Piece, model: MixModel):
             at = rows[k].take(part)
             at += np.arange(low, low + len(part))
             found[k, low : low + CHUNK] = odds[k].take(at)
+    del byte, odds, rows, path_first, values, number, keys, pairs
     row_start = np.concatenate([[0], last])[bounds]
     counts = np.diff(row_start)
     lanes = -(-counts // LANE)
@@ -370,6 +393,7 @@ def _decisions(piece: T.Piece, model: MixModel):
         to = slice(lane_start[i] * LANE, lane_start[i] * LANE + counts[i])
         inputs[:, to] = found[:, row_start[i] : row_start[i + 1]]
         bits[to] = own_bits[row_start[i] : row_start[i + 1]]
+    del found, own_bits
     row = np.repeat(np.arange(piece.rows), lanes)
     size = np.minimum(LANE, counts[row] - (np.arange(width) - lane_start[row]) * LANE)
     gates = SURE.take(inputs[-1].view(np.uint8)) * np.int8(3) + SURE.take(inputs[-2].view(np.uint8))
@@ -380,7 +404,24 @@ def _decisions(piece: T.Piece, model: MixModel):
 
 def mix(piece: T.Piece, model: MixModel, usage: bool = False) -> tuple[np.ndarray, ...]:
     """log10 probability of each row; the weights (lane, gate, predictor) and maps at the ends of the lanes, and how
-    often each gate was used, if that is asked for."""
+    often each gate was used, if that is asked for.
+
+    Lanes know nothing of each other, so the rows go through in parts: what is held follows a part, not the piece.
+    All parts take as many steps as the longest lane of the piece, since maps also move in the steps after a lane's end.
+    """
+    decisions = T.row_sums(model.code.length.astype(np.uint8)[piece.data], piece.offsets).max() + model.code.length[END]
+    found, first = [], 0
+    while first < piece.rows:
+        last = int(np.searchsorted(piece.offsets, piece.offsets[first] + PART, side="right")) - 1
+        last = min(piece.rows, max(first + 1, last))
+        low, high = piece.offsets[first], piece.offsets[last]
+        found.append(_mix(T.Piece(piece.data[low:high], piece.offsets[first : last + 1] - low, first), model,
+                          min(LANE, int(decisions)), usage))
+        first = last
+    return tuple(map(np.concatenate, zip(*found, strict=True))) if len(found) > 1 else found[0]
+
+
+def _mix(piece: T.Piece, model: MixModel, steps: int, usage: bool) -> tuple[np.ndarray, ...]:
     inputs, gates, bits, valid, row = _decisions(piece, model)
     width, orders = len(row), len(ORDERS)
     weights = np.repeat(model.weights.T.reshape(-1), width).astype(np.float32)  # predictor, gate, lane
@@ -391,7 +432,7 @@ def mix(piece: T.Piece, model: MixModel, usage: bool = False) -> tuple[np.ndarra
     predictor = np.arange(orders)[:, None] * (GATES * width)
     x, w, change = (np.empty((orders, width), np.float32) for _ in range(3))
     at, gate = np.empty((orders, width), np.int64), np.empty(width, np.int64)
-    for step in range(int(valid.any(axis=1).sum())):
+    for step in range(steps):
         np.multiply(inputs[step], scale, out=x)
         np.multiply(gates[step], width, out=gate, dtype=np.int64)
         gate += lane

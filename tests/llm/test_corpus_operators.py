@@ -3,16 +3,19 @@
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__
 import corpus_pipeline
 from answerloom.llm import decontaminate, jaccard, mixing_lm, toxicity
 from answerloom.llm.queries import REGISTRY
+from answerloom.llm.texts import pieces
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -236,6 +239,47 @@ def test_lm_is_a_probability_and_learns(spark):
     assert mixing_lm.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_lm_counts_are_held_in_one_table():
+    """What a counting task takes follows its limit closely, and no count is lost when keys leave it."""
+    def counted(limit, parts):
+        held, out = mixing_lm._Held(mixing_lm.CONTEXTS, limit), Counter()
+        for batch in itertools.chain(*(held.add(*np.unique(x, return_counts=True)) for x in parts), held.rest()):
+            for key, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                out[key] += n
+        return out
+
+    rnd = np.random.default_rng(5)
+    parts = [rnd.integers(0, 900, 200, np.uint64) for _ in range(50)]
+    for limit in (1, 100, 800, 5000):
+        assert counted(limit, parts) == Counter(np.concatenate(parts).tolist())
+    held = mixing_lm._Held(mixing_lm.CONTEXTS, limit := 1 << 16)
+    tracemalloc.start()
+    for _ in range(60):
+        for _ in held.add(*np.unique(rnd.integers(0, 1 << 40, 4000, np.uint64), return_counts=True)):
+            pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * 16 * limit
+
+
+def test_lm_mixes_a_piece_in_parts(monkeypatch):
+    """Each part of a piece gives the same numbers as the whole piece at once, and takes less memory."""
+    rnd = np.random.default_rng(3)
+    rows = ["".join(map(chr, rnd.integers(97, 117, size))) for size in rnd.integers(0, 4000, 200)] + ["", "x" * 20_000, ""]
+    (piece,) = pieces(pa.array(rows), mixing_lm.PIECE)
+    model = mixing_lm.MixModel(mixing_lm.Code.of(np.bincount(piece.data, minlength=256)), np.zeros(0, np.int8),
+                               *mixing_lm.start_state())
+    got, peaks = [], []
+    for part in (mixing_lm.PIECE, 10_000):
+        monkeypatch.setattr(mixing_lm, "PART", part)
+        tracemalloc.start()
+        got.append(mixing_lm.mix(piece, model, usage=True))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(*got, strict=True))
+    assert len(got[0][0]) == len(rows) and peaks[1] < peaks[0] / 3
+
+
 def test_lm_finds_the_odds_of_every_node_without_shuffling_texts(spark, small_documents, tmp_path, monkeypatch):
     """The log-odds along each path are those of brute force over the counts, also for bytes not seen in
     their context; batches of files hold whole contexts; what is written is keys and counts, never texts."""
