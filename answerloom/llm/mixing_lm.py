@@ -191,6 +191,7 @@ def count_corpus(documents: DataFrame, needs: bool = True) -> DataFrame:
         yield from tokens.rest()
         if seen.any():
             yield _partial(BYTES, np.arange(256), seen)
+        pa.default_memory_pool().release_unused()  # the process stays for later tasks
 
     return documents.select("held_out", "rest", "text").mapInArrow(run, "kind int, key long, n long")
 
